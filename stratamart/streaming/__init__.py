@@ -1,0 +1,5 @@
+"""Deliberately empty.
+
+Every load is a batch over a *complete* feed: the soft-delete arm of the staging merge needs to know
+which keys are absent, which a micro-batch cannot tell. There is no streaming surface to offer.
+"""
