@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from stratamart.specs import (
     CalendarSpec,
     DimensionSpec,
@@ -322,3 +324,23 @@ FACT_GASTOS = FactSpec(
 FACTS = (FACT_VENTAS, FACT_COMPRAS, FACT_GASTOS)
 
 RETAIL = WarehouseModel(FEEDS, ENTITIES, CALENDAR, DIMENSIONS, FACTS)
+
+
+def with_wide_ids(model: WarehouseModel) -> WarehouseModel:
+    """The same model with 64-bit natural ids, for volumes beyond two thousand million rows."""
+
+    def is_id(name: str, data_type: str) -> bool:
+        return name.startswith("id_") and data_type == "int"
+
+    def widened(types):
+        return {n: "bigint" if is_id(n, t) else t for n, t in types.items()}
+
+    def wide_rule(rule):
+        return replace(rule, data_type="bigint") if is_id(rule.name, rule.data_type) else rule
+
+    return replace(
+        model,
+        entities=tuple(replace(e, columns=tuple(map(wide_rule, e.columns))) for e in model.entities),
+        dimensions=tuple(replace(d, types=widened(d.types)) for d in model.dimensions),
+        facts=tuple(replace(f, types=widened(f.types)) for f in model.facts),
+    )

@@ -1,0 +1,52 @@
+"""Compare a Spark result with the DuckDB result of its SQL counterpart."""
+
+import datetime as dt
+import decimal
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(folder):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, decimal.Decimal):
+        return ("decimal", str(value.normalize() + 0))
+    if isinstance(value, dt.datetime):
+        return ("ts", value.isoformat())
+    if isinstance(value, float):
+        return ("float", round(value, 9))
+    return value
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=repr)
+
+
+def compare(df, con, sql):
+    """None if both agree, else a short description of the difference."""
+    mine = df.collect()
+    cursor = con.execute(sql)
+    theirs_columns = [d[0] for d in cursor.description]
+    theirs = cursor.fetchall()
+    if sorted(df.columns) != sorted(theirs_columns):
+        return f"columns {sorted(df.columns)} / {sorted(theirs_columns)}"
+    if len(mine) != len(theirs):
+        return f"rows {len(mine)} / {len(theirs)}"
+    a, b = _rows(df.columns, mine), _rows(theirs_columns, theirs)
+    if a != b:
+        first = next((x, y) for x, y in zip(a, b) if x != y)
+        return f"first difference {first}"
+    if not mine:
+        return "no rows at all"
+    return None
