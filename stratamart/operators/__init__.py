@@ -2,9 +2,10 @@ from stratamart.operators.calendar import date_dimension, date_dimension_for
 from stratamart.operators.checks import (
     ConstraintError,
     DuplicateKeyError,
-    assert_constraints,
+    assert_measures,
     assert_unique,
     check_constraints,
+    constraint_measures,
     duplicate_keys,
 )
 from stratamart.operators.conform import active, conform, rejected
@@ -18,7 +19,6 @@ from stratamart.operators.merge import (
 )
 from stratamart.operators.star import (
     fact_rows,
-    lookup_key,
     lookup_keys,
     orphaned_keys,
     unmatched_report,
@@ -38,13 +38,14 @@ __all__ = [
     "DuplicateKeyError",
     "active",
     "active_deleted_summary",
-    "assert_constraints",
+    "assert_measures",
     "assert_unique",
     "assign_surrogate_keys",
     "branch_performance",
     "calendar_coverage",
     "check_constraints",
     "conform",
+    "constraint_measures",
     "date_dimension",
     "date_dimension_for",
     "dimension_size",
@@ -55,7 +56,6 @@ __all__ = [
     "insert_absent",
     "latest_deleted",
     "latest_per_key",
-    "lookup_key",
     "lookup_keys",
     "merge_soft_delete",
     "merge_upsert",

@@ -41,8 +41,18 @@ def _rules(schema: StructType, lengths: Mapping[str, int] | None) -> list[tuple[
     return rules
 
 
-def _violations(rules: Sequence[tuple[str, str, Column]]) -> list[Column]:
-    return [F.count_if(broken).alias(f"r{i}") for i, (_, _, broken) in enumerate(rules)]
+def constraint_measures(
+    schema: StructType, lengths: Mapping[str, int] | None = None
+) -> dict[str, Column]:
+    """Aggregates counting the violations of each rule, to be taken while a snapshot is written."""
+    return {f"{c} {rule}": F.count_if(broken) for c, rule, broken in _rules(schema, lengths)}
+
+
+def assert_measures(measured: Mapping[str, int], measures: Mapping[str, Column], what: str) -> None:
+    """Raise if any of ``measures`` counted a violation."""
+    broken = [f"{rule}: {measured[rule]} rows" for rule in measures if measured[rule]]
+    if broken:
+        raise ConstraintError(f"{what}: {'; '.join(broken)}")
 
 
 def check_constraints(
@@ -52,26 +62,11 @@ def check_constraints(
     rules = _rules(schema, lengths)
     if not rules:
         raise ValueError("no constraints to check")
+    counts = [F.count_if(broken).alias(f"r{i}") for i, (_, _, broken) in enumerate(rules)]
     entries = [
         F.struct(
             F.lit(column).alias("column"), F.lit(rule).alias("rule"), F.col(f"r{i}").alias("violations")
         )
         for i, (column, rule, _) in enumerate(rules)
     ]
-    return df.agg(*_violations(rules)).select(F.inline(F.array(*entries)))
-
-
-def assert_constraints(
-    df: DataFrame, schema: StructType, lengths: Mapping[str, int] | None = None, what: str = ""
-) -> int:
-    """Raise if any rule is broken, else return the number of rows; both from one pass."""
-    rules = _rules(schema, lengths)
-    counts = df.agg(F.count(F.lit(1)).alias("rows"), *_violations(rules)).first()
-    broken = [
-        f"{column} {rule}: {counts[f'r{i}']} rows"
-        for i, (column, rule, _) in enumerate(rules)
-        if counts[f"r{i}"]
-    ]
-    if broken:
-        raise ConstraintError(f"{what}: {'; '.join(broken)}")
-    return counts["rows"]
+    return df.agg(*counts).select(F.inline(F.array(*entries)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +23,12 @@ def _plan_size(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def _will_be_broadcast(df: DataFrame) -> bool:
+def _will_be_broadcast(df: DataFrame, max_bytes: int | None) -> bool:
     """Whether Spark, by its own size check, broadcasts this side."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= _plan_size(df) <= limit
+    if max_bytes is None:
+        conf = df.sparkSession._jsparkSession.sessionState().conf()
+        max_bytes = conf.autoBroadcastJoinThreshold()
+    return _plan_size(df) <= max_bytes
 
 
 def _dimension_side(dim: DataFrame, lookup: DimLookup) -> DataFrame:
@@ -41,82 +43,91 @@ def _match(lookup: DimLookup) -> Column:
     return reduce(and_, [F.col(c) == F.col(f"__key_{i}") for i, (c, _) in enumerate(lookup.on)])
 
 
-def _without_keys(df: DataFrame, lookup: DimLookup) -> DataFrame:
-    return df.drop(*[f"__key_{i}" for i in range(len(lookup.on))])
+def _hot_keys(facts: DataFrame, columns: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Values of ``columns`` held by at least ``hot_rows`` rows, or None if there are none.
+
+    Counts are exact and combined before the shuffle. At most 1,000 short rows come back, whatever
+    the size of the data.
+    """
+    found = (
+        facts.select(*columns)
+        .dropna()
+        .groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") >= hot_rows)
+        .orderBy(F.desc("__n"), *columns)
+        .limit(_MOST_HOT_KEYS)
+        .select(*columns)
+    )
+    keys = found.collect()
+    return facts.sparkSession.createDataFrame(keys, found.schema) if keys else None
 
 
 def _salted(
-    facts: DataFrame, side: DataFrame, lookup: DimLookup, row_id: str, hot_rows: int
+    facts: DataFrame,
+    side: DataFrame,
+    lookup: DimLookup,
+    hot: DataFrame | None,
+    row_id: str,
 ) -> DataFrame:
     """Shuffled lookup that spreads the rows of hot and of NULL keys over several tasks.
 
-    Hot keys are counted exactly, with partial aggregation. Their rows get a salt made from the row's
-    own id (so a recomputed task salts alike), and their few dimension rows are repeated once per
-    salt. All other rows have salt 0.
+    Their salt is made from the row's own id, so a recomputed task salts alike. The few dimension
+    rows of hot keys are repeated once per salt. All other rows have salt 0.
     """
-    columns = [c for c, _ in lookup.on]
-    keys = [f"__key_{i}" for i in range(len(columns))]
-    hot = (
-        facts.select(*[F.col(c).alias(k) for c, k in zip(columns, keys)])
-        .dropna()
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= hot_rows)
-        .orderBy(F.desc("n"), *keys)
-        .limit(_MOST_HOT_KEYS)
-        .select(*keys)
-        .collect()
-    )
-    # Two descriptions of the same at most 1,000 keys, one per side.
-    spark = facts.sparkSession
-    schema = side.select(*keys).schema
     spread = F.pmod(F.xxhash64(row_id), F.lit(_SALTS)).cast("int")
-    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-    hot_keys = F.broadcast(spark.createDataFrame(hot, schema).withColumn("__hot", F.lit(True)))
-    renamed = hot_keys.select(*[F.col(k).alias("__f" + k) for k in keys], "__hot")
-    is_hot = reduce(and_, [F.col(c) == F.col("__f" + k) for c, k in zip(columns, keys)])
-    left = (
-        facts.join(renamed, is_hot, "left")
-        .withColumn("__salt", F.when(F.col("__hot") | missing, spread).otherwise(0))
-        .drop("__hot", *["__f" + k for k in keys])
-    )
-    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = (
-        side.join(hot_keys, on=keys, how="left")
-        .withColumn("__side_salt", F.explode(salts))
-        .drop("__hot")
-    )
+    heavy = reduce(or_, [F.col(c).isNull() for c, _ in lookup.on])
+    left, right = facts, side.withColumn("__side_salt", F.lit(0))
+    if hot is not None:
+        names = {c: f"__key_{i}" for i, (c, _) in enumerate(lookup.on) if c in hot.columns}
+        marked = hot.select(
+            *[F.col(c).alias("__hot" + name) for c, name in names.items()], F.lit(True).alias("__hot")
+        )
+        on_facts = reduce(and_, [F.col(c) == F.col("__hot" + name) for c, name in names.items()])
+        on_side = reduce(and_, [F.col(name) == F.col("__hot" + name) for name in names.values()])
+        # At most 1,000 rows, see _hot_keys.
+        left = facts.join(F.broadcast(marked), on_facts, "left")
+        heavy = heavy | F.col("__hot").isNotNull()
+        all_salts = F.sequence(F.lit(0), F.lit(_SALTS - 1))
+        salts = F.when(F.col("__hot"), all_salts).otherwise(F.array(F.lit(0)))
+        right = side.join(F.broadcast(marked), on_side, "left").withColumn(
+            "__side_salt", F.explode(salts)
+        )
+        right = right.select(*side.columns, "__side_salt")
+    left = left.select(*facts.columns, F.when(heavy, spread).otherwise(0).alias("__salt"))
     matched = left.join(right, _match(lookup) & (F.col("__salt") == F.col("__side_salt")), lookup.how)
     return matched.drop("__salt", "__side_salt")
 
 
-def lookup_key(
-    facts: DataFrame, dim: DataFrame, lookup: DimLookup, row_id: str, hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
-    """Add one surrogate key. Inner lookups drop rows without a match, left ones keep them."""
-    side = _dimension_side(dim, lookup)
-    if _will_be_broadcast(side):
-        joined = facts.join(side, _match(lookup), lookup.how)
-    else:
-        joined = _salted(facts, side, lookup, row_id, hot_rows)
-    return _without_keys(joined, lookup)
-
-
 def lookup_keys(
     facts: DataFrame,
     dims: Mapping[str, DataFrame],
     lookups: Sequence[DimLookup],
     row_id: str,
     hot_rows: int = HOT_KEY_ROWS,
+    max_broadcast: int | None = None,
 ) -> DataFrame:
-    """All lookups in order. A dimension may be used in several roles.
+    """Add the surrogate key of every lookup, in order. A dimension may be used in several roles.
 
-    No side is forced to be broadcast: Spark does so for dimensions below its size limit, where the
-    facts are not shuffled at all. Larger ones are shuffled with their hot keys spread.
+    Inner lookups drop rows without a match, left ones keep them. No side is forced to be broadcast:
+    Spark does so for dimensions below its own size limit (or ``max_broadcast`` bytes), and then the
+    facts are not shuffled at all. Larger dimensions are joined by a shuffle with hot keys spread;
+    those are counted on the incoming rows, so no earlier lookup is computed again for it.
     """
+    keyed = facts
     for lookup in lookups:
-        facts = lookup_key(facts, dims[lookup.dimension], lookup, row_id, hot_rows)
-    return facts
+        side = _dimension_side(dims[lookup.dimension], lookup)
+        if _will_be_broadcast(side, max_broadcast):
+            joined = keyed.join(side, _match(lookup), lookup.how)
+        else:
+            known = [c for c, _ in lookup.on if c in facts.columns]
+            hot = _hot_keys(facts, known, hot_rows) if known else None
+            if hot is None and lookup.how == "inner":
+                joined = keyed.join(side, _match(lookup), lookup.how)
+            else:
+                joined = _salted(keyed, side, lookup, hot, row_id)
+        keyed = joined.drop(*[f"__key_{i}" for i in range(len(lookup.on))])
+    return keyed
 
 
 def fact_rows(staged: DataFrame, dims: Mapping[str, DataFrame], spec: FactSpec) -> DataFrame:
@@ -156,7 +167,7 @@ def unmatched_report(
             _match(lookup),
             "left",
         )
-        missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+        missing = reduce(or_, [F.col(c).isNull() for c in columns])
         unknown = ~missing & F.col("__found").isNull()
         reports.append(
             marked.agg(

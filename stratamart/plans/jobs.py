@@ -13,11 +13,16 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.operators.calendar import date_dimension
-from stratamart.operators.checks import ConstraintError, assert_constraints, assert_unique
+from stratamart.operators.checks import (
+    ConstraintError,
+    assert_measures,
+    assert_unique,
+    constraint_measures,
+)
 from stratamart.operators.conform import active, conform
 from stratamart.operators.keys import assign_surrogate_keys
 from stratamart.operators.merge import (
@@ -129,7 +134,7 @@ def load_calendar(warehouse: Warehouse, spec: CalendarSpec, run_ts: dt.datetime)
     written = warehouse.read_snapshot(snapshot)
     assert_unique(written, ["fecha"], spec.table)
     warehouse.publish(snapshot)
-    return written.count()
+    return snapshot.metrics["rows"]
 
 
 def create_tables(warehouse: Warehouse, model: WarehouseModel, run_ts: dt.datetime) -> RunReport:
@@ -173,7 +178,7 @@ def run_landing(
             if not path_exists(warehouse.spark, path):
                 raise FileNotFoundError(path)
             rows = read_feed(warehouse.spark, path, feed)
-            return warehouse.read_snapshot(land(warehouse, rows, feed.table, run_ts, truncate)).count()
+            return land(warehouse, rows, feed.table, run_ts, truncate).metrics["rows"]
 
         return f"land {feed.file}", work
 
@@ -193,17 +198,19 @@ def _target(
     return current, warehouse.read_snapshot(current)
 
 
-def _check_deletions(
-    written: DataFrame, run_ts: dt.datetime, max_fraction: float | None, what: str
-) -> None:
-    if max_fraction is None:
-        return
-    removed = F.col(AUDIT_DELETED_AT) == timestamp_literal(run_ts)
-    kept = ~F.col(AUDIT_DELETED) & (F.col(AUDIT_CREATED) < timestamp_literal(run_ts))
-    counts = written.agg(F.count_if(removed).alias("removed"), F.count_if(kept).alias("kept")).first()
-    before = counts["removed"] + counts["kept"]
-    if before and counts["removed"] > max_fraction * before:
-        raise ConstraintError(f"{what}: would soft-delete {counts['removed']} of {before} rows")
+def _deletion_measures(run_ts: dt.datetime) -> dict[str, Column]:
+    run = timestamp_literal(run_ts)
+    return {
+        "deleted now": F.count_if(F.col(AUDIT_DELETED_AT) == run),
+        "still active": F.count_if(~F.col(AUDIT_DELETED) & (F.col(AUDIT_CREATED) < run)),
+    }
+
+
+def _assert_deletions(measured: Mapping[str, int], max_fraction: float, what: str) -> None:
+    deleted = measured["deleted now"]
+    before = deleted + measured["still active"]
+    if before and deleted > max_fraction * before:
+        raise ConstraintError(f"{what}: would soft-delete {deleted} of {before} rows")
 
 
 def stage_entity(
@@ -225,13 +232,17 @@ def stage_entity(
         assert_unique(source, spec.keys, spec.source)
     current, target = _target(warehouse, STAGING, spec)
     merged = merge_soft_delete(target, source, spec.keys, spec.attributes, run_ts)
-    snapshot = warehouse.write(STAGING, spec.table, merged, spec.keys, merged_from=current)
-    written = warehouse.read_snapshot(snapshot)
     lengths = {r.name: r.max_length for r in spec.columns if r.max_length}
-    rows = assert_constraints(written, spec.schema(), lengths, spec.table)
-    _check_deletions(written, run_ts, max_delete_fraction, spec.table)
+    constraints = constraint_measures(spec.schema(), lengths)
+    measures = constraints | _deletion_measures(run_ts)
+    snapshot = warehouse.write(
+        STAGING, spec.table, merged, spec.keys, merged_from=current, measure=measures
+    )
+    assert_measures(snapshot.metrics, constraints, spec.table)
+    if max_delete_fraction is not None:
+        _assert_deletions(snapshot.metrics, max_delete_fraction, spec.table)
     warehouse.publish(snapshot)
-    return rows
+    return snapshot.metrics["rows"]
 
 
 def run_staging(
@@ -270,12 +281,14 @@ def _upsert_and_publish(
 ) -> int:
     current, target = _target(warehouse, SERVICE, spec)
     merged = merge_upsert(target, source, keys, columns, run_ts, spec.surrogate)
-    snapshot = warehouse.write(SERVICE, spec.table, merged, keys, merged_from=current)
-    written = warehouse.read_snapshot(snapshot)
-    assert_unique(written, keys, spec.table)
-    rows = assert_constraints(written, spec.schema(), lengths, spec.table)
+    constraints = constraint_measures(spec.schema(), lengths)
+    snapshot = warehouse.write(
+        SERVICE, spec.table, merged, keys, merged_from=current, measure=constraints
+    )
+    assert_measures(snapshot.metrics, constraints, spec.table)
+    assert_unique(warehouse.read_snapshot(snapshot), keys, spec.table)
     warehouse.publish(snapshot)
-    return rows
+    return snapshot.metrics["rows"]
 
 
 def load_dimension(warehouse: Warehouse, spec: DimensionSpec, run_ts: dt.datetime) -> int:
@@ -369,7 +382,7 @@ def run_warehouse(
 
         def landing(table: str, rows: DataFrame):
             def work():
-                return warehouse.read_snapshot(land(warehouse, rows, table, run_ts)).count()
+                return land(warehouse, rows, table, run_ts).metrics["rows"]
 
             return f"land {table}", work
 

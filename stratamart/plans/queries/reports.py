@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.operators import (
@@ -9,7 +12,6 @@ from stratamart.operators import (
     branch_performance,
     calendar_coverage,
     dimension_size,
-    fact_rows,
     fact_totals,
     find_duplicates,
     latest_deleted,
@@ -20,6 +22,7 @@ from stratamart.operators import (
 )
 from stratamart.operators.calendar import date_dimension_for
 from stratamart.plans.queries import merging, star
+from stratamart.plans.queries.loaded import served, staged
 from stratamart.plans.queries.registry import SQL, query, table
 from stratamart.plans.queries.roles import CALENDAR_SQL, MODEL, RUN, STAGED_SQL, entity, keyed_sql
 from stratamart.specs import SummaryLabels
@@ -72,7 +75,7 @@ _KEPT_EXPENSES = "id_tipo_gasto <> 5"
            cast(0 AS DECIMAL(38,3)) FROM {STAGED_SQL["gastos"]} AS g""")
 def expense_summary(spark, sf):
     spec = entity("gastos")
-    expenses = star.staged(spark, sf, "gastos")
+    expenses = staged(spark, sf, "stg_gastos").select(*[r.name for r in spec.columns])
     first = merge_soft_delete(
         merging._with_audit(expenses.where("false"), "false"),
         expenses, spec.keys, spec.attributes, RUN,
@@ -84,15 +87,12 @@ def expense_summary(spark, sf):
 
 
 @query("\nUNION ALL\n".join(
-    f"SELECT '{name}' AS dimension, count(*) AS total_registros FROM {STAGED_SQL[source]} AS s"
-    for name, (source, _) in star._DIMENSION_ENTITIES.items()
+    f"SELECT '{d.table}' AS dimension, count(*) AS total_registros FROM {STAGED_SQL[e.name]} AS s"
+    for d in MODEL.dimensions for e in MODEL.entities if e.table == d.source
 ))
 def dimension_sizes(spark, sf):
-    sizes = [dimension_size(df, n) for n, df in star.sales_dimensions(spark, sf).items() if n != "dim_tiempo"]
-    result = sizes[0]
-    for size in sizes[1:]:
-        result = result.unionByName(size)
-    return result
+    dims = served(spark, sf, *[d.table for d in MODEL.dimensions])
+    return reduce(DataFrame.unionByName, [dimension_size(df, name) for name, df in dims.items()])
 
 
 @query(f"""
@@ -103,9 +103,8 @@ def dimension_sizes(spark, sf):
     FROM ({star._FACT_SQL}) AS f
     JOIN (SELECT sk_tiempo, fecha FROM {CALENDAR_SQL} AS c) AS d ON d.sk_tiempo = f.sk_tiempo_venta""")
 def sales_totals(spark, sf):
-    dims = star.sales_dimensions(spark, sf)
-    fact = fact_rows(star.staged(spark, sf, "ventas"), dims, MODEL.facts[0])
-    return fact_totals(fact, MODEL.facts[0], dims["dim_tiempo"])
+    tables = served(spark, sf, "fact_ventas", "dim_tiempo")
+    return fact_totals(tables["fact_ventas"], MODEL.facts[0], tables["dim_tiempo"])
 
 
 @query(f"""
@@ -113,7 +112,7 @@ def sales_totals(spark, sf):
            cast(sum(monto_total) AS DECIMAL(38,3)) AS monto_total_compras
     FROM ({SQL["purchases_fact"]}) AS f""")
 def purchase_totals(spark, sf):
-    return fact_totals(star.purchases_fact(spark, sf), MODEL.facts[1])
+    return fact_totals(served(spark, sf, "fact_compras")["fact_compras"], MODEL.facts[1])
 
 
 @query(f"""
@@ -121,7 +120,7 @@ def purchase_totals(spark, sf):
            cast(sum(monto) AS DECIMAL(38,3)) AS monto_total_gastos
     FROM ({SQL["expenses_fact"]}) AS f""")
 def expense_totals(spark, sf):
-    return fact_totals(star.expenses_fact(spark, sf), MODEL.facts[2])
+    return fact_totals(served(spark, sf, "fact_gastos")["fact_gastos"], MODEL.facts[2])
 
 
 @query("""
@@ -140,11 +139,6 @@ def row_counts(spark, sf):
     return table_counts({t: table(spark, sf, t) for t in _COUNTED})
 
 
-def _sales_fact(spark, sf):
-    dims = star.sales_dimensions(spark, sf)
-    return fact_rows(star.staged(spark, sf, "ventas"), dims, MODEL.facts[0]), dims
-
-
 _ROUNDED = "cast(round(cast(sum({0}) AS DECIMAL(38,3)), 2) AS DECIMAL(38,2))"
 
 
@@ -159,14 +153,14 @@ def _top_sql(by: str, renamed: str) -> str:
 
 @query(_top_sql("producto, tipo", "producto, tipo AS tipo_producto"))
 def top_products_by_type(spark, sf):
-    fact, dims = _sales_fact(spark, sf)
-    return top_products(fact, dims["dim_producto"].withColumnRenamed("tipo", "tipo_producto"))
+    tables = served(spark, sf, "fact_ventas", "dim_producto")
+    return top_products(tables["fact_ventas"], tables["dim_producto"])
 
 
 @query(_top_sql("producto", "producto"))
 def top_products_by_name(spark, sf):
-    fact, dims = _sales_fact(spark, sf)
-    return top_products(fact, dims["dim_producto"], by=["producto"])
+    tables = served(spark, sf, "fact_ventas", "dim_producto")
+    return top_products(tables["fact_ventas"], tables["dim_producto"], by=["producto"])
 
 
 _MONTHLY_SQL = f"""
@@ -178,8 +172,8 @@ _MONTHLY_SQL = f"""
 
 @query(_MONTHLY_SQL)
 def sales_by_month(spark, sf):
-    fact, dims = _sales_fact(spark, sf)
-    return monthly_sales(fact, dims["dim_tiempo"])
+    tables = served(spark, sf, "fact_ventas", "dim_tiempo")
+    return monthly_sales(tables["fact_ventas"], tables["dim_tiempo"])
 
 
 def _branch_sql(by: str) -> str:
@@ -192,14 +186,14 @@ def _branch_sql(by: str) -> str:
 
 @query(_branch_sql("provincia, sucursal"))
 def sales_by_branch(spark, sf):
-    fact, dims = _sales_fact(spark, sf)
-    return branch_performance(fact, dims["dim_sucursal"])
+    tables = served(spark, sf, "fact_ventas", "dim_sucursal")
+    return branch_performance(tables["fact_ventas"], tables["dim_sucursal"])
 
 
 @query(_branch_sql("provincia"))
 def sales_by_province(spark, sf):
-    fact, dims = _sales_fact(spark, sf)
-    return branch_performance(fact, dims["dim_sucursal"], by=["provincia"])
+    tables = served(spark, sf, "fact_ventas", "dim_sucursal")
+    return branch_performance(tables["fact_ventas"], tables["dim_sucursal"], by=["provincia"])
 
 
 @query(f"""

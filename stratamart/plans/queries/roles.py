@@ -23,7 +23,7 @@ T1 = dt.datetime(2024, 6, 2, 6, 0, 0)
 RUN = dt.datetime(2024, 6, 3, 6, 0, 0)
 
 MODEL: WarehouseModel = replace(
-    with_wide_ids(RETAIL), calendar=CalendarSpec("dim_tiempo", "sk_tiempo", "1995-01-01", "2002-12-31")
+    with_wide_ids(RETAIL), calendar=CalendarSpec("dim_tiempo", "sk_tiempo", "1995-01-01", "2025-12-31")
 )
 
 
@@ -253,7 +253,7 @@ STAGED_SQL = {
 # The calendar of MODEL with keys in date order.
 CALENDAR_SQL = """(SELECT row_number() OVER (ORDER BY d) AS sk_tiempo, cast(d AS DATE) AS fecha,
     cast(year(d) AS INTEGER) AS anio, cast(month(d) AS INTEGER) AS mes, monthname(d) AS mes_nombre
-    FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2002-12-31', INTERVAL 1 DAY) AS g(d))"""
+    FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2025-12-31', INTERVAL 1 DAY) AS g(d))"""
 
 
 def keyed_sql(name: str, key: str, surrogate: str) -> str:

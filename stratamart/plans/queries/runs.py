@@ -5,50 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratamart.operators import active, monthly_sales
-from stratamart.plans.jobs import LoadError, RunReport, run_warehouse
+from stratamart.plans.queries.loaded import load, load_twice, loaded, loaded_twice, new_warehouse
 from stratamart.plans.queries.merging import _RUN, _T0, _merge_sql
 from stratamart.plans.queries.registry import query, table
 from stratamart.plans.queries.reports import _MONTHLY_SQL
-from stratamart.plans.queries.roles import MODEL, RAW, RUN, STAGED_SQL, T0, raw, raw_sql
-from stratamart.sources import Warehouse, land, read_feed
+from stratamart.plans.queries.roles import MODEL, RAW, RUN, STAGED_SQL, T0, raw_sql
+from stratamart.sources import land, read_feed
 from stratamart.sources.shared_folder import fresh_folder
 from stratamart.specs import LANDING, SERVICE, STAGING, FeedSpec
 
-# Tables large enough to be worth co-partitioning; a cluster would use many more buckets.
-_BUCKETED = ("stg_ventas", "fact_ventas", "stg_compras", "fact_compras", "stg_clientes", "dim_cliente")
-
-
-def _warehouse(spark) -> Warehouse:
-    """A warehouse in a new folder below the shared one."""
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return Warehouse(spark, fresh_folder(spark, "warehouse"), dict.fromkeys(_BUCKETED, buckets))
-
-
-def _require(report: RunReport) -> None:
-    if not report.ok:
-        failed = [f"{s.name}: {s.message}" for s in report.steps if not s.ok]
-        raise LoadError("; ".join(failed))
-
-
-def _load(spark, sf):
-    """A complete first load of the driver's tables."""
-    warehouse = _warehouse(spark)
-    landed = {name: raw(spark, sf, name) for name in RAW}
-    report = run_warehouse(
-        warehouse, MODEL, None, T0, create_schema=True, create=True, landed=landed
-    )
-    _require(report)
-    return warehouse, report
-
-
 @query(_MONTHLY_SQL)
 def retail_monthly_sales(spark, sf):
     """The whole warehouse: land, stage, build the star schema, report sales by month."""
-    warehouse, _ = _load(spark, sf)
+    warehouse, _ = load(spark, sf)
     return monthly_sales(warehouse.read(SERVICE, "fact_ventas"), warehouse.read(SERVICE, "dim_tiempo"))
 
 
-_RETURNED = "idcanal <> '2'"
 _SECOND_STAGED = f"(SELECT * FROM {STAGED_SQL['ventas']} AS v WHERE id_canal <> 2)"
 
 
@@ -60,10 +32,7 @@ _SECOND_STAGED = f"(SELECT * FROM {STAGED_SQL['ventas']} AS v WHERE id_canal <>
 ))
 def retail_second_load(spark, sf):
     """Load everything, then again without the sales of one channel: those are soft-deleted."""
-    warehouse, _ = _load(spark, sf)
-    landed = {name: raw(spark, sf, name) for name in RAW}
-    landed["raw_ventas"] = landed["raw_ventas"].where(_RETURNED)
-    _require(run_warehouse(warehouse, MODEL, None, RUN, landed=landed))
+    warehouse, _ = load_twice(spark, sf)
     return warehouse.read(STAGING, "stg_ventas").select(
         "id_venta", "fecha", "id_cliente", "precio", "cantidad",
         "created_at", "updated_at", "is_deleted", "deleted_at",
@@ -82,7 +51,7 @@ _STAGED_TABLES = {e.table: e.name for e in MODEL.entities}
 ))
 def load_report(spark, sf):
     """What a first load reports for its landing and staging steps."""
-    _, report = _load(spark, sf)
+    _, report = loaded(spark, sf)
     steps = report.to_df(spark).select("step", "ok", "rows")
     return steps.where(F.col("step").startswith("land ") | F.col("step").startswith("merge stg_"))
 
@@ -96,7 +65,7 @@ def load_report(spark, sf):
 ))
 def layer_tables(spark, sf):
     """The tables of every layer after a first load."""
-    warehouse, _ = _load(spark, sf)
+    warehouse, _ = loaded(spark, sf)
     listed = [(layer, name) for layer in warehouse.layers() for name in warehouse.tables(layer)]
     return spark.createDataFrame(listed, "layer string, tabla string")
 
@@ -156,7 +125,7 @@ def feed_latin1_multiline(spark, sf):
     UNION ALL SELECT *, {_RUN} AS created_at FROM ({_LINE_TEXT.format(lineitem="lineitem")}) AS b""")
 def landing_append(spark, sf):
     """Landing without truncation keeps what was there and adds the new rows with their own time."""
-    warehouse = _warehouse(spark)
+    warehouse = new_warehouse(spark)
     lines = spark.sql(_LINE_TEXT, lineitem=table(spark, sf, "lineitem"))
     land(warehouse, lines, "raw_lines", T0)
     land(warehouse, lines, "raw_lines", RUN, truncate=False)
@@ -166,7 +135,7 @@ def landing_append(spark, sf):
 @query(f"SELECT *, {_RUN} AS created_at FROM ({_LINE_TEXT.format(lineitem='lineitem')}) AS a")
 def landing_truncate(spark, sf):
     """Landing with truncation replaces the previous rows."""
-    warehouse = _warehouse(spark)
+    warehouse = new_warehouse(spark)
     lines = spark.sql(_LINE_TEXT, lineitem=table(spark, sf, "lineitem"))
     land(warehouse, lines, "raw_lines", T0)
     land(warehouse, lines, "raw_lines", RUN)
@@ -178,7 +147,7 @@ def landing_truncate(spark, sf):
     UNION ALL SELECT 'after publish', count(*) FROM orders""")
 def snapshot_publish(spark, sf):
     """A written version stays invisible until it is published."""
-    warehouse = _warehouse(spark)
+    warehouse = new_warehouse(spark)
     orders = table(spark, sf, "orders")
     first = warehouse.write(STAGING, "orders", orders.where("o_orderstatus = 'O'"), ("o_orderkey",))
     warehouse.publish(first)
@@ -197,5 +166,5 @@ def snapshot_publish(spark, sf):
 @query(f"SELECT id_venta, id_cliente, precio FROM {_SECOND_STAGED} AS s")
 def active_sales(spark, sf):
     """The rows the service layer sees after a second load: soft-deleted ones are out."""
-    loaded = retail_second_load(spark, sf)
-    return active(loaded).select("id_venta", "id_cliente", "precio")
+    warehouse, _ = loaded_twice(spark, sf)
+    return active(warehouse.read(STAGING, "stg_ventas")).select("id_venta", "id_cliente", "precio")

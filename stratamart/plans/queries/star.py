@@ -7,59 +7,19 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from stratamart.operators import (
-    assign_surrogate_keys,
     check_constraints,
-    conform,
-    date_dimension,
     fact_rows,
-    lookup_key,
     lookup_keys,
     orphaned_keys,
     unmatched_report,
 )
 from stratamart.operators.calendar import date_dimension_for
+from stratamart.plans.queries.loaded import served, staged
 from stratamart.plans.queries.registry import query, table
-from stratamart.plans.queries.roles import (
-    CALENDAR_SQL,
-    MODEL,
-    STAGED_SQL,
-    entity,
-    keyed_sql,
-    raw,
-
-)
-
-
-_SALES_FACT = MODEL.facts[0]
-_DIMENSION_ENTITIES = {
-    "dim_cliente": ("clientes", "sk_cliente"),
-    "dim_producto": ("productos", "sk_producto"),
-    "dim_sucursal": ("sucursales", "sk_sucursal"),
-    "dim_empleado": ("empleados", "sk_empleado"),
-    "dim_canal": ("canal_venta", "sk_canal"),
-}
-
-
-def staged(spark, sf, name):
-    spec = entity(name)
-    return conform(raw(spark, sf, spec.source), spec)
+from stratamart.plans.queries.roles import CALENDAR_SQL, MODEL, STAGED_SQL, keyed_sql
 
-
-def calendar(spark, start=None, end=None):
-    spec = MODEL.calendar
-    days = date_dimension(spark, start or spec.start, end or spec.end)
-    return assign_surrogate_keys(days, ["fecha"], 0, "sk_tiempo")
-
-
-def dimension(spark, sf, name):
-    """A dimension on first load."""
-    entity_name, surrogate = _DIMENSION_ENTITIES[name]
-    return assign_surrogate_keys(staged(spark, sf, entity_name), entity(entity_name).keys, 0, surrogate)
-
-
-def sales_dimensions(spark, sf):
-    dims = {name: dimension(spark, sf, name) for name in _DIMENSION_ENTITIES}
-    return dims | {"dim_tiempo": calendar(spark)}
+_SALES_FACT, _PURCHASES_FACT, _EXPENSES_FACT = MODEL.facts
+_SALES_DIMENSIONS = sorted({lookup.dimension for lookup in _SALES_FACT.lookups})
 
 
 @query("""
@@ -93,7 +53,8 @@ _FACT_SQL = f"""
 
 @query(_FACT_SQL)
 def star_lookup(spark, sf):
-    return fact_rows(staged(spark, sf, "ventas"), sales_dimensions(spark, sf), _SALES_FACT)
+    dims = served(spark, sf, *_SALES_DIMENSIONS)
+    return fact_rows(staged(spark, sf, "stg_ventas"), dims, _SALES_FACT)
 
 
 @query(f"""
@@ -106,13 +67,15 @@ def star_lookup_hot_keys(spark, sf):
     Customers with fifteen sales or more count as hot here.
     """
     lookup = replace(_SALES_FACT.lookups[0], carry=("provincia",))
-    return lookup_key(
-        staged(spark, sf, "ventas").select("id_venta", "id_cliente"),
-        dimension(spark, sf, "dim_cliente"),
-        lookup,
+    keyed = lookup_keys(
+        staged(spark, sf, "stg_ventas").select("id_venta", "id_cliente"),
+        served(spark, sf, "dim_cliente"),
+        [lookup],
         "id_venta",
         hot_rows=15,
+        max_broadcast=0,
     )
+    return keyed.select("id_venta", "sk_cliente", "provincia")
 
 
 _DAY_ROLES = tuple(lk for lk in _SALES_FACT.lookups if lk.dimension == "dim_tiempo")
@@ -123,8 +86,8 @@ _DAY_ROLES = tuple(lk for lk in _SALES_FACT.lookups if lk.dimension == "dim_tiem
     FROM {STAGED_SQL["ventas"]} AS v JOIN {CALENDAR_SQL} AS d1 ON v.fecha = d1.fecha
     JOIN {CALENDAR_SQL} AS d2 ON v.fecha_entrega = d2.fecha""")
 def role_playing_dates(spark, sf):
-    sales = staged(spark, sf, "ventas").select("id_venta", "fecha", "fecha_entrega")
-    keyed = lookup_keys(sales, {"dim_tiempo": calendar(spark)}, _DAY_ROLES, "id_venta")
+    sales = staged(spark, sf, "stg_ventas").select("id_venta", "fecha", "fecha_entrega")
+    keyed = lookup_keys(sales, served(spark, sf, "dim_tiempo"), _DAY_ROLES, "id_venta")
     return keyed.select("id_venta", "sk_tiempo_venta", "sk_tiempo_entrega")
 
 
@@ -140,8 +103,8 @@ _BRANCH_ROLES = tuple(
     LEFT JOIN {keyed_sql("empleados", "id_empleado, sucursal", "sk_empleado")} AS e
            ON v.id_empleado = e.id_empleado AND b.sucursal = e.sucursal""")
 def left_composite_lookup(spark, sf):
-    dims = {name: dimension(spark, sf, name) for name in ("dim_sucursal", "dim_empleado")}
-    sales = staged(spark, sf, "ventas").select("id_venta", "id_sucursal", "id_empleado")
+    dims = served(spark, sf, "dim_sucursal", "dim_empleado")
+    sales = staged(spark, sf, "stg_ventas").select("id_venta", "id_sucursal", "id_empleado")
     keyed = lookup_keys(sales, dims, _BRANCH_ROLES, "id_venta")
     return keyed.select("id_venta", "sk_sucursal", "sk_empleado")
 
@@ -176,8 +139,9 @@ _SHORT_END = "1999-12-31"  # a calendar that ends before the last orders
     UNION ALL SELECT 'dim_canal', 'sk_canal', count(*) FILTER (WHERE id_canal IS NULL),
            count(*) FILTER (WHERE id_canal NOT IN (SELECT id_canal FROM ch)) FROM v""")
 def unmatched_lookups(spark, sf):
-    dims = sales_dimensions(spark, sf) | {"dim_tiempo": calendar(spark, end=_SHORT_END)}
-    return unmatched_report(staged(spark, sf, "ventas"), dims, _SALES_FACT.lookups)
+    dims = served(spark, sf, *_SALES_DIMENSIONS)
+    dims["dim_tiempo"] = dims["dim_tiempo"].where(F.col("fecha") <= _SHORT_END)
+    return unmatched_report(staged(spark, sf, "stg_ventas"), dims, _SALES_FACT.lookups)
 
 
 @query("""
@@ -199,7 +163,7 @@ def orphaned_foreign_keys(spark, sf):
            FROM {STAGED_SQL["clientes"]} AS c
     UNION ALL SELECT 'domicilio', 'max_length_200', 0""")
 def constraint_violations(spark, sf):
-    clients = staged(spark, sf, "clientes")
+    clients = staged(spark, sf, "stg_clientes")
     required = clients.select("id_cliente", "telefono", "edad").schema
     for field in required:
         field.nullable = False
@@ -215,32 +179,17 @@ def constraint_violations(spark, sf):
          ON c.id_proveedor = s.id_proveedor
     JOIN {CALENDAR_SQL} AS d ON c.fecha = d.fecha""")
 def purchases_fact(spark, sf):
-    suppliers = assign_surrogate_keys(
-        staged(spark, sf, "proveedores"), ["id_proveedor"], 0, "sk_proveedor"
-    )
-    dims = {
-        "dim_producto": dimension(spark, sf, "dim_producto"),
-        "dim_proveedor": suppliers,
-        "dim_tiempo": calendar(spark),
-    }
-    return fact_rows(staged(spark, sf, "compras"), dims, MODEL.facts[1])
+    dims = served(spark, sf, "dim_producto", "dim_proveedor", "dim_tiempo")
+    return fact_rows(staged(spark, sf, "stg_compras"), dims, _PURCHASES_FACT)
 
 
 @query(f"""
     SELECT g.id_gasto, b.sk_sucursal, d.sk_tiempo, t.sk_tipo_gasto, g.monto
     FROM {STAGED_SQL["gastos"]} AS g
     JOIN {keyed_sql("sucursales", "id_sucursal", "sk_sucursal")} AS b ON g.id_sucursal = b.id_sucursal
-    JOIN (SELECT fecha, row_number() OVER (ORDER BY fecha) AS sk_tiempo
-          FROM (SELECT DISTINCT fecha FROM {STAGED_SQL["gastos"]} AS x) AS y) AS d ON g.fecha = d.fecha
+    JOIN {CALENDAR_SQL} AS d ON g.fecha = d.fecha
     JOIN {keyed_sql("tipo_gasto", "id_tipo_gasto", "sk_tipo_gasto")} AS t
          ON g.id_tipo_gasto = t.id_tipo_gasto""")
 def expenses_fact(spark, sf):
-    expenses = staged(spark, sf, "gastos")
-    kinds = assign_surrogate_keys(staged(spark, sf, "tipo_gasto"), ["id_tipo_gasto"], 0, "sk_tipo_gasto")
-    days = assign_surrogate_keys(expenses.select("fecha").distinct(), ["fecha"], 0, "sk_tiempo")
-    dims = {
-        "dim_sucursal": dimension(spark, sf, "dim_sucursal"),
-        "dim_tipo_gasto": kinds,
-        "dim_tiempo": days,
-    }
-    return fact_rows(expenses, dims, MODEL.facts[2])
+    dims = served(spark, sf, "dim_sucursal", "dim_tipo_gasto", "dim_tiempo")
+    return fact_rows(staged(spark, sf, "stg_gastos"), dims, _EXPENSES_FACT)

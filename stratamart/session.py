@@ -20,6 +20,8 @@ def get_spark(app: str = "stratamart", master: str | None = None, **conf: object
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # Recording a Python call site for every column costs more than planning small merges.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     } | {k: str(v) for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -16,9 +16,9 @@ import json
 import re
 import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,6 +43,8 @@ class Snapshot:
     schema: StructType
     bucket_count: int = 0
     bucket_keys: tuple[str, ...] = ()
+    # What was measured while writing; not stored.
+    metrics: Mapping[str, int] = field(default_factory=dict, compare=False)
 
     def to_json(self) -> str:
         return json.dumps(
@@ -143,34 +145,44 @@ class Warehouse:
         keys: tuple[str, ...] = (),
         append: bool = False,
         merged_from: Snapshot | None = None,
+        measure: Mapping[str, Column] | None = None,
     ) -> Snapshot:
         """Write a new, unpublished version; with ``append`` it includes the current one.
 
         ``merged_from`` is the target snapshot ``rows`` were merged with. If it has the same buckets,
         the merge already left each bucket in one task; otherwise rows are brought together first.
+        ``measure`` names aggregates to take in passing; they and the row count are the snapshot's
+        ``metrics``, so a check needs no second pass over the data.
         """
         version = self._next_version(layer, table)
         folder = f"data-{version:08d}-{uuid.uuid4().hex[:8]}"
         location = f"{self.root}/{layer}/{table}/{folder}"
         bucket_count = self.buckets.get(table, 0) if keys and not append else 0
-        writer = rows.write.format("parquet").mode("errorifexists")
+        layout = (merged_from.bucket_count, merged_from.bucket_keys) if merged_from else None
+        if bucket_count and layout != (bucket_count, keys):
+            rows = rows.repartition(bucket_count, *keys)
+        observation = Observation()
+        observed = rows.observe(
+            observation, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (measure or {}).items()]
+        )
+        writer = observed.write.format("parquet").mode("errorifexists")
+        folders = (folder,)
         if bucket_count:
-            snapshot = Snapshot(layer, table, version, (folder,), rows.schema, bucket_count, keys)
-            layout = (merged_from.bucket_count, merged_from.bucket_keys) if merged_from else None
-            if layout != (bucket_count, keys):
-                writer = (
-                    rows.repartition(bucket_count, *keys).write.format("parquet").mode("errorifexists")
-                )
+            name = self._catalog_name(layer, table, folder)
             (
                 writer.bucketBy(bucket_count, *keys)
                 .sortBy(*keys)
                 .option("path", location)
-                .saveAsTable(self._catalog_name(snapshot))
+                .saveAsTable(name)
             )
-            return snapshot
-        writer.save(location)
-        older = self.current(layer, table).folders if append and self.exists(layer, table) else ()
-        return Snapshot(layer, table, version, (*older, folder), rows.schema)
+        else:
+            writer.save(location)
+            if append and self.exists(layer, table):
+                folders = (*self.current(layer, table).folders, folder)
+        layout_keys = keys if bucket_count else ()
+        return Snapshot(
+            layer, table, version, folders, rows.schema, bucket_count, layout_keys, observation.get
+        )
 
     def publish(self, snapshot: Snapshot) -> None:
         """Make a written version the current one, in one step."""
@@ -196,13 +208,13 @@ class Warehouse:
 
     # -- catalog names for bucketed snapshots ---------------------------------------------------
 
-    def _catalog_name(self, snapshot: Snapshot) -> str:
-        where = hashlib.sha1(f"{self.root}/{snapshot.folders[0]}".encode()).hexdigest()[:16]
-        return f"{snapshot.layer}__{snapshot.table}__{where}"
+    def _catalog_name(self, layer: str, table: str, folder: str) -> str:
+        where = hashlib.sha1(f"{self.root}/{folder}".encode()).hexdigest()[:16]
+        return f"{layer}__{table}__{where}"
 
     def _register(self, snapshot: Snapshot) -> str:
         """Bucketing is a catalog property in Spark: declare it for files written elsewhere too."""
-        name = self._catalog_name(snapshot)
+        name = self._catalog_name(snapshot.layer, snapshot.table, snapshot.folders[0])
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in snapshot.schema)
             keys = ", ".join(f"`{k}`" for k in snapshot.bucket_keys)
