@@ -21,6 +21,7 @@ from stratamart.operators.star import (
     fact_rows,
     lookup_keys,
     orphaned_keys,
+    shuffles_facts,
     unmatched_report,
 )
 from stratamart.operators.summaries import (
@@ -62,6 +63,7 @@ __all__ = [
     "monthly_sales",
     "orphaned_keys",
     "rejected",
+    "shuffles_facts",
     "table_counts",
     "top_products",
     "unmatched_report",

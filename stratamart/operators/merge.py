@@ -78,13 +78,16 @@ def merge_upsert(
     cols: Sequence[str],
     run_ts: dt.datetime,
     sk: str,
+    newest: int | None = None,
 ) -> DataFrame:
     """Overwrite matched rows, add new ones with the next surrogate keys, keep all others as is.
 
-    Only the keys that are new are numbered, so a repeat run moves no more than those.
+    Only the keys that are new are numbered, so a repeat run moves no more than those. ``newest`` is
+    the highest surrogate key of the target if known; otherwise the target is scanned for it.
     """
     source = source.select(*keys, *cols)
-    newest = target.agg(F.coalesce(F.max(sk), F.lit(0))).first()[0]
+    if newest is None:
+        newest = target.agg(F.coalesce(F.max(sk), F.lit(0))).first()[0]
     new_keys = source.select(*keys).join(target.select(*keys), on=list(keys), how="left_anti")
     numbered = assign_surrogate_keys(new_keys, keys, newest, sk)
     rows = _outer_join(

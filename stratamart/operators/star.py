@@ -130,6 +130,14 @@ def lookup_keys(
     return keyed
 
 
+def shuffles_facts(
+    dims: Mapping[str, DataFrame], lookups: Sequence[DimLookup], max_broadcast: int | None = None
+) -> bool:
+    """Whether some dimension is too large to be broadcast, so that its lookup moves the facts."""
+    sides = [_dimension_side(dims[lookup.dimension], lookup) for lookup in lookups]
+    return not all(_will_be_broadcast(side, max_broadcast) for side in sides)
+
+
 def fact_rows(staged: DataFrame, dims: Mapping[str, DataFrame], spec: FactSpec) -> DataFrame:
     """The rows a fact merge takes as its source: key, surrogate keys and measures."""
     measures = [F.expr(sql).cast(spec.types[m]).alias(m) for m, sql in spec.measures.items()]

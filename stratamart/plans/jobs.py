@@ -31,10 +31,11 @@ from stratamart.operators.merge import (
     merge_soft_delete,
     merge_upsert,
 )
-from stratamart.operators.star import fact_rows, unmatched_report
+from stratamart.operators.star import fact_rows, shuffles_facts, unmatched_report
 from stratamart.operators.summaries import active_deleted_summary, dimension_size, fact_totals
 from stratamart.session import require_ansi, timestamp_literal
 from stratamart.sources.delimited import land, path_exists, read_feed
+from stratamart.sources.shared_folder import ensure_checkpoint_dir
 from stratamart.sources.warehouse import Snapshot, Warehouse, empty_frame
 from stratamart.specs import (
     AUDIT_CREATED,
@@ -53,6 +54,8 @@ from stratamart.specs import (
 )
 
 _CONCURRENT_TABLES = 8
+# The highest surrogate key of a snapshot, kept with it so that no later load has to look for it.
+_NEWEST = "newest key"
 
 
 class LoadError(RuntimeError):
@@ -115,24 +118,20 @@ def _run_steps(steps: Iterable[tuple[str, Callable[[], int]]]) -> RunReport:
 
 def load_calendar(warehouse: Warehouse, spec: CalendarSpec, run_ts: dt.datetime) -> int:
     """Add the days of the spec's range that the calendar lacks; existing days keep their keys."""
-    wanted = date_dimension(warehouse.spark, spec.start, spec.end)
+    days = date_dimension(warehouse.spark, spec.start, spec.end)
     run = timestamp_literal(run_ts)
+    audit = {AUDIT_CREATED: run, AUDIT_UPDATED: run}
     if warehouse.exists(SERVICE, spec.table):
         present = warehouse.read(SERVICE, spec.table)
         newest = present.agg(F.coalesce(F.max(spec.surrogate), F.lit(0))).first()[0]
-        missing = wanted.join(present.select("fecha"), on="fecha", how="left_anti")
+        missing = days.join(present.select("fecha"), on="fecha", how="left_anti")
+        added = assign_surrogate_keys(missing, ["fecha"], newest, spec.surrogate)
+        rows = insert_absent(present, added.withColumns(audit), ["fecha"])
     else:
-        present, newest, missing = None, 0, wanted
-    added = assign_surrogate_keys(missing, ["fecha"], newest, spec.surrogate).select(
-        spec.surrogate,
-        *wanted.columns,
-        run.alias(AUDIT_CREATED),
-        run.alias(AUDIT_UPDATED),
-    )
-    rows = added if present is None else insert_absent(present, added, ["fecha"])
+        numbered = assign_surrogate_keys(days, ["fecha"], 0, spec.surrogate)
+        rows = numbered.select(spec.surrogate, *days.columns).withColumns(audit)
     snapshot = warehouse.write(SERVICE, spec.table, rows)
-    written = warehouse.read_snapshot(snapshot)
-    assert_unique(written, ["fecha"], spec.table)
+    assert_unique(warehouse.read_snapshot(snapshot), ["fecha"], spec.table)
     warehouse.publish(snapshot)
     return snapshot.metrics["rows"]
 
@@ -250,12 +249,20 @@ def run_staging(
     entities: Iterable[EntitySpec],
     run_ts: dt.datetime,
     max_delete_fraction: float | None = None,
+    dedupe: Mapping[str, tuple[str, ...]] | None = None,
 ) -> RunReport:
-    """Merge every entity; a failing one does not stop the others."""
+    """Merge every entity; a failing one does not stop the others.
+
+    ``dedupe`` maps entity names to the columns that decide between rows with the same key.
+    """
     require_ansi(warehouse.spark)
 
     def merging(spec: EntitySpec):
-        return f"merge {spec.table}", lambda: stage_entity(warehouse, spec, run_ts, max_delete_fraction)
+        order = (dedupe or {}).get(spec.name)
+        return (
+            f"merge {spec.table}",
+            lambda: stage_entity(warehouse, spec, run_ts, max_delete_fraction, order),
+        )
 
     return _run_steps([merging(spec) for spec in entities])
 
@@ -280,10 +287,12 @@ def _upsert_and_publish(
     run_ts: dt.datetime,
 ) -> int:
     current, target = _target(warehouse, SERVICE, spec)
-    merged = merge_upsert(target, source, keys, columns, run_ts, spec.surrogate)
+    newest = current.metrics.get(_NEWEST) if current and current.folders else 0
+    merged = merge_upsert(target, source, keys, columns, run_ts, spec.surrogate, newest)
     constraints = constraint_measures(spec.schema(), lengths)
+    measures = constraints | {_NEWEST: F.coalesce(F.max(spec.surrogate), F.lit(0))}
     snapshot = warehouse.write(
-        SERVICE, spec.table, merged, keys, merged_from=current, measure=constraints
+        SERVICE, spec.table, merged, keys, merged_from=current, measure=measures
     )
     assert_measures(snapshot.metrics, constraints, spec.table)
     assert_unique(warehouse.read_snapshot(snapshot), keys, spec.table)
@@ -309,7 +318,12 @@ def _dimensions_of(warehouse: Warehouse, spec: FactSpec) -> dict[str, DataFrame]
 def load_fact(warehouse: Warehouse, spec: FactSpec, run_ts: dt.datetime) -> int:
     """Resolve the active staging rows against the dimensions and upsert them."""
     staged = active(warehouse.read(STAGING, spec.source))
-    source = fact_rows(staged, _dimensions_of(warehouse, spec), spec)
+    dims = _dimensions_of(warehouse, spec)
+    source = fact_rows(staged, dims, spec)
+    if shuffles_facts(dims, spec.lookups):
+        # The merge reads its source twice: do not shuffle the facts through the lookups twice.
+        ensure_checkpoint_dir(warehouse.spark)
+        source = source.checkpoint()
     return _upsert_and_publish(warehouse, spec, source, (spec.key,), spec.columns, {}, run_ts)
 
 
@@ -355,6 +369,7 @@ def run_warehouse(
     create: bool = False,
     only_init: bool = False,
     max_delete_fraction: float | None = None,
+    dedupe: Mapping[str, tuple[str, ...]] | None = None,
     landed: Mapping[str, DataFrame] | None = None,
 ) -> RunReport:
     """Optionally reset and create, then land, stage and serve. Stops after the first failed layer.
@@ -389,7 +404,7 @@ def run_warehouse(
         report += _run_steps([landing(t, df) for t, df in landed.items()])
     if not report.ok:
         return report
-    report += run_staging(warehouse, model.entities, run_ts, max_delete_fraction)
+    report += run_staging(warehouse, model.entities, run_ts, max_delete_fraction, dedupe)
     if not report.ok:
         return report
     return report + run_service(warehouse, model.dimensions, model.facts, run_ts)

@@ -43,7 +43,7 @@ class Snapshot:
     schema: StructType
     bucket_count: int = 0
     bucket_keys: tuple[str, ...] = ()
-    # What was measured while writing; not stored.
+    # What was measured while writing, "rows" among it.
     metrics: Mapping[str, int] = field(default_factory=dict, compare=False)
 
     def to_json(self) -> str:
@@ -53,6 +53,7 @@ class Snapshot:
                 "schema": self.schema.jsonValue(),
                 "bucket_count": self.bucket_count,
                 "bucket_keys": self.bucket_keys,
+                "metrics": self.metrics,
             }
         )
 
@@ -67,6 +68,7 @@ class Snapshot:
             StructType.fromJson(stored["schema"]),
             stored["bucket_count"],
             tuple(stored["bucket_keys"]),
+            stored["metrics"],
         )
 
 

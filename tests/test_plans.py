@@ -63,7 +63,7 @@ def test_bucketed_snapshots_have_one_file_per_bucket(warehouse):
 def test_filters_and_columns_reach_the_scan(warehouse):
     df = warehouse.read(STAGING, "stg_ventas").where("NOT is_deleted").select("id_venta")
     text = plan(df)
-    assert "PushedFilters" in text and "EqualTo(is_deleted,false)" in text
+    assert "PushedFilters: [IsNotNull(is_deleted), Not(EqualTo(is_deleted,true))]" in text
     assert "ReadSchema: struct<id_venta:int,is_deleted:boolean>" in text
 
 

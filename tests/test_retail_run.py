@@ -19,10 +19,9 @@ from stratamart.plans import (
     unmatched_facts,
 )
 from stratamart.plans import retail
+from stratamart.plans.jobs import load_calendar, load_fact
 from stratamart.sources import Warehouse
-from stratamart.specs import SERVICE, STAGING
-
-NTZ0 = T0
+from stratamart.specs import SERVICE, STAGING, CalendarSpec
 
 
 @pytest.fixture(scope="module", params=[{}, {"stg_ventas": 4, "fact_ventas": 4, "stg_empleados": 4}])
@@ -214,3 +213,42 @@ def test_only_init_and_report_frame(spark, tmp_path):
     assert frame.count() == len(report.steps)
     assert create_tables(wh, RETAIL, T1).ok and report.seconds > 0
     assert run_service(wh, RETAIL.dimensions, RETAIL.facts, T1).ok
+
+
+def test_calendar_grows_and_keeps_its_keys(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    spec = CalendarSpec("dim_tiempo", "sk_tiempo", "2020-01-05", "2020-01-10")
+    assert load_calendar(wh, spec, T0) == 6
+    keys = {r.fecha: (r.sk_tiempo, r.created_at) for r in wh.read(SERVICE, "dim_tiempo").collect()}
+    wider = CalendarSpec("dim_tiempo", "sk_tiempo", "2020-01-01", "2020-01-12")
+    assert load_calendar(wh, wider, T1) == 12
+    after = {r.fecha: (r.sk_tiempo, r.created_at) for r in wh.read(SERVICE, "dim_tiempo").collect()}
+    assert {day: after[day] for day in keys} == keys
+    assert sorted(k for k, _ in after.values()) == list(range(1, 13))
+    assert load_calendar(wh, spec, T2) == 12
+
+
+def test_dedupe_is_opt_in(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    twice = CLIENTES + "7;Cordoba;Luis Nuevo;;222;42;Cordoba;-64,18;-31,42;2019-05-06;u;2020-01-01;;1;z\n"
+    feeds = write_feeds(tmp_path / "a", Clientes=twice)
+    assert run_warehouse(wh, RETAIL, feeds, T0, True, True).failed_steps == ["merge stg_clientes"]
+    latest = {"clientes": ("fecha_ultima_modificacion",)}
+    assert run_warehouse(wh, RETAIL, feeds, T1, dedupe=latest).ok
+    names = {r.id_cliente: r.nombre_apellido for r in wh.read(STAGING, "stg_clientes").collect()}
+    assert names[7] == "Luis Nuevo" and len(names) == 3
+
+
+def test_fact_load_with_dimensions_too_large_to_broadcast(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), {"stg_ventas": 4, "fact_ventas": 4})
+    assert run_warehouse(wh, RETAIL, write_feeds(tmp_path / "a"), T0, True, True).ok
+    expected = sorted(map(tuple, wh.read(SERVICE, "fact_ventas").drop("updated_at").collect()))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert load_fact(wh, retail.FACT_VENTAS, T1) == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    loaded = wh.read(SERVICE, "fact_ventas")
+    assert sorted(map(tuple, loaded.drop("updated_at").collect())) == expected
+    assert wh.current(SERVICE, "fact_ventas").metrics["newest key"] == 4
