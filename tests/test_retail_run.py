@@ -1,6 +1,7 @@
 """Full runs over hand-written feeds."""
 
 import datetime as dt
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -24,6 +25,9 @@ from stratamart.sources import Warehouse
 from stratamart.specs import SERVICE, STAGING, CalendarSpec
 
 
+BUCKETS = {"stg_clientes": 3, "dim_cliente": 3, "stg_ventas": 4, "fact_ventas": 4}
+
+
 @pytest.fixture(scope="module", params=[{}, {"stg_ventas": 4, "fact_ventas": 4, "stg_empleados": 4}])
 def loaded(request, spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("retail")
@@ -34,6 +38,21 @@ def loaded(request, spark, tmp_path_factory):
     return wh, report
 
 
+@pytest.fixture(scope="module")
+def first_load(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("first")
+    wh = Warehouse(spark, str(base / "wh"), BUCKETS)
+    assert run_warehouse(wh, RETAIL, write_feeds(base / "feeds"), T0, True, True).ok
+    return base / "wh"
+
+
+@pytest.fixture
+def wh(spark, first_load, tmp_path):
+    """A warehouse after its first load, free to be changed: snapshots can be copied anywhere."""
+    shutil.copytree(first_load, tmp_path / "wh")
+    return Warehouse(spark, str(tmp_path / "wh"), BUCKETS)
+
+
 def test_every_table_exists_and_is_reported(loaded):
     wh, report = loaded
     assert len(wh.tables("landing_zone")) == 10
@@ -115,11 +134,7 @@ def test_unmatched_report(loaded, rows):
     }
 
 
-def test_second_run_soft_deletes_and_keeps_keys(spark, tmp_path):
-    buckets = {"stg_clientes": 3, "dim_cliente": 3, "stg_ventas": 4, "fact_ventas": 4}
-    wh = Warehouse(spark, str(tmp_path / "wh"), buckets)
-    feeds = write_feeds(tmp_path / "a")
-    assert run_warehouse(wh, RETAIL, feeds, T0, create_schema=True, create=True).ok
+def test_second_run_soft_deletes_and_keeps_keys(wh, tmp_path):
     keys = {r.id_venta: r.sk_venta for r in wh.read(SERVICE, "fact_ventas").collect()}
 
     fewer = "\n".join(line for line in VENTA.splitlines() if not line.startswith(("1,", "2,"))) + "\n"
@@ -151,18 +166,14 @@ def test_second_run_soft_deletes_and_keeps_keys(spark, tmp_path):
     assert staged[8].is_deleted and staged[8].deleted_at == T2
 
 
-def test_missing_feed_stops_before_staging(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path / "wh"))
-    assert run_warehouse(wh, RETAIL, write_feeds(tmp_path / "a"), T0, True, True).ok
+def test_missing_feed_stops_before_staging(wh, tmp_path):
     report = run_warehouse(wh, RETAIL, write_feeds(tmp_path / "b", Venta=None), T1)
     assert report.failed_steps == ["land Venta.csv"]
     assert not any(s.name.startswith("merge") for s in report.steps)
     assert wh.read(STAGING, "stg_clientes").where("updated_at > created_at").isEmpty()
 
 
-def test_failing_entity_keeps_its_snapshot_and_the_others_go_on(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path / "wh"))
-    assert run_warehouse(wh, RETAIL, write_feeds(tmp_path / "a"), T0, True, True).ok
+def test_failing_entity_keeps_its_snapshot_and_the_others_go_on(wh, tmp_path):
     bad = VENTA + "7,2018-05-01,2018-05-02,1,1,1,100,10,1,\"2,5\"\n"
     report = run_warehouse(wh, RETAIL, write_feeds(tmp_path / "b", Venta=bad), T1)
     assert report.failed_steps == ["merge stg_ventas"]
@@ -182,17 +193,14 @@ def test_failing_entity_keeps_its_snapshot_and_the_others_go_on(spark, tmp_path)
     assert "fecha not_null: 1 rows" in next(s.message for s in report.steps if not s.ok)
 
 
-def test_service_reports_null_measures(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path / "wh"))
+def test_service_reports_null_measures(wh, tmp_path):
     no_quantity = "IdCompra,Fecha,IdProducto,Cantidad,Precio,IdProveedor\n1,2018-01-05,10,,4.5,1\n"
-    report = run_warehouse(wh, RETAIL, write_feeds(tmp_path / "a", Compra=no_quantity), T0, True, True)
+    report = run_warehouse(wh, RETAIL, write_feeds(tmp_path / "a", Compra=no_quantity), T1)
     assert report.failed_steps == ["merge fact_compras"]
     assert wh.count(SERVICE, "fact_ventas") == 4
 
 
-def test_delete_guard_is_opt_in(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path / "wh"))
-    assert run_warehouse(wh, RETAIL, write_feeds(tmp_path / "a"), T0, True, True).ok
+def test_delete_guard_is_opt_in(wh, tmp_path):
     empty = VENTA.splitlines()[0] + "\n"
     feeds = write_feeds(tmp_path / "b", Venta=empty)
     report = run_warehouse(wh, RETAIL, feeds, T1, max_delete_fraction=0.5)
@@ -228,20 +236,17 @@ def test_calendar_grows_and_keeps_its_keys(spark, tmp_path):
     assert load_calendar(wh, spec, T2) == 12
 
 
-def test_dedupe_is_opt_in(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path / "wh"))
+def test_dedupe_is_opt_in(wh, tmp_path):
     twice = CLIENTES + "7;Cordoba;Luis Nuevo;;222;42;Cordoba;-64,18;-31,42;2019-05-06;u;2020-01-01;;1;z\n"
     feeds = write_feeds(tmp_path / "a", Clientes=twice)
-    assert run_warehouse(wh, RETAIL, feeds, T0, True, True).failed_steps == ["merge stg_clientes"]
+    assert run_warehouse(wh, RETAIL, feeds, T1).failed_steps == ["merge stg_clientes"]
     latest = {"clientes": ("fecha_ultima_modificacion",)}
     assert run_warehouse(wh, RETAIL, feeds, T1, dedupe=latest).ok
     names = {r.id_cliente: r.nombre_apellido for r in wh.read(STAGING, "stg_clientes").collect()}
     assert names[7] == "Luis Nuevo" and len(names) == 3
 
 
-def test_fact_load_with_dimensions_too_large_to_broadcast(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path / "wh"), {"stg_ventas": 4, "fact_ventas": 4})
-    assert run_warehouse(wh, RETAIL, write_feeds(tmp_path / "a"), T0, True, True).ok
+def test_fact_load_with_dimensions_too_large_to_broadcast(spark, wh):
     expected = sorted(map(tuple, wh.read(SERVICE, "fact_ventas").drop("updated_at").collect()))
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
