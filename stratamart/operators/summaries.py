@@ -43,24 +43,27 @@ def fact_totals(fact: DataFrame, spec: FactSpec, calendar: DataFrame | None = No
     """Rows, total amount and, if the spec has a date role, its first and last calendar key.
 
     ``fecha_min`` and ``fecha_max`` are surrogate keys. With ``calendar`` the real first and last
-    day follow; they are found on the keys that occur, not on the fact rows.
+    day follow: the fact is then summed per day before it meets the calendar, in the same pass.
     """
-    columns = [
-        F.count(F.lit(1)).alias("total_registros"),
-        F.sum(spec.total).cast(_MONEY).alias(spec.total_label),
-    ]
+    total = F.sum(spec.total)
+    columns = [F.count(F.lit(1)).alias("total_registros"), total.cast(_MONEY).alias(spec.total_label)]
     if spec.date_range:
         columns += [F.min(spec.date_range).alias("fecha_min"), F.max(spec.date_range).alias("fecha_max")]
-    totals = fact.agg(*columns).select(F.lit(spec.table).alias("tabla"), "*")
     if spec.date_range and calendar is not None:
-        used = fact.select(F.col(spec.date_range).alias("sk_tiempo")).distinct()
-        days = calendar.join(used, on="sk_tiempo", how="left_semi").agg(
-            F.min("fecha").alias("primer_dia"), F.max("fecha").alias("ultimo_dia")
+        day = F.col(spec.date_range)
+        per_day = fact.groupBy(day.alias("sk_tiempo")).agg(
+            F.count(F.lit(1)).alias("__rows"), total.alias("__total")
         )
-        # One row on either side.
-        totals = totals.withColumn("__one", F.lit(1)).join(days.withColumn("__one", F.lit(1)), "__one")
-        totals = totals.drop("__one")
-    return totals
+        fact = per_day.join(calendar.select("sk_tiempo", "fecha"), on="sk_tiempo", how="left")
+        columns = [
+            F.coalesce(F.sum("__rows"), F.lit(0)).alias("total_registros"),
+            F.sum("__total").cast(_MONEY).alias(spec.total_label),
+            F.min("sk_tiempo").alias("fecha_min"),
+            F.max("sk_tiempo").alias("fecha_max"),
+            F.min("fecha").alias("primer_dia"),
+            F.max("fecha").alias("ultimo_dia"),
+        ]
+    return fact.agg(*columns).select(F.lit(spec.table).alias("tabla"), "*")
 
 
 def calendar_coverage(calendar: DataFrame) -> DataFrame:

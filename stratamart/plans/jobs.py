@@ -8,7 +8,6 @@ submitted to Spark concurrently.
 from __future__ import annotations
 
 import datetime as dt
-import time
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -67,8 +66,15 @@ class StepResult:
     name: str
     ok: bool
     rows: int = 0
-    seconds: float = 0.0
     message: str = ""
+    started_at: dt.datetime | None = None
+    finished_at: dt.datetime | None = None
+
+    @property
+    def seconds(self) -> float:
+        if self.started_at is None or self.finished_at is None:
+            return 0.0
+        return (self.finished_at - self.started_at).total_seconds()
 
 
 @dataclass(frozen=True)
@@ -87,7 +93,11 @@ class RunReport:
 
     @property
     def seconds(self) -> float:
-        return sum(s.seconds for s in self.steps)
+        """From the start of the first step to the end of the last; steps may overlap."""
+        if not self.steps:
+            return 0.0
+        started = min(s.started_at for s in self.steps)
+        return (max(s.finished_at for s in self.steps) - started).total_seconds()
 
     def __add__(self, other: RunReport) -> RunReport:
         return RunReport(self.steps + other.steps)
@@ -100,12 +110,12 @@ class RunReport:
 
 
 def _run_step(name: str, work: Callable[[], int]) -> StepResult:
-    started = time.monotonic()
+    started = dt.datetime.now()
     try:
-        rows = work()
+        rows, message, ok = work(), "", True
     except Exception as error:  # the report carries it; the other tables go on
-        return StepResult(name, False, 0, time.monotonic() - started, f"{type(error).__name__}: {error}")
-    return StepResult(name, True, rows, time.monotonic() - started)
+        rows, message, ok = 0, f"{type(error).__name__}: {error}", False
+    return StepResult(name, ok, rows, message, started, dt.datetime.now())
 
 
 def _run_steps(steps: Iterable[tuple[str, Callable[[], int]]]) -> RunReport:

@@ -19,6 +19,8 @@ def get_spark(app: str = "stratamart", master: str | None = None, **conf: object
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Bucketed snapshots have one sorted file per bucket: merges need not sort them again.
+        "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Recording a Python call site for every column costs more than planning small merges.
         "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -81,15 +81,18 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str, buckets: Mapping[str, int] | None = None):
         self.spark = spark
-        self.root = root.rstrip("/")
         self.buckets = dict(buckets or {})
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.root = self._fs.makeQualified(self._path(root)).toString().rstrip("/")
 
     # -- layers ---------------------------------------------------------------------------------
 
     def reset(self) -> None:
         """Drop every layer with its tables and create the layers again."""
         for layer in LAYERS:
+            for table in self._children(self.root, layer):
+                for folder in self._children(self.root, layer, table):
+                    self._delete_data(layer, table, folder)
             self._fs.delete(self._path(self.root, layer), True)
             self._fs.mkdirs(self._path(self.root, layer))
 
@@ -205,8 +208,12 @@ class Warehouse:
         for version in commits[:-keep]:
             self._fs.delete(self._path(self.root, layer, table, _COMMITS, f"{version:08d}"), False)
         for folder in self._children(self.root, layer, table):
-            if folder.startswith("data-") and folder not in kept:
-                self._fs.delete(self._path(self.root, layer, table, folder), True)
+            if folder not in kept:
+                self._delete_data(layer, table, folder)
+
+    def _delete_data(self, layer: str, table: str, folder: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS `{self._catalog_name(layer, table, folder)}`")
+        self._fs.delete(self._path(self.root, layer, table, folder), True)
 
     # -- catalog names for bucketed snapshots ---------------------------------------------------
 

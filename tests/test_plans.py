@@ -35,6 +35,7 @@ def test_merge_into_a_bucketed_snapshot_shuffles_only_the_source(spark, warehous
     merged = merge_soft_delete(target, source, ["id_venta"], ["fecha"], T1)
     assert shuffles(merged) == 1
     assert "SortMergeJoin" in plan(merged)
+    assert plan(merged).count("- Sort [") == 1  # sorted buckets: only the source is sorted
 
 
 def test_key_check_of_a_bucketed_snapshot_shuffles_nothing(warehouse):

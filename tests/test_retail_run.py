@@ -2,6 +2,7 @@
 
 import datetime as dt
 import shutil
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -257,3 +258,12 @@ def test_fact_load_with_dimensions_too_large_to_broadcast(spark, wh):
     loaded = wh.read(SERVICE, "fact_ventas")
     assert sorted(map(tuple, loaded.drop("updated_at").collect())) == expected
     assert wh.current(SERVICE, "fact_ventas").metrics["newest key"] == 4
+
+
+def test_rebuilding_a_table_with_another_key(wh):
+    by_id = replace(retail.EMPLEADOS, keys=("id_empleado",))
+    assert run_staging(wh, [by_id], T1).failed_steps == ["merge stg_empleados"]
+    by_id_and_branch = retail.EMPLEADOS
+    wh.create(STAGING, by_id_and_branch.table, by_id_and_branch.schema())
+    assert run_staging(wh, [by_id_and_branch], T1).ok
+    assert wh.read(STAGING, "stg_empleados").where(f"created_at = timestamp_ntz'{T1}'").count() == 3
