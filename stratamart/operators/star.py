@@ -9,6 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.sources.warehouse import plan_size
 from stratamart.specs import DimLookup, FactSpec
 
 # A key with this many rows or more is spread over several tasks.
@@ -19,16 +20,12 @@ _MOST_HOT_KEYS = 1_000
 _SALTS = 64
 
 
-def _plan_size(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def _will_be_broadcast(df: DataFrame, max_bytes: int | None) -> bool:
     """Whether Spark, by its own size check, broadcasts this side."""
     if max_bytes is None:
         conf = df.sparkSession._jsparkSession.sessionState().conf()
         max_bytes = conf.autoBroadcastJoinThreshold()
-    return _plan_size(df) <= max_bytes
+    return plan_size(df) <= max_bytes
 
 
 def _dimension_side(dim: DataFrame, lookup: DimLookup) -> DataFrame:

@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stratamart.plans.jobs import LoadError, RunReport, run_warehouse
+from stratamart.plans.queries.registry import table
 from stratamart.plans.queries.roles import MODEL, RAW, RUN, T0, raw
-from stratamart.sources import Warehouse
+from stratamart.sources import Warehouse, bucket_count_for
 from stratamart.sources.shared_folder import fresh_folder
 from stratamart.specs import SERVICE, STAGING
 
-# Tables large enough to be worth co-partitioning; a cluster would use many more buckets.
+# Tables large enough to be worth co-partitioning.
 _BUCKETED = ("stg_ventas", "fact_ventas", "stg_compras", "fact_compras", "stg_clientes", "dim_cliente")
 
 _loads: dict[tuple[str, str, str], tuple[Warehouse, RunReport]] = {}
 
 
-def new_warehouse(spark: SparkSession) -> Warehouse:
-    """A warehouse in a new folder below the shared one."""
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def new_warehouse(spark: SparkSession, sf: str) -> Warehouse:
+    """A warehouse in a new folder below the shared one, bucketed for the size of the data."""
+    buckets = bucket_count_for(table(spark, sf, "lineitem"))
     return Warehouse(spark, fresh_folder(spark, "warehouse"), dict.fromkeys(_BUCKETED, buckets))
 
 
@@ -31,7 +32,7 @@ def _require(report: RunReport) -> RunReport:
 
 def load(spark: SparkSession, sf: str) -> tuple[Warehouse, RunReport]:
     """A complete first load into a new warehouse."""
-    warehouse = new_warehouse(spark)
+    warehouse = new_warehouse(spark, sf)
     landed = {name: raw(spark, sf, name) for name in RAW}
     report = run_warehouse(warehouse, MODEL, None, T0, create_schema=True, create=True, landed=landed)
     return warehouse, _require(report)
@@ -61,8 +62,8 @@ def loaded_twice(spark: SparkSession, sf: str) -> tuple[Warehouse, RunReport]:
     return _once(spark, sf, "second", load_twice)
 
 
-def staged(spark: SparkSession, sf: str, table: str) -> DataFrame:
-    return loaded(spark, sf)[0].read(STAGING, table)
+def staged(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return loaded(spark, sf)[0].read(STAGING, name)
 
 
 def served(spark: SparkSession, sf: str, *tables: str) -> dict[str, DataFrame]:

@@ -125,7 +125,7 @@ def feed_latin1_multiline(spark, sf):
     UNION ALL SELECT *, {_RUN} AS created_at FROM ({_LINE_TEXT.format(lineitem="lineitem")}) AS b""")
 def landing_append(spark, sf):
     """Landing without truncation keeps what was there and adds the new rows with their own time."""
-    warehouse = new_warehouse(spark)
+    warehouse = new_warehouse(spark, sf)
     lines = spark.sql(_LINE_TEXT, lineitem=table(spark, sf, "lineitem"))
     land(warehouse, lines, "raw_lines", T0)
     land(warehouse, lines, "raw_lines", RUN, truncate=False)
@@ -135,7 +135,7 @@ def landing_append(spark, sf):
 @query(f"SELECT *, {_RUN} AS created_at FROM ({_LINE_TEXT.format(lineitem='lineitem')}) AS a")
 def landing_truncate(spark, sf):
     """Landing with truncation replaces the previous rows."""
-    warehouse = new_warehouse(spark)
+    warehouse = new_warehouse(spark, sf)
     lines = spark.sql(_LINE_TEXT, lineitem=table(spark, sf, "lineitem"))
     land(warehouse, lines, "raw_lines", T0)
     land(warehouse, lines, "raw_lines", RUN)
@@ -147,7 +147,7 @@ def landing_truncate(spark, sf):
     UNION ALL SELECT 'after publish', count(*) FROM orders""")
 def snapshot_publish(spark, sf):
     """A written version stays invisible until it is published."""
-    warehouse = new_warehouse(spark)
+    warehouse = new_warehouse(spark, sf)
     orders = table(spark, sf, "orders")
     first = warehouse.write(STAGING, "orders", orders.where("o_orderstatus = 'O'"), ("o_orderkey",))
     warehouse.publish(first)

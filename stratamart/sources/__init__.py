@@ -1,10 +1,11 @@
 from stratamart.sources.delimited import land, path_exists, read_feed, resolve_delimiter
 from stratamart.sources.shared_folder import ensure_checkpoint_dir, shared_folder
-from stratamart.sources.warehouse import Snapshot, Warehouse, empty_frame
+from stratamart.sources.warehouse import Snapshot, Warehouse, bucket_count_for, empty_frame
 
 __all__ = [
     "Snapshot",
     "Warehouse",
+    "bucket_count_for",
     "empty_frame",
     "ensure_checkpoint_dir",
     "land",

@@ -32,6 +32,18 @@ def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def plan_size(df: DataFrame) -> int:
+    """Spark's own estimate of the bytes in a DataFrame; for stored tables it follows their files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def bucket_count_for(df: DataFrame, bucket_bytes: int = 1 << 30) -> int:
+    """How many buckets a table about as large as ``df`` needs; at least one per core."""
+    spark = df.sparkSession
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-plan_size(df) // bucket_bytes)))
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """A written version of a table: its data folders (none if empty) and the layout if bucketed."""
@@ -75,8 +87,8 @@ class Snapshot:
 class Warehouse:
     """The tables below one root folder on any Hadoop-compatible file system.
 
-    ``buckets`` maps table names to bucket counts; size them so that one bucket fits a task. Tables
-    left out are plain Parquet.
+    ``buckets`` maps table names to bucket counts; size them so that one bucket fits a task (see
+    ``bucket_count_for``). Tables left out are plain Parquet.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: Mapping[str, int] | None = None):

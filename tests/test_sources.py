@@ -5,7 +5,14 @@ from conftest import T0, T1
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from stratamart.sources import Warehouse, land, path_exists, read_feed, resolve_delimiter
+from stratamart.sources import (
+    Warehouse,
+    bucket_count_for,
+    land,
+    path_exists,
+    read_feed,
+    resolve_delimiter,
+)
 from stratamart.sources.delimited import has_multiline_fields
 from stratamart.specs import LANDING, STAGING, FeedSpec
 
@@ -135,3 +142,12 @@ def test_listing_reset_and_vacuum(spark, tmp_path):
         wh.read(STAGING, "nothing")
     wh.reset()
     assert wh.tables(STAGING) == [] and len(wh.layers()) == 4
+
+
+def test_bucket_counts_follow_the_size(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    df = wh.read_snapshot(wh.write(STAGING, "t", spark.range(100_000)))
+    cores = spark.sparkContext.defaultParallelism
+    assert bucket_count_for(df) == cores
+    assert cores < bucket_count_for(df, 1000) < 100_000
+    assert bucket_count_for(df, 1) == 100_000  # Spark's own limit
