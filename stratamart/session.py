@@ -37,5 +37,7 @@ def require_ansi(spark: SparkSession) -> None:
 
 
 def timestamp_literal(value: dt.datetime) -> Column:
-    """The run timestamp as a zone-less literal."""
+    """The run timestamp as a zone-less literal; one with a zone is taken in UTC."""
+    if value.tzinfo is not None:
+        value = value.astimezone(dt.UTC).replace(tzinfo=None)
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stratamart import functions as fn
 from stratamart.operators import conform, rejected
+from stratamart.session import timestamp_literal
 from stratamart.specs import EntitySpec, date, decimal, integer, text
 
 
@@ -141,3 +142,10 @@ def test_rows_left_out_never_reach_a_cast(spark):
     one = conform(raw, SPEC)
     assert one.join(one.select("id"), "id").count() == 1
     assert one.where("id > 0").count() == 1
+
+
+def test_run_timestamps_have_no_zone(spark):
+    plain = dt.datetime(2024, 6, 1, 6, 0, 0, 250)
+    zoned = plain.replace(tzinfo=dt.timezone(dt.timedelta(hours=-3)))
+    row = spark.range(1).select(timestamp_literal(plain), timestamp_literal(zoned)).first()
+    assert tuple(row) == (plain, plain + dt.timedelta(hours=3))
