@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratamart.llm import bpe, pii
+from stratamart.llm import bpe, pii, toxicity
 from stratamart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +17,14 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_digest(table(spark, folder, "documents"), public_tokenizers.path(bpe.RANKS))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, folder, "labels")))
+
+
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pii_digest(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_byte_bpe, op10_pii)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_byte_bpe, op7_toxicity, op10_pii)}
 SQL: dict[str, str] = {}
