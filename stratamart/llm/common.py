@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if nothing else is set."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stratamart.llm import bpe, pii, toxicity
-from stratamart.llm.common import table
+from stratamart.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,5 +27,14 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pii_digest(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_byte_bpe, op7_toxicity, op10_pii)}
+def _registered(run: Query) -> Query:
+    @wraps(run)
+    def call(spark: SparkSession, folder: str) -> DataFrame:
+        importable(spark)
+        return run(spark, folder)
+
+    return call
+
+
+QUERIES: dict[str, Query] = {f.__name__: _registered(f) for f in (op2_byte_bpe, op7_toxicity, op10_pii)}
 SQL: dict[str, str] = {}
