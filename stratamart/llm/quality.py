@@ -30,6 +30,8 @@ from stratamart.llm.common import row_mapper, slices, texts_of
 GOOD, BAD, ABSTAIN = 1, 0, -1
 FEATURES = 1 << 14
 MAX_SAMPLE = 6_000
+#: Texts that score less are rejected. Below one half: a few plain words are no evidence against a text.
+REJECT_BELOW = 0.35
 _EPOCHS = 30
 _RATE = 0.05
 _ENDS = re.compile(rb"[A-Za-z\x80-\xff][.!?](?:\s|$)")
@@ -289,7 +291,7 @@ def score(docs: DataFrame, model: QualityModel, id_column: str = "doc_id", text_
 
     run = row_mapper(None, ["score"], [pa.float64()], prepare)
     scored = texts_of(docs, id_column, text_column).mapInArrow(run, "doc_id long, score double")
-    return scored.withColumn("kept", F.col("score") >= 0.5)
+    return scored.withColumn("kept", F.col("score") >= REJECT_BELOW)
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text_column: str = "text") -> DataFrame:
@@ -300,6 +302,6 @@ def keep_good(docs: DataFrame, model: QualityModel, text_column: str = "text") -
     def good(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         one = shared.value.scorer()
         for texts in batches:
-            yield texts.map(lambda t: one(t) >= 0.5)
+            yield texts.map(lambda t: one(t) >= REJECT_BELOW)
 
     return docs.where(good(F.coalesce(F.col(text_column), F.lit(""))))

@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratamart.llm import bpe, pii, quality, toxicity
+from stratamart.llm import bpe, pii, quality, simhash, toxicity
 from stratamart.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_digest(table(spark, folder, "documents"), public_tokenizers.path(bpe.RANKS))
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return quality.score(documents, quality.train(documents))
@@ -41,5 +45,5 @@ def _registered(run: Query) -> Query:
     return call
 
 
-QUERIES: dict[str, Query] = {f.__name__: _registered(f) for f in (op2_byte_bpe, op6_quality, op7_toxicity, op10_pii)}
+QUERIES: dict[str, Query] = {f.__name__: _registered(f) for f in (op2_byte_bpe, op5_simhash, op6_quality, op7_toxicity, op10_pii)}
 SQL: dict[str, str] = {}

@@ -1,0 +1,53 @@
+"""Documents with the cases every operator must survive."""
+
+import pytest
+from pyspark.sql import types as T
+
+DOCUMENTS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+
+WORDS = "the river runs past quiet mills and old stone bridges while people walk home under tall trees".split()
+
+
+def prose(seed: int, length: int) -> str:
+    return " ".join(WORDS[(seed * 7 + i * (seed % 5 + 1) + i * i) % len(WORDS)] for i in range(length)) + "."
+
+
+@pytest.fixture(scope="session")
+def odd_texts():
+    """(doc_id, text): NULLs, empty, blank, very long, ties, repeated rows, a row without an id."""
+    return [
+        (1, None),
+        (2, ""),
+        (3, " \n\t "),
+        (4, prose(1, 60)),
+        (5, prose(1, 60)),
+        (6, prose(2, 60)),
+        (6, prose(2, 60)),
+        (7, prose(3, 30_000)),
+        (8, "ß É 漢字 \U0001f600  x"),
+        (9, "word"),
+        (9, "another text of the same id"),
+        (None, prose(4, 20)),
+    ]
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """A documents table from (doc_id, text) pairs, with extra columns whose names operators use inside."""
+
+    def made(pairs, extra=True):
+        df = spark.createDataFrame([(d, t, "en", "src", len(t or "")) for d, t in pairs], DOCUMENTS)
+        if extra:
+            for name in ("score", "part", "value", "fp", "ids", "votes", "root", "least", "start", "length"):
+                df = df.selectExpr("*", f"'x' as {name}")
+        return df
+
+    return made
