@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratamart.llm import bpe, pii, quality, simhash, toxicity
+from stratamart.llm import bpe, packing, pii, quality, simhash, toxicity
 from stratamart.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, folder, "labels")))
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path(packing.VOCABULARY))
+
+
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pii_digest(table(spark, folder, "documents"))
 
@@ -45,5 +49,5 @@ def _registered(run: Query) -> Query:
     return call
 
 
-QUERIES: dict[str, Query] = {f.__name__: _registered(f) for f in (op2_byte_bpe, op5_simhash, op6_quality, op7_toxicity, op10_pii)}
+QUERIES: dict[str, Query] = {f.__name__: _registered(f) for f in (op2_byte_bpe, op5_simhash, op6_quality, op7_toxicity, op9_packing, op10_pii)}
 SQL: dict[str, str] = {}
