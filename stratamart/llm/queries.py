@@ -7,8 +7,9 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratamart.llm import bpe, packing, pii, quality, simhash, toxicity
+from stratamart.llm import ann, bpe, packing, pii, quality, simhash, toxicity, vector_dedup
 from stratamart.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,10 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_digest(table(spark, folder, "documents"), public_tokenizers.path(bpe.RANKS))
 
 
+def op4_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -32,6 +37,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, folder, "labels")))
 
 
+def op8_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path(packing.VOCABULARY))
 
@@ -40,6 +49,18 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pii_digest(table(spark, folder, "documents"))
 
 
+OPERATORS = (
+    op2_byte_bpe,
+    op4_ann,
+    op5_simhash,
+    op6_quality,
+    op7_toxicity,
+    op8_vector_dedup,
+    op9_packing,
+    op10_pii,
+)
+
+
 def _registered(run: Query) -> Query:
     @wraps(run)
     def call(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,5 +70,5 @@ def _registered(run: Query) -> Query:
     return call
 
 
-QUERIES: dict[str, Query] = {f.__name__: _registered(f) for f in (op2_byte_bpe, op5_simhash, op6_quality, op7_toxicity, op9_packing, op10_pii)}
+QUERIES: dict[str, Query] = {f.__name__: _registered(f) for f in OPERATORS}
 SQL: dict[str, str] = {}
