@@ -9,16 +9,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm import ann, bpe, packing, pii, quality, simhash, toxicity, vector_dedup
+from stratamart.llm import ann, bpe, extraction, packing, pii, quality, simhash, toxicity, url_filter, vector_dedup
 from stratamart.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return extraction.main_text(pages, extraction.train(pages))
+
+
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_digest(table(spark, folder, "documents"), public_tokenizers.path(bpe.RANKS))
 
 
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
 def op4_ann(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -50,7 +68,9 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 OPERATORS = (
+    op1_main_text,
     op2_byte_bpe,
+    op3_url_filter,
     op4_ann,
     op5_simhash,
     op6_quality,
@@ -71,4 +91,26 @@ def _registered(run: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _registered(f) for f in OPERATORS}
-SQL: dict[str, str] = {}
+_RULES = " union all ".join(
+    f"select '{r.action}' as action, '{r.host}' as rule_host, '{r.path}' as rule_path" for r in URL_RULES
+)
+SQL: dict[str, str] = {
+    "op3_url_filter": rf"""
+    with rules as ({_RULES}),
+    parts as (
+      select page_id,
+        translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+      from pages),
+    keys as (select distinct host, path from parts),
+    fitting as (
+      select k.host, k.path, arg_max(r.rule_host || r.rule_path, length(r.rule_host || r.rule_path)) as rule,
+        arg_max(r.action, length(r.rule_host || r.rule_path)) as action
+      from keys k join rules r
+        on (k.host = r.rule_host or ends_with(k.host, '.' || r.rule_host)) and starts_with(k.path, r.rule_path)
+      group by all)
+    select p.page_id, p.host, p.path, f.rule, coalesce(f.action, 'allow') as verdict
+    from parts p left join fitting f on p.host = f.host and p.path = f.path
+    """,
+}
