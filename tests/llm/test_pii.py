@@ -1,0 +1,95 @@
+"""Personal data: base patterns against the plain patterns, cues by examples."""
+
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from stratamart.llm import pii
+
+
+def plain_base(text):
+    """The patterns as they are stated, without anchors."""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m[0] if c.isdigit()]
+        doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+        if 13 <= len(digits) <= 19 and sum(doubled) % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def base(text):
+    return [s for s in pii.find_spans(text) if s[0] in pii.BASE_KINDS]
+
+
+EXAMPLES = [
+    "", "a@b.c", "@b.c a@ a@b a@b. .a@-.-", "a@b.c@d.e@f.g", "x@@y.z", "a@b.c.@d.e", "1.2.3.4", "1.2.3.4.5.6.7.8", "256.1.1.1 001.02.3.255",
+    "4111 1111 1111 1111", "4111-1111-1111-1111 1", "41111111111111111111111", "+1 (555) 555-5555", "++1 555 555 5555 +12 +1234567890123456",
+    "é\U0001f600 joe@x.org 10.0.0.1", "a%b+c@d-e.f-g.h..i", "٣٣.1.1.1 ٤111 1111 1111 1111", "1" * 5000, "1." * 3000, "a" * 5000 + "@", "+1" + "(" * 3000,
+]
+
+
+@pytest.mark.parametrize("text", EXAMPLES)
+def test_base_examples(text):
+    assert base(text) == plain_base(text)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from([*"a.@-+% 0149()é", "4111", "255", "256", ".1", "b@c.d", "+1 5", " at ", "://"]), max_size=40))
+def test_base_is_the_plain_patterns(parts):
+    text = "".join(parts)
+    assert base(text) == plain_base(text)
+
+
+CUES = {
+    "write to joe.doe [at] mail (dot) example (dot) com today": [("email_spelled", "joe.doe [at] mail (dot) example (dot) com")],
+    "see https://joe:secret@host.example/x": [("url_login", "joe:secret@host.example")],
+    "IBAN: DE89 3704 0044 0532 0130 00 A cat": [("iban", "DE89 3704 0044 0532 0130 00")],
+    "IBAN DE88370400440532013000": [],
+    "SSN 123-45-6789.": [("ssn", "123-45-6789")],
+    "account no. 12345678, accounts 12": [("account", "12345678")],
+    "meet at noon": [],
+}
+
+
+@pytest.mark.parametrize("text", CUES)
+def test_cues(text):
+    found = [(k, text[a:b]) for k, a, b in pii.find_spans(text) if k not in pii.BASE_KINDS]
+    assert found == CUES[text]
+
+
+def test_redaction():
+    text = "mail joe@x.org or call +1 (555) 555-5555; card 4111 1111 1111 1111, host 10.0.0.1 é"
+    assert pii.redact_text(text) == "mail [EMAIL] or call [PHONE]; card [CARD], host [IP] é"
+    assert pii.redact_text("https://joe:pw@x.org") == "https://[URL_LOGIN]"
+    assert pii.redact_text("nothing") == "nothing"
+
+
+def test_digest(make_docs, odd_texts):
+    pairs = [*odd_texts, (20, "joe@x.org 10.0.0.1"), (20, "joe@x.org 10.0.0.1"), (21, "x " * 40_000 + "joe@x.org")]
+    got = sorted((tuple(r) for r in pii.pii_digest(make_docs(pairs)).collect()), key=repr)
+    expected = []
+    for doc, text in pairs:
+        spans = plain_base(text or "")
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        counts = [sum(s[0] == kind for s in spans) for kind in ("email", "ip", "card", "phone")]
+        expected.append((doc, *counts, hashlib.sha256(joined.encode()).hexdigest(), joined))
+    assert got == sorted(expected, key=repr)
+    assert pii.pii_digest(make_docs([])).count() == 0
+
+
+def test_spans_and_redacted_rows(make_docs):
+    docs = make_docs([(1, "joe@x.org"), (2, None), (3, "")])
+    assert [tuple(r) for r in pii.pii_spans(docs).collect()] == [(1, "email", 0, 9)]
+    redacted = pii.redact(docs)
+    assert redacted.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in redacted.collect() if r.text is not None) == [(1, "[EMAIL]"), (3, "")]
