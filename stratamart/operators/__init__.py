@@ -14,6 +14,7 @@ from stratamart.operators.marts import branch_performance, monthly_sales, top_pr
 from stratamart.operators.merge import (
     insert_absent,
     latest_per_key,
+    change_measures,
     merge_soft_delete,
     merge_upsert,
 )
@@ -58,6 +59,7 @@ __all__ = [
     "latest_deleted",
     "latest_per_key",
     "lookup_keys",
+    "change_measures",
     "merge_soft_delete",
     "merge_upsert",
     "monthly_sales",

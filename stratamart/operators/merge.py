@@ -18,6 +18,7 @@ from stratamart.operators.keys import assign_surrogate_keys
 from stratamart.session import timestamp_literal
 from stratamart.specs import AUDIT_CREATED, AUDIT_DELETED, AUDIT_DELETED_AT, AUDIT_UPDATED
 
+WAS_ACTIVE = "__was_active"
 _IN_SOURCE, _IN_TARGET, _OLD = "__in_source", "__in_target", "__old_"
 
 
@@ -44,9 +45,13 @@ def merge_soft_delete(
     keys: Sequence[str],
     cols: Sequence[str],
     run_ts: dt.datetime,
+    mark: bool = False,
 ) -> DataFrame:
     """Insert, update (which revives), and soft-delete what the source no longer has.
 
+    With ``mark`` a column ``WAS_ACTIVE`` tells whether the row was active in the target (NULL if it was
+    not there), for ``change_measures`` to count what the run changes.
+
     ===========  ============  ==========  ==========  ==========  ==========
     row in       columns from  created_at  updated_at  is_deleted  deleted_at
     ===========  ============  ==========  ==========  ==========  ==========
@@ -68,9 +73,20 @@ def merge_soft_delete(
         F.when(in_source | removed_now, run).otherwise(_old(AUDIT_UPDATED)).alias(AUDIT_UPDATED),
         (~in_source).alias(AUDIT_DELETED),
         F.when(removed_now, run).when(~in_source, _old(AUDIT_DELETED_AT)).alias(AUDIT_DELETED_AT),
+        *([(~_old(AUDIT_DELETED)).alias(WAS_ACTIVE)] if mark else []),
     )
 
 
+def change_measures() -> dict[str, Column]:
+    """Aggregates over a marked merge: active rows before it, those it deletes and those it revives."""
+    was_active, deleted = F.col(WAS_ACTIVE), F.col(AUDIT_DELETED)
+    return {
+        "active before": F.count_if(was_active),
+        "deleted now": F.count_if(was_active & deleted),
+        "revived now": F.count_if(~was_active & ~deleted),
+    }
+
+
 def merge_upsert(
     target: DataFrame,
     source: DataFrame,

@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.sources.shared_folder import fresh_folder
 from stratamart.sources.warehouse import plan_size
 from stratamart.specs import DimLookup, FactSpec
 
-# A key with this many rows or more is spread over several tasks.
+# Rows of one key that a task may get; a key with more is spread over as many tasks as that takes.
 HOT_KEY_ROWS = 1_000_000
-# At most this many keys are treated as hot. Every other key is joined the ordinary way and holds
-# less than 1/1000 of the rows, so it cannot overload a task.
-_MOST_HOT_KEYS = 1_000
-_SALTS = 64
+# No more keys than this can each have more than 1 / _MOST_HOT_KEYS of the rows. Where a table has more
+# rows than HOT_KEY_ROWS times this number, its tasks get larger instead of the list of keys.
+_MOST_HOT_KEYS = 100_000
 
 
 def _will_be_broadcast(df: DataFrame, max_bytes: int | None) -> bool:
@@ -41,23 +42,23 @@ def _match(lookup: DimLookup) -> Column:
 
 
 def _hot_keys(facts: DataFrame, columns: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Values of ``columns`` held by at least ``hot_rows`` rows, or None if there are none.
+    """Values of ``columns`` that a task's share of rows cannot hold, with the tasks each needs (__salts).
 
-    Counts are exact and combined before the shuffle. At most 1,000 short rows come back, whatever
-    the size of the data.
+    Counts are exact and combined before the shuffle. The list is stored once and never collected; by
+    the choice of the share it has fewer than ``_MOST_HOT_KEYS`` rows, and no key is left out.
     """
+    present = facts.select(*columns).dropna()
+    share = max(hot_rows, -(-present.count() // _MOST_HOT_KEYS))
     found = (
-        facts.select(*columns)
-        .dropna()
-        .groupBy(*columns)
+        present.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") >= hot_rows)
-        .orderBy(F.desc("__n"), *columns)
-        .limit(_MOST_HOT_KEYS)
-        .select(*columns)
+        .where(F.col("__n") > share)
+        .select(*columns, F.ceil(F.col("__n") / share).cast("int").alias("__salts"))
     )
-    keys = found.collect()
-    return facts.sparkSession.createDataFrame(keys, found.schema) if keys else None
+    folder = fresh_folder(facts.sparkSession, "hot-keys")
+    found.write.parquet(folder)
+    stored = facts.sparkSession.read.schema(found.schema).parquet(folder)
+    return None if stored.isEmpty() else stored
 
 
 def _salted(
@@ -69,30 +70,29 @@ def _salted(
 ) -> DataFrame:
     """Shuffled lookup that spreads the rows of hot and of NULL keys over several tasks.
 
-    Their salt is made from the row's own id, so a recomputed task salts alike. The few dimension
-    rows of hot keys are repeated once per salt. All other rows have salt 0.
+    Their salt is made from the row's own id, so a recomputed task salts alike. A hot key has as many
+    salts as it needs tasks, and its dimension row is repeated as often. A NULL key meets no dimension
+    row, so its rows are spread over all tasks. All other rows have salt 0.
     """
-    spread = F.pmod(F.xxhash64(row_id), F.lit(_SALTS)).cast("int")
-    heavy = reduce(or_, [F.col(c).isNull() for c, _ in lookup.on])
-    left, right = facts, side.withColumn("__side_salt", F.lit(0))
+    row_hash = F.xxhash64(row_id)
+    missing = reduce(or_, [F.col(c).isNull() for c, _ in lookup.on])
+    left, right = facts, side.withColumn("__side_salt", F.lit(0).cast("bigint"))
+    salt = F.lit(0).cast("bigint")
     if hot is not None:
         names = {c: f"__key_{i}" for i, (c, _) in enumerate(lookup.on) if c in hot.columns}
-        marked = hot.select(
-            *[F.col(c).alias("__hot" + name) for c, name in names.items()], F.lit(True).alias("__hot")
-        )
+        marked = hot.select(*[F.col(c).alias("__hot" + name) for c, name in names.items()], "__salts")
         on_facts = reduce(and_, [F.col(c) == F.col("__hot" + name) for c, name in names.items()])
         on_side = reduce(and_, [F.col(name) == F.col("__hot" + name) for name in names.values()])
-        # At most 1,000 rows, see _hot_keys.
+        # Fewer than _MOST_HOT_KEYS short rows, see _hot_keys.
         left = facts.join(F.broadcast(marked), on_facts, "left")
-        heavy = heavy | F.col("__hot").isNotNull()
-        all_salts = F.sequence(F.lit(0), F.lit(_SALTS - 1))
-        salts = F.when(F.col("__hot"), all_salts).otherwise(F.array(F.lit(0)))
-        right = side.join(F.broadcast(marked), on_side, "left").withColumn(
-            "__side_salt", F.explode(salts)
-        )
+        salt = F.when(F.col("__salts").isNotNull(), F.pmod(row_hash, F.col("__salts"))).otherwise(salt)
+        salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__salts"), F.lit(1)) - F.lit(1).cast("bigint"))
+        right = side.join(F.broadcast(marked), on_side, "left").withColumn("__side_salt", F.explode(salts))
         right = right.select(*side.columns, "__side_salt")
-    left = left.select(*facts.columns, F.when(heavy, spread).otherwise(0).alias("__salt"))
-    matched = left.join(right, _match(lookup) & (F.col("__salt") == F.col("__side_salt")), lookup.how)
+    left = left.select(*facts.columns, F.when(missing, row_hash).otherwise(salt).alias("__salt"))
+    matched = left.join(
+        right.hint("merge"), _match(lookup) & (F.col("__salt") == F.col("__side_salt")), lookup.how
+    )
     return matched.drop("__salt", "__side_salt")
 
 
@@ -120,7 +120,7 @@ def lookup_keys(
             known = [c for c, _ in lookup.on if c in facts.columns]
             hot = _hot_keys(facts, known, hot_rows) if known else None
             if hot is None and lookup.how == "inner":
-                joined = keyed.join(side, _match(lookup), lookup.how)
+                joined = keyed.join(side.hint("merge"), _match(lookup), lookup.how)
             else:
                 joined = _salted(keyed, side, lookup, hot, row_id)
         keyed = joined.drop(*[f"__key_{i}" for i in range(len(lookup.on))])
@@ -135,57 +135,52 @@ def shuffles_facts(
     return not all(_will_be_broadcast(side, max_broadcast) for side in sides)
 
 
-def fact_rows(staged: DataFrame, dims: Mapping[str, DataFrame], spec: FactSpec) -> DataFrame:
+def fact_rows(
+    staged: DataFrame, dims: Mapping[str, DataFrame], spec: FactSpec, max_broadcast: int | None = None
+) -> DataFrame:
     """The rows a fact merge takes as its source: key, surrogate keys and measures."""
     measures = [F.expr(sql).cast(spec.types[m]).alias(m) for m, sql in spec.measures.items()]
     needed = list(dict.fromkeys([spec.key, *[c for lk in spec.lookups for c, _ in lk.on]]))
     carried = {c for lk in spec.lookups for c in lk.carry}
     narrow = staged.select(*[c for c in needed if c not in carried], *measures)
-    keyed = lookup_keys(narrow, dims, spec.lookups, spec.key)
+    keyed = lookup_keys(narrow, dims, spec.lookups, spec.key, max_broadcast=max_broadcast)
     return keyed.select(spec.key, *[lk.output for lk in spec.lookups], *spec.measures)
 
 
 def unmatched_report(
-    facts: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[DimLookup]
+    facts: DataFrame,
+    dims: Mapping[str, DataFrame],
+    lookups: Sequence[DimLookup],
+    row_id: str,
+    max_broadcast: int | None = None,
 ) -> DataFrame:
     """(dimension, role, null_keys, unknown_keys): fact rows each lookup cannot resolve.
 
-    Distinct key values are counted first, so what is joined to the dimensions is one row per value
-    and not one per fact.
+    One pass over the facts: every lookup is made as a left one, and what it found is counted. A lookup
+    through an attribute of another dimension, which an inner lookup has to find first, only counts rows
+    for which that was found.
     """
-    reports = []
-    for lookup in lookups:
+    needed = {c for lk in lookups for c, _ in lk.on} - {c for lk in lookups for c in lk.carry}
+    narrow = facts.select(*dict.fromkeys([row_id, *[c for c in facts.columns if c in needed]]))
+    kept = [replace(lookup, how="left") for lookup in lookups]
+    keyed = lookup_keys(narrow, dims, kept, row_id, max_broadcast=max_broadcast)
+    counts, entries = [], []
+    for i, lookup in enumerate(lookups):
         columns = [c for c, _ in lookup.on]
-        # A lookup through an attribute of another dimension: fetch the attribute first.
-        rows = facts
-        for earlier in lookups:
-            if set(earlier.carry) & set(columns):
-                needed = [c for c in columns if c not in earlier.carry]
-                source = rows.select(*needed, *[c for c, _ in earlier.on])
-                per_value = source.groupBy(*source.columns).agg(F.count(F.lit(1)).alias("n"))
-                side = _dimension_side(dims[earlier.dimension], earlier).drop(earlier.output)
-                rows = per_value.join(side, _match(earlier), earlier.how)
-        weight = F.col("n") if "n" in rows.columns else F.lit(1)
-        per_key = rows.groupBy(*columns).agg(F.sum(weight).alias("n"))
-        marked = per_key.join(
-            _dimension_side(dims[lookup.dimension], lookup).withColumn("__found", F.lit(True)),
-            _match(lookup),
-            "left",
-        )
         missing = reduce(or_, [F.col(c).isNull() for c in columns])
-        unknown = ~missing & F.col("__found").isNull()
-        reports.append(
-            marked.agg(
-                F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("null_keys"),
-                F.coalesce(F.sum(F.when(unknown, F.col("n"))), F.lit(0)).alias("unknown_keys"),
-            ).select(
+        unknown = ~missing & F.col(lookup.output).isNull()
+        through = [lk for lk in lookups if lk.how == "inner" and set(lk.carry) & set(columns)]
+        reached = reduce(and_, [F.col(lk.output).isNotNull() for lk in through], F.lit(True))
+        counts += [F.count_if(reached & missing).alias(f"n{i}"), F.count_if(reached & unknown).alias(f"u{i}")]
+        entries.append(
+            F.struct(
                 F.lit(lookup.dimension).alias("dimension"),
                 F.lit(lookup.output).alias("role"),
-                F.col("null_keys").cast("bigint").alias("null_keys"),
-                F.col("unknown_keys").cast("bigint").alias("unknown_keys"),
+                F.col(f"n{i}").alias("null_keys"),
+                F.col(f"u{i}").alias("unknown_keys"),
             )
         )
-    return reduce(DataFrame.unionByName, reports)
+    return keyed.agg(*counts).select(F.inline(F.array(*entries)))
 
 
 def orphaned_keys(facts: DataFrame, column: str, dim: DataFrame, dim_key: str) -> DataFrame:

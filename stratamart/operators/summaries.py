@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,17 +87,22 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def find_duplicates(df: DataFrame, keys: Sequence[str], listed: str, list_name: str) -> DataFrame:
     """Keys on more than one row, their row count and their distinct ``listed`` values in order.
 
-    Rows are first counted per key and value, which combines before the shuffle; only those counts
-    meet per key.
+    Rows are first counted per key and value, which combines before the shuffle; only those counts meet
+    per key. Keys that occur once are left out before anything is listed. NULL values are not listed;
+    where all are NULL the list is NULL. A NULL key is a key.
     """
-    per_value = df.groupBy(*keys, listed).agg(F.count(F.lit(1)).alias("n"))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cantidad")).where(F.col("cantidad") > 1)
+    per_value = df.select(*keys, listed).distinct()
+    same = reduce(and_, [F.col(f"__{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)])
+    several = sizes.select("cantidad", *[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)])
+    values = F.array_sort(F.collect_list(listed))
     return (
-        per_value.groupBy(*keys)
+        per_value.join(several, same)
+        .groupBy(*keys)
         .agg(
-            F.sum("n").alias("cantidad"),
-            F.array_join(F.array_sort(F.collect_list(listed)), ", ").alias(list_name),
+            F.first("cantidad").alias("cantidad"),
+            F.when(F.count(listed) > 0, F.array_join(values, ", ")).alias(list_name),
         )
-        .where(F.col("cantidad") > 1)
         .orderBy(F.desc("cantidad"), *keys)
     )
 

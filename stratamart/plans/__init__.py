@@ -1,7 +1,7 @@
 from stratamart.plans.jobs import (
     LoadError,
-    RunReport,
-    StepResult,
+    Report,
+    Step,
     create_tables,
     run_landing,
     run_service,
@@ -16,8 +16,8 @@ from stratamart.plans.retail import RETAIL
 __all__ = [
     "RETAIL",
     "LoadError",
-    "RunReport",
-    "StepResult",
+    "Report",
+    "Step",
     "create_tables",
     "run_landing",
     "run_service",

@@ -8,11 +8,13 @@ submitted to Spark concurrently.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Mapping
+import time
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.operators.calendar import date_dimension
@@ -25,6 +27,8 @@ from stratamart.operators.checks import (
 from stratamart.operators.conform import active, conform
 from stratamart.operators.keys import assign_surrogate_keys
 from stratamart.operators.merge import (
+    WAS_ACTIVE,
+    change_measures,
     insert_absent,
     latest_per_key,
     merge_soft_delete,
@@ -32,14 +36,12 @@ from stratamart.operators.merge import (
 )
 from stratamart.operators.star import fact_rows, shuffles_facts, unmatched_report
 from stratamart.operators.summaries import active_deleted_summary, dimension_size, fact_totals
-from stratamart.session import require_ansi, timestamp_literal
-from stratamart.sources.delimited import land, path_exists, read_feed
-from stratamart.sources.shared_folder import ensure_checkpoint_dir
+from stratamart.session import require_ansi, shuffles_for, timestamp_literal
+from stratamart.sources.delimited import folder_bytes, land, path_exists, read_feed
+from stratamart.sources.shared_folder import fresh_folder
 from stratamart.sources.warehouse import Snapshot, Warehouse, empty_frame
 from stratamart.specs import (
     AUDIT_CREATED,
-    AUDIT_DELETED,
-    AUDIT_DELETED_AT,
     AUDIT_UPDATED,
     LANDING,
     SERVICE,
@@ -61,66 +63,50 @@ class LoadError(RuntimeError):
     """A job was asked to go on although an earlier layer failed."""
 
 
-@dataclass(frozen=True)
-class StepResult:
-    name: str
+class Step(NamedTuple):
+    """One line of a report: what was done, whether it worked, rows written, how long it took, what went wrong."""
+
+    step: str
     ok: bool
-    rows: int = 0
-    message: str = ""
-    started_at: dt.datetime | None = None
-    finished_at: dt.datetime | None = None
+    rows: int
+    seconds: float
+    message: str
 
-    @property
-    def seconds(self) -> float:
-        if self.started_at is None or self.finished_at is None:
-            return 0.0
-        return (self.finished_at - self.started_at).total_seconds()
 
+class Report(tuple):
+    """The steps of a run in their order; reports are joined by ``+``."""
 
-@dataclass(frozen=True)
-class RunReport:
-    """What each step did."""
+    __slots__ = ()
 
-    steps: tuple[StepResult, ...] = field(default_factory=tuple)
+    def __add__(self, other: tuple) -> Report:
+        return Report((*self, *other))
 
     @property
     def ok(self) -> bool:
-        return all(s.ok for s in self.steps)
+        return not self.failures()
 
-    @property
-    def failed_steps(self) -> list[str]:
-        return [s.name for s in self.steps if not s.ok]
-
-    @property
-    def seconds(self) -> float:
-        """From the start of the first step to the end of the last; steps may overlap."""
-        if not self.steps:
-            return 0.0
-        started = min(s.started_at for s in self.steps)
-        return (max(s.finished_at for s in self.steps) - started).total_seconds()
-
-    def __add__(self, other: RunReport) -> RunReport:
-        return RunReport(self.steps + other.steps)
+    def failures(self) -> dict[str, str]:
+        """The message of every step that failed."""
+        return {s.step: s.message for s in self if not s.ok}
 
     def to_df(self, spark) -> DataFrame:
-        rows = [(s.name, s.ok, s.rows, s.seconds, s.message) for s in self.steps]
         return spark.createDataFrame(
-            rows, "step string, ok boolean, rows bigint, seconds double, message string"
+            list(self), "step string, ok boolean, rows bigint, seconds double, message string"
         )
 
 
-def _run_step(name: str, work: Callable[[], int]) -> StepResult:
-    started = dt.datetime.now()
+def _timed(name: str, work: Callable[[], int]) -> Step:
+    began, rows, problem = time.perf_counter(), 0, ""
     try:
-        rows, message, ok = work(), "", True
+        rows = work()
     except Exception as error:  # the report carries it; the other tables go on
-        rows, message, ok = 0, f"{type(error).__name__}: {error}", False
-    return StepResult(name, ok, rows, message, started, dt.datetime.now())
+        problem = f"{type(error).__name__}: {error}"
+    return Step(name, not problem, rows, time.perf_counter() - began, problem)
 
 
-def _run_steps(steps: Iterable[tuple[str, Callable[[], int]]]) -> RunReport:
+def _run_steps(steps: Iterable[tuple[str, Callable[[], int]]]) -> Report:
     with ThreadPoolExecutor(_CONCURRENT_TABLES) as pool:
-        return RunReport(tuple(pool.map(lambda step: _run_step(*step), steps)))
+        return Report(pool.map(lambda step: _timed(*step), steps))
 
 
 # -- creation -----------------------------------------------------------------------------------
@@ -146,7 +132,7 @@ def load_calendar(warehouse: Warehouse, spec: CalendarSpec, run_ts: dt.datetime)
     return snapshot.metrics["rows"]
 
 
-def create_tables(warehouse: Warehouse, model: WarehouseModel, run_ts: dt.datetime) -> RunReport:
+def create_tables(warehouse: Warehouse, model: WarehouseModel, run_ts: dt.datetime) -> Report:
     """Every table empty, and the calendar filled."""
 
     def made(layer, table, schema):
@@ -163,9 +149,7 @@ def create_tables(warehouse: Warehouse, model: WarehouseModel, run_ts: dt.dateti
     report = _run_steps(steps)
     if model.calendar is not None:
         calendar = model.calendar
-        report += RunReport(
-            (_run_step(f"fill {calendar.table}", lambda: load_calendar(warehouse, calendar, run_ts)),)
-        )
+        report += _run_steps([(f"fill {calendar.table}", lambda: load_calendar(warehouse, calendar, run_ts))])
     return report
 
 
@@ -178,7 +162,7 @@ def run_landing(
     folder: str,
     run_ts: dt.datetime,
     truncate: bool = True,
-) -> RunReport:
+) -> Report:
     """Load each feed found in ``folder``. A missing or malformed one fails, the others go on."""
 
     def loading(feed: FeedSpec):
@@ -207,19 +191,10 @@ def _target(
     return current, warehouse.read_snapshot(current)
 
 
-def _deletion_measures(run_ts: dt.datetime) -> dict[str, Column]:
-    run = timestamp_literal(run_ts)
-    return {
-        "deleted now": F.count_if(F.col(AUDIT_DELETED_AT) == run),
-        "still active": F.count_if(~F.col(AUDIT_DELETED) & (F.col(AUDIT_CREATED) < run)),
-    }
-
-
 def _assert_deletions(measured: Mapping[str, int], max_fraction: float, what: str) -> None:
-    deleted = measured["deleted now"]
-    before = deleted + measured["still active"]
+    before, deleted = measured["active before"], measured["deleted now"]
     if before and deleted > max_fraction * before:
-        raise ConstraintError(f"{what}: would soft-delete {deleted} of {before} rows")
+        raise ConstraintError(f"{what}: would soft-delete {deleted} of {before} active rows")
 
 
 def stage_entity(
@@ -235,19 +210,28 @@ def stage_entity(
     rows with one key to keep; without it such a source is refused.
     """
     source = conform(warehouse.read(LANDING, spec.source), spec)
+    # A key that a source repeats is repeated by the merge. In buckets that shows without a shuffle.
+    bucketed = bool(warehouse.buckets.get(spec.table))
     if dedupe is not None:
         source = latest_per_key(source, spec.keys, dedupe)
-    else:
+    elif not bucketed:
         assert_unique(source, spec.keys, spec.source)
     current, target = _target(warehouse, STAGING, spec)
-    merged = merge_soft_delete(target, source, spec.keys, spec.attributes, run_ts)
+    merged = merge_soft_delete(target, source, spec.keys, spec.attributes, run_ts, mark=True)
     lengths = {r.name: r.max_length for r in spec.columns if r.max_length}
     constraints = constraint_measures(spec.schema(), lengths)
-    measures = constraints | _deletion_measures(run_ts)
     snapshot = warehouse.write(
-        STAGING, spec.table, merged, spec.keys, merged_from=current, measure=measures
+        STAGING,
+        spec.table,
+        merged,
+        spec.keys,
+        merged_from=current,
+        measure=constraints | change_measures(),
+        measured_only=(WAS_ACTIVE,),
     )
     assert_measures(snapshot.metrics, constraints, spec.table)
+    if bucketed and dedupe is None:
+        assert_unique(warehouse.read_snapshot(snapshot), spec.keys, spec.source)
     if max_delete_fraction is not None:
         _assert_deletions(snapshot.metrics, max_delete_fraction, spec.table)
     warehouse.publish(snapshot)
@@ -260,7 +244,7 @@ def run_staging(
     run_ts: dt.datetime,
     max_delete_fraction: float | None = None,
     dedupe: Mapping[str, tuple[str, ...]] | None = None,
-) -> RunReport:
+) -> Report:
     """Merge every entity; a failing one does not stop the others.
 
     ``dedupe`` maps entity names to the columns that decide between rows with the same key.
@@ -325,16 +309,31 @@ def _dimensions_of(warehouse: Warehouse, spec: FactSpec) -> dict[str, DataFrame]
     return {name: warehouse.read(SERVICE, name) for name in names}
 
 
-def load_fact(warehouse: Warehouse, spec: FactSpec, run_ts: dt.datetime) -> int:
-    """Resolve the active staging rows against the dimensions and upsert them."""
+@contextmanager
+def _stored(warehouse: Warehouse, rows: DataFrame, spec: FactSpec) -> Iterator[DataFrame]:
+    """Rows written once to the shared folder, bucketed like the table they are for; deleted at the end."""
+    scratch = Warehouse(warehouse.spark, fresh_folder(warehouse.spark, "resolved"), warehouse.buckets)
+    snapshot = scratch.write(SERVICE, spec.table, rows, (spec.key,))
+    try:
+        yield scratch.read_snapshot(snapshot)
+    finally:
+        scratch.drop(SERVICE, spec.table)
+
+
+def load_fact(warehouse: Warehouse, spec: FactSpec, run_ts: dt.datetime, max_broadcast: int | None = None) -> int:
+    """Resolve the active staging rows against the dimensions and upsert them.
+
+    Where a dimension is too large to be broadcast (more than ``max_broadcast`` bytes; by default Spark's
+    own limit) the facts move for it. They are then stored once, by their key, as the merge reads its
+    source twice.
+    """
     staged = active(warehouse.read(STAGING, spec.source))
     dims = _dimensions_of(warehouse, spec)
-    source = fact_rows(staged, dims, spec)
-    if shuffles_facts(dims, spec.lookups):
-        # The merge reads its source twice: do not shuffle the facts through the lookups twice.
-        ensure_checkpoint_dir(warehouse.spark)
-        source = source.checkpoint()
-    return _upsert_and_publish(warehouse, spec, source, (spec.key,), spec.columns, {}, run_ts)
+    source = fact_rows(staged, dims, spec, max_broadcast)
+    if not shuffles_facts(dims, spec.lookups, max_broadcast):
+        return _upsert_and_publish(warehouse, spec, source, (spec.key,), spec.columns, {}, run_ts)
+    with _stored(warehouse, source, spec) as resolved:
+        return _upsert_and_publish(warehouse, spec, resolved, (spec.key,), spec.columns, {}, run_ts)
 
 
 def run_service(
@@ -342,7 +341,7 @@ def run_service(
     dimensions: Iterable[DimensionSpec],
     facts: Iterable[FactSpec],
     run_ts: dt.datetime,
-) -> RunReport:
+) -> Report:
     """All dimensions, then all facts; a failing table does not stop the others."""
     require_ansi(warehouse.spark)
 
@@ -364,7 +363,7 @@ def service_summary(warehouse: Warehouse, spec: DimensionSpec | FactSpec, calend
 def unmatched_facts(warehouse: Warehouse, spec: FactSpec) -> DataFrame:
     """Active staging rows that each lookup of a fact cannot resolve."""
     staged = active(warehouse.read(STAGING, spec.source))
-    return unmatched_report(staged, _dimensions_of(warehouse, spec), spec.lookups)
+    return unmatched_report(staged, _dimensions_of(warehouse, spec), spec.lookups, spec.key)
 
 
 # -- everything ---------------------------------------------------------------------------------
@@ -381,19 +380,52 @@ def run_warehouse(
     max_delete_fraction: float | None = None,
     dedupe: Mapping[str, tuple[str, ...]] | None = None,
     landed: Mapping[str, DataFrame] | None = None,
-) -> RunReport:
+    keep_versions: int | None = None,
+) -> Report:
     """Optionally reset and create, then land, stage and serve. Stops after the first failed layer.
 
-    ``landed`` gives raw rows by landing table instead of feed files.
+    ``landed`` gives raw rows by landing table instead of feed files. With ``keep_versions`` a run that
+    worked deletes all but that many versions of every table; whoever reads older ones loses them. Without
+    it all versions are kept.
     """
-    report = RunReport()
+    size = 0
+    if folder is not None and path_exists(warehouse.spark, folder):
+        size = folder_bytes(warehouse.spark, folder)
+    with shuffles_for(warehouse.spark, size):
+        report = _run_layers(
+            warehouse, model, folder, run_ts, create_schema, create, only_init, max_delete_fraction, dedupe, landed
+        )
+    if report.ok and keep_versions is not None:
+        report += _run_steps(
+            [
+                (f"keep {layer}.{table}", lambda layer=layer, table=table: warehouse.vacuum(layer, table, keep_versions) or 0)
+                for layer in warehouse.layers()
+                for table in warehouse.tables(layer)
+            ]
+        )
+    return report
+
+
+def _run_layers(
+    warehouse: Warehouse,
+    model: WarehouseModel,
+    folder: str | None,
+    run_ts: dt.datetime,
+    create_schema: bool,
+    create: bool,
+    only_init: bool,
+    max_delete_fraction: float | None,
+    dedupe: Mapping[str, tuple[str, ...]] | None,
+    landed: Mapping[str, DataFrame] | None,
+) -> Report:
+    report = Report()
     if create_schema:
 
         def dropped():
             warehouse.reset()
             return 0
 
-        report += RunReport((_run_step("reset layers", dropped),))
+        report += _run_steps([("reset layers", dropped)])
     if create and report.ok:
         report += create_tables(warehouse, model, run_ts)
     if only_init or not report.ok:

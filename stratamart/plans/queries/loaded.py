@@ -2,48 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
-from stratamart.plans.jobs import LoadError, RunReport, run_warehouse
+from stratamart.plans.jobs import LoadError, Report, run_warehouse
 from stratamart.plans.queries.registry import table
 from stratamart.plans.queries.roles import MODEL, RAW, RUN, T0, raw
 from stratamart.sources import Warehouse, bucket_count_for
 from stratamart.sources.shared_folder import fresh_folder
 from stratamart.specs import SERVICE, STAGING
 
-# Tables large enough to be worth co-partitioning.
-_BUCKETED = ("stg_ventas", "fact_ventas", "stg_compras", "fact_compras", "stg_clientes", "dim_cliente")
+# Tables large enough to be worth co-partitioning, and the table that tells how large each is.
+_BUCKETED = {
+    "stg_ventas": "orders",
+    "fact_ventas": "orders",
+    "stg_compras": "lineitem",
+    "fact_compras": "lineitem",
+    "stg_clientes": "customer",
+    "dim_cliente": "customer",
+}
+# Every second feed uses semicolons where its spec leaves the delimiter to be sniffed.
+_DELIMITERS = (",", ";")
 
-_loads: dict[tuple[str, str, str], tuple[Warehouse, RunReport]] = {}
+_loads: dict[tuple[str, str, str], tuple[Warehouse, Report]] = {}
 
 
 def new_warehouse(spark: SparkSession, sf: str) -> Warehouse:
     """A warehouse in a new folder below the shared one, bucketed for the size of the data."""
-    buckets = bucket_count_for(table(spark, sf, "lineitem"))
-    return Warehouse(spark, fresh_folder(spark, "warehouse"), dict.fromkeys(_BUCKETED, buckets))
-
-
-def _require(report: RunReport) -> RunReport:
+    counts = {name: bucket_count_for(table(spark, sf, name)) for name in set(_BUCKETED.values())}
+    buckets = {name: counts[source] for name, source in _BUCKETED.items()}
+    return Warehouse(spark, fresh_folder(spark, "warehouse"), buckets)
+
+
+def write_feed(df: DataFrame, folder: str, delimiter: str = ";", **options: str) -> None:
+    """Rows as delimited files with a header: text quoted where needed, quoted empties kept apart from NULL."""
+    (
+        df.write.option("header", True)
+        .option("sep", delimiter)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .options(**options)
+        .csv(folder)
+    )
+
+
+def write_feeds(spark: SparkSession, sf: str, changed: Mapping[str, DataFrame | None] | None = None) -> str:
+    """All feeds as files below a new folder. ``changed`` replaces rows by landing table; None leaves a feed out."""
+    folder, rows = fresh_folder(spark, "feeds"), {name: raw(spark, sf, name) for name in RAW} | dict(changed or {})
+    for i, feed in enumerate(MODEL.feeds):
+        if rows[feed.table] is not None:
+            delimiter = feed.delimiter or _DELIMITERS[i % 2]
+            write_feed(rows[feed.table], f"{folder}/{feed.file}", delimiter, encoding=feed.encoding)
+    return folder
+
+
+def _require(report: Report) -> Report:
     if not report.ok:
-        failed = [f"{s.name}: {s.message}" for s in report.steps if not s.ok]
-        raise LoadError("; ".join(failed))
+        raise LoadError("; ".join(f"{step}: {message}" for step, message in report.failures().items()))
     return report
 
 
-def load(spark: SparkSession, sf: str) -> tuple[Warehouse, RunReport]:
-    """A complete first load into a new warehouse."""
+def load(spark: SparkSession, sf: str) -> tuple[Warehouse, Report]:
+    """A complete first load from feed files into a new warehouse."""
     warehouse = new_warehouse(spark, sf)
-    landed = {name: raw(spark, sf, name) for name in RAW}
-    report = run_warehouse(warehouse, MODEL, None, T0, create_schema=True, create=True, landed=landed)
-    return warehouse, _require(report)
+    folder = write_feeds(spark, sf)
+    return warehouse, _require(run_warehouse(warehouse, MODEL, folder, T0, create_schema=True, create=True))
 
 
-def load_twice(spark: SparkSession, sf: str) -> tuple[Warehouse, RunReport]:
+def load_twice(spark: SparkSession, sf: str) -> tuple[Warehouse, Report]:
     """A first load, then one in which the sales of channel 2 are no longer delivered."""
     warehouse, _ = load(spark, sf)
-    landed = {name: raw(spark, sf, name) for name in RAW}
-    landed["raw_ventas"] = landed["raw_ventas"].where("idcanal <> '2'")
-    return warehouse, _require(run_warehouse(warehouse, MODEL, None, RUN, landed=landed))
+    folder = write_feeds(spark, sf, {"raw_ventas": raw(spark, sf, "raw_ventas").where("idcanal <> '2'")})
+    return warehouse, _require(run_warehouse(warehouse, MODEL, folder, RUN, keep_versions=2))
 
 
 def _once(spark, sf, what, loader):
@@ -53,12 +87,12 @@ def _once(spark, sf, what, loader):
     return _loads[key]
 
 
-def loaded(spark: SparkSession, sf: str) -> tuple[Warehouse, RunReport]:
+def loaded(spark: SparkSession, sf: str) -> tuple[Warehouse, Report]:
     """The first load, shared by the queries that report on a warehouse which is already there."""
     return _once(spark, sf, "first", load)
 
 
-def loaded_twice(spark: SparkSession, sf: str) -> tuple[Warehouse, RunReport]:
+def loaded_twice(spark: SparkSession, sf: str) -> tuple[Warehouse, Report]:
     return _once(spark, sf, "second", load_twice)
 
 

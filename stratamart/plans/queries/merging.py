@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratamart.operators import (
     assign_surrogate_keys,
+    change_measures,
     conform,
     duplicate_keys,
     insert_absent,
@@ -83,6 +84,18 @@ def merge_soft_delete_single(spark, sf):
     return merge_soft_delete(_previous_sales(spark, sf), new, ["id_venta"], _SALES_COLUMNS, RUN)
 
 
+@query(f"""
+    SELECT count(*) FILTER (WHERE NOT t.is_deleted) AS active_before,
+           count(*) FILTER (WHERE NOT t.is_deleted AND s.id_venta IS NULL) AS deleted_now,
+           count(*) FILTER (WHERE t.is_deleted AND s.id_venta IS NOT NULL) AS revived_now
+    FROM ({_OLD_SALES}) AS t FULL JOIN ({_NEW_SALES}) AS s ON t.id_venta = s.id_venta""")
+def merge_changes(spark, sf):
+    """What a merge with revivals and deletions changes, as the deletion guard counts it."""
+    new = _sales(spark, sf).where(_IN_SOURCE)
+    marked = merge_soft_delete(_previous_sales(spark, sf), new, ["id_venta"], _SALES_COLUMNS, RUN, mark=True)
+    return marked.agg(*[c.alias(n.replace(" ", "_")) for n, c in change_measures().items()])
+
+
 _STAFF_KEYS = ["id_empleado", "sucursal"]
 _STAFF_COLUMNS = ["apellido", "nombre", "sector", "cargo", "salario"]
 _STAFF_SOURCE = "(sector <> 'BUILDING' OR cargo = 'Visitor')"

@@ -41,6 +41,22 @@ def duplicate_keys_listing(spark, sf):
     return find_duplicates(lines, ["l_orderkey", "l_linenumber"], "l_returnflag", "marcas")
 
 
+_MODES = "CASE WHEN l_returnflag = 'R' OR l_suppkey % 7 = 0 THEN NULL ELSE l_returnflag || l_linestatus END"
+
+
+@query(f"""
+    SELECT l_suppkey, count(*) AS cantidad, string_agg(DISTINCT modo, ', ' ORDER BY modo) AS modos
+    FROM (SELECT CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE l_suppkey END AS l_suppkey, {_MODES} AS modo
+          FROM lineitem) AS x
+    GROUP BY l_suppkey HAVING count(*) > 1""")
+def duplicate_keys_listing_nulls(spark, sf):
+    """A text column with NULLs: some keys list nothing, and one key is NULL itself."""
+    lines = table(spark, sf, "lineitem").select(
+        F.expr("CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE l_suppkey END AS l_suppkey"), F.expr(_MODES).alias("modo")
+    )
+    return find_duplicates(lines, ["l_suppkey"], "modo", "modos")
+
+
 @query(f"""
     SELECT 'Ventas Activas' AS descripcion, count(*) AS cantidad FROM ({_MERGED_SALES}) AS m
     WHERE NOT is_deleted

@@ -46,7 +46,7 @@ RAW = {
                CASE WHEN c_nationkey = 9 THEN '  ' ELSE cast(20 + c_nationkey AS string) END AS edad,
                CASE WHEN c_nationkey = 10 THEN NULL ELSE 'City' END AS localidad,
                CASE WHEN c_nationkey = 11 THEN NULL
-                    ELSE '-5' || cast(c_nationkey AS string) || ',449572' END AS x,
+                    ELSE '-5' || cast(c_nationkey AS string) || ',320500' END AS x,
                '-3' || cast(c_nationkey AS string) || ',25' AS y,
                CASE WHEN c_nationkey = 12 THEN '' ELSE '2018-03-09' END AS fecha_alta,
                'u' AS usuario_alta,
@@ -128,7 +128,7 @@ RAW = {
                CASE WHEN n_regionkey = 1 THEN NULL ELSE 'Main ' || n_name END AS direccion,
                'City ' AS localidad, r_name AS provincia,
                '-3' || cast(n_nationkey AS string) || ',5' AS latitud,
-               CASE WHEN n_regionkey = 2 THEN '' ELSE '-58,4495720' END AS longitud
+               CASE WHEN n_regionkey = 2 THEN '' ELSE '-61,2300000' END AS longitud
         FROM {nation} JOIN {region} ON r_regionkey = n_regionkey""",
     "raw_proveedores": """
         SELECT cast(s_suppkey AS string) AS idproveedor,

@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.operators import active, monthly_sales
-from stratamart.plans.queries.loaded import load, load_twice, loaded, loaded_twice, new_warehouse
+from stratamart.plans.jobs import load_fact, run_warehouse, stage_entity
+from stratamart.plans.queries.loaded import (
+    load,
+    load_twice,
+    loaded,
+    loaded_twice,
+    new_warehouse,
+    write_feed,
+    write_feeds,
+)
 from stratamart.plans.queries.merging import _RUN, _T0, _merge_sql
-from stratamart.plans.queries.registry import query, table
+from stratamart.plans.queries.registry import SQL, query, table
 from stratamart.plans.queries.reports import _MONTHLY_SQL
-from stratamart.plans.queries.roles import MODEL, RAW, RUN, STAGED_SQL, T0, raw_sql
+from stratamart.plans.queries.roles import CALENDAR_SQL, MODEL, RUN, STAGED_SQL, T0, entity, raw_sql
 from stratamart.sources import land, read_feed
 from stratamart.sources.shared_folder import fresh_folder
 from stratamart.specs import LANDING, SERVICE, STAGING, FeedSpec
@@ -39,11 +52,13 @@ def retail_second_load(spark, sf):
     )
 
 
+# Feeds that load_report_with_failures spoils.
+_BROKEN = ("raw_gastos", "raw_proveedores")
 _STAGED_TABLES = {e.table: e.name for e in MODEL.entities}
 
 
 @query("\nUNION ALL\n".join(
-    [f"SELECT 'land {t}' AS step, true AS ok, count(*) AS rows FROM {raw_sql(t)} AS r" for t in RAW]
+    [f"SELECT 'land {f.file}' AS step, true AS ok, count(*) AS rows FROM {raw_sql(f.table)} AS r" for f in MODEL.feeds]
     + [
         f"SELECT 'merge {t}' AS step, true AS ok, count(*) AS rows FROM {STAGED_SQL[e]} AS s"
         for t, e in _STAGED_TABLES.items()
@@ -57,17 +72,62 @@ def load_report(spark, sf):
 
 
 @query("\nUNION ALL\n".join(
-    [f"SELECT '{LANDING}' AS layer, '{f.table}' AS tabla" for f in MODEL.feeds]
-    + [f"SELECT '{STAGING}' AS layer, '{e.table}' AS tabla" for e in MODEL.entities]
-    + [f"SELECT '{SERVICE}' AS layer, '{d.table}' AS tabla" for d in MODEL.dimensions]
-    + [f"SELECT '{SERVICE}' AS layer, '{MODEL.calendar.table}' AS tabla"]
-    + [f"SELECT '{SERVICE}' AS layer, '{f.table}' AS tabla" for f in MODEL.facts]
+    f"SELECT 'land {f.file}' AS step, {str(f.table not in _BROKEN).lower()} AS ok, "
+    + ("cast(0 AS bigint) AS rows" if f.table in _BROKEN else f"count(*) AS rows FROM {raw_sql(f.table)} AS r")
+    for f in MODEL.feeds
+))
+def load_report_with_failures(spark, sf):
+    """One feed has a row that is too short, another is missing: these fail, the others are landed."""
+    warehouse = new_warehouse(spark, sf)
+    folder = write_feeds(spark, sf, {"raw_proveedores": None})
+    expenses = next(f for f in MODEL.feeds if f.table == "raw_gastos")
+    short = spark.createDataFrame([("idgasto,idsucursal",), ("1,2",)], "value string").coalesce(1)
+    short.write.mode("append").text(f"{folder}/{expenses.file}")
+    report = run_warehouse(warehouse, MODEL, folder, T0)
+    return report.to_df(spark).select("step", "ok", "rows")
+
+
+_BY_ID = replace(entity("empleados"), keys=("id_empleado",))
+_DIMENSION_OF = {d.table: next(e.name for e in MODEL.entities if e.table == d.source) for d in MODEL.dimensions}
+_FACT_SQL = {"fact_ventas": SQL["star_lookup"], "fact_compras": SQL["purchases_fact"], "fact_gastos": SQL["expenses_fact"]}
+
+
+@query("\nUNION ALL\n".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS tabla, count(*) AS registros, count(*) AS registros_commit FROM {rows} AS r"
+    for layer, name, rows in (
+        *[(LANDING, f.table, raw_sql(f.table)) for f in MODEL.feeds],
+        *[(STAGING, e.table, STAGED_SQL[e.name]) for e in MODEL.entities if e.name != "empleados"],
+        (STAGING, "stg_empleados", f"(SELECT DISTINCT id_empleado FROM {STAGED_SQL['empleados']} AS s)"),
+        *[(SERVICE, table, STAGED_SQL[name]) for table, name in _DIMENSION_OF.items()],
+        (SERVICE, MODEL.calendar.table, CALENDAR_SQL),
+        *[(SERVICE, name, f"({sql})") for name, sql in _FACT_SQL.items()],
+    )
 ))
-def layer_tables(spark, sf):
-    """The tables of every layer after a first load."""
-    warehouse, _ = loaded(spark, sf)
-    listed = [(layer, name) for layer in warehouse.layers() for name in warehouse.tables(layer)]
-    return spark.createDataFrame(listed, "layer string, tabla string")
+def layer_row_counts(spark, sf):
+    """Layers reset, tables created and loaded, one rebuilt with another key: listed, and what each holds."""
+    warehouse, _ = load(spark, sf)
+    warehouse.create(STAGING, _BY_ID.table, _BY_ID.schema())
+    stage_entity(warehouse, _BY_ID, RUN, dedupe=("sucursal",))
+    listed = {(layer, name): warehouse.read(layer, name) for layer in warehouse.layers() for name in warehouse.tables(layer)}
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("registros")).select(
+            F.lit(layer).alias("layer"),
+            F.lit(name).alias("tabla"),
+            "registros",
+            F.lit(warehouse.count(layer, name)).cast("bigint").alias("registros_commit"),
+        )
+        for (layer, name), df in listed.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query(SQL["star_lookup"])
+def fact_load_without_broadcast(spark, sf):
+    """The sales fact loaded once more with every dimension taken to be too large to be broadcast."""
+    warehouse, _ = load(spark, sf)
+    spec = next(f for f in MODEL.facts if f.table == "fact_ventas")
+    load_fact(warehouse, spec, RUN, max_broadcast=0)
+    return warehouse.read(SERVICE, "fact_ventas").select(spec.key, *[lk.output for lk in spec.lookups], *spec.measures)
 
 
 _LINE_TEXT = """
@@ -82,25 +142,11 @@ _LINE_FEED = FeedSpec(
 )
 
 
-def _write_feed(df, folder, delimiter=";", **options):
-    (
-        df.write.option("header", True)
-        .option("sep", delimiter)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", '""')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .options(**options)
-        .csv(folder)
-    )
-
-
 @query(_LINE_TEXT.format(lineitem="lineitem"))
 def feed_roundtrip(spark, sf):
     """Lines written as delimited files, then read back: delimiter sniffed, '' and NULL kept apart."""
     folder = fresh_folder(spark, "feed")
-    _write_feed(spark.sql(_LINE_TEXT, lineitem=table(spark, sf, "lineitem")), folder)
+    write_feed(spark.sql(_LINE_TEXT, lineitem=table(spark, sf, "lineitem")), folder)
     return read_feed(spark, folder, _LINE_FEED)
 
 
@@ -115,8 +161,8 @@ def feed_latin1_multiline(spark, sf):
     """Another encoding, and quoted fields with line breaks in them."""
     folder = fresh_folder(spark, "feed")
     text = spark.sql(_LATIN_TEXT, customer=table(spark, sf, "customer"))
-    _write_feed(text, folder, ",", encoding="ISO-8859-1")
-    spec = FeedSpec("c", "raw_c", ("id", "nombre", "lugar"), encoding="ISO-8859-1")
+    write_feed(text, folder, ",", encoding="ISO-8859-1")
+    spec = FeedSpec("c", "raw_c", ("id", "nombre", "lugar"), encoding="ISO-8859-1", multiline=True)
     return read_feed(spark, folder, spec)
 
 

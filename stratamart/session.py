@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,28 @@ def get_spark(app: str = "stratamart", master: str | None = None, **conf: object
     return builder.getOrCreate()
 
 
+#: Bytes of input for each shuffle partition before adaptive execution merges small ones.
+_PARTITION_BYTES = 128 << 20
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Inside, shuffles start with enough partitions for the input; adaptive execution can only merge them.
+
+    A number set for the session is kept.
+    """
+    wanted = -(-input_bytes // _PARTITION_BYTES)
+    if spark.conf.get(_INITIAL, None) or wanted <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        yield
+        return
+    spark.conf.set(_INITIAL, wanted)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_INITIAL)
+
+
 def require_ansi(spark: SparkSession) -> None:
     """Without ANSI casts a malformed number would become NULL, then a default: refuse to load."""
     if spark.conf.get("spark.sql.ansi.enabled", "true").lower() != "true":

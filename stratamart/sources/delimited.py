@@ -5,8 +5,9 @@ from __future__ import annotations
 import codecs
 import csv
 import datetime as dt
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.session import timestamp_literal
@@ -16,6 +17,8 @@ from stratamart.specs import AUDIT_CREATED, LANDING, FeedSpec
 _QUOTE = '"'
 # Stands for a quoted empty field ("") while reading. NUL cannot be part of a text value.
 _QUOTED_EMPTY = "\u0000"
+# Separates nothing: a control character that no text feed holds.
+_NO_DELIMITER = "\u0001"
 # One-byte line breaks and quotes, so that lines can be found before decoding.
 _ASCII_COMPATIBLE = {"utf-8", "ascii", "iso8859-1", "iso8859-15", "cp1252"}
 
@@ -31,6 +34,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.globStatus(hadoop_path))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files below a folder."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    return int(fs.getContentSummary(hadoop_path).getLength())
+
+
 def _first_file(spark: SparkSession, path: str) -> str:
     hadoop_path, fs = _hadoop_path(spark, path)
     files = []
@@ -56,46 +65,84 @@ def resolve_delimiter(spark: SparkSession, path: str, spec: FeedSpec) -> str:
     return csv.Sniffer().sniff(header.value).delimiter
 
 
-def has_multiline_fields(spark: SparkSession, path: str) -> bool:
-    """Whether some quoted field may span lines.
-
-    Quotes are escaped by doubling, so a line leaves a field open exactly when the quotes seen so far
-    are odd in number. If every single line has an even number, no record spans lines.
-    """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit(_QUOTE), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+def _well_formed(line: Column, delimiter: str, fields: int) -> Column:
+    """As many fields as declared, each without a quote or quoted from end to end with inner quotes doubled."""
+    sep = re.escape(delimiter)
+    field = f'(?:"(?:[^"]++|"")*+"|[^"{sep}]*+)'
+    quoted = line.rlike(f"^{field}(?:{sep}{field}){{{fields - 1}}}+\\z")
+    plain = F.length(line) - F.length(F.replace(line, F.lit(delimiter), F.lit(""))) == fields - 1
+    return F.when(F.contains(line, F.lit(_QUOTE)), quoted).otherwise(plain)
 
 
-def _needs_multiline(spark: SparkSession, path: str, spec: FeedSpec) -> bool:
-    if spec.multiline is not None:
-        return spec.multiline
-    if codecs.lookup(spec.encoding).name not in _ASCII_COMPATIBLE:
-        return True
-    return has_multiline_fields(spark, path)
+def _parse_options(delimiter: str) -> dict[str, str]:
+    return {
+        "sep": delimiter,
+        "quote": _QUOTE,
+        "escape": _QUOTE,
+        "emptyValue": _QUOTED_EMPTY,
+        "mode": "FAILFAST",
+        "unescapedQuoteHandling": "RAISE_ERROR",
+    }
 
 
-def read_feed(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
-    """All-text scan by position: header dropped, unquoted empty = NULL, quoted empty = ''.
+def _by_line(spark: SparkSession, path: str, spec: FeedSpec, delimiter: str) -> DataFrame:
+    """Every line is a record: files stay splittable and are read once.
 
-    A row with another number of fields than the feed declares raises. Large files stay splittable
-    unless a quoted field really contains a line break.
+    Lines are scanned whole, without their files' header lines, checked and then parsed by Spark. A line
+    whose quotes do not enclose whole fields fails the feed: it is malformed or part of a longer record.
     """
-    if not spec.columns:
-        raise ValueError(f"{spec.file}: no columns declared")
-    raw = (
-        spark.read.schema(spec.schema())
+    if codecs.lookup(spec.encoding).name not in _ASCII_COMPATIBLE:
+        raise ValueError(f"{spec.file}: lines of {spec.encoding} files cannot be told apart; set multiline=True")
+    lines = (
+        spark.read.schema("line string")
         .option("header", True)
         .option("enforceSchema", True)
-        .option("sep", resolve_delimiter(spark, path, spec))
-        .option("quote", _QUOTE)
-        .option("escape", _QUOTE)
+        .option("sep", _NO_DELIMITER)
+        .option("quote", "")
         .option("encoding", spec.encoding)
-        .option("emptyValue", _QUOTED_EMPTY)
         .option("mode", "FAILFAST")
+        .csv(path)
+    )
+    line = F.col("line")
+    message = F.concat(
+        F.lit(
+            f"{spec.file}: MALFORMED line, {len(spec.columns)} fields and quotes around whole fields are expected "
+            "(a line break inside quotes needs multiline=True): "
+        ),
+        F.substring(line, 1, 200),
+    )
+    # A filter, so that it is checked however few columns are asked for.
+    checked = lines.where(F.when(_well_formed(line, delimiter, len(spec.columns)), True).otherwise(F.raise_error(message)))
+    ddl = ", ".join(f"`{c}` string" for c in spec.columns)
+    return checked.select(F.from_csv(line, ddl, _parse_options(delimiter)).alias("record")).select("record.*")
+
+
+def _whole_files(spark: SparkSession, path: str, spec: FeedSpec, delimiter: str) -> DataFrame:
+    """Records may span lines: one task for each file."""
+    return (
+        spark.read.schema(spec.schema())
+        .option("header", True)
+        .option("enforceSchema", True)
+        .options(**_parse_options(delimiter))
+        .option("encoding", spec.encoding)
         .option("columnPruning", False)  # else a short row goes unnoticed under a narrow projection
-        .option("multiLine", _needs_multiline(spark, path, spec))
+        .option("multiLine", True)
         .csv(path)
     )
+
+
+def read_feed(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
+    """All-text scan by position: header dropped, unquoted empty = NULL, quoted empty = ''.
+
+    A row with another number of fields than the feed declares raises, as do misplaced quotes. How records
+    are found is up to the feed's spec alone, never to its content.
+    """
+    if not spec.columns:
+        raise ValueError(f"{spec.file}: no columns declared")
+    if spec.refuse_blank_lines and not spark.read.text(path).where(F.trim("value") == "").isEmpty():
+        raise ValueError(f"{spec.file}: blank lines")
+    delimiter = resolve_delimiter(spark, path, spec)
+    raw = (_whole_files if spec.multiline else _by_line)(spark, path, spec, delimiter)
     return raw.select(
         *[F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)).alias(c) for c in spec.columns]
     )

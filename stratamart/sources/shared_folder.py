@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,16 +10,16 @@ _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder from ``spark.checkpoint.dir``; a temporary one only in local mode without it."""
+    """The folder from ``spark.checkpoint.dir``; only in local mode without it one below the warehouse folder."""
     configured = spark.conf.get(_CHECKPOINT_CONF, None)
     if configured:
         return configured
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="stratamart-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared-{uuid.uuid4().hex}"
     context.setCheckpointDir(folder)
     return folder
 

@@ -37,11 +37,15 @@ def plan_size(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def bucket_count_for(df: DataFrame, bucket_bytes: int = 1 << 30) -> int:
-    """How many buckets a table about as large as ``df`` needs; at least one per core."""
-    spark = df.sparkSession
-    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
-    return min(most, max(spark.sparkContext.defaultParallelism, -(-plan_size(df) // bucket_bytes)))
+def bucket_count_for(df: DataFrame, bucket_bytes: int = 256 << 20) -> int:
+    """How many buckets a table about as large as ``df`` needs; one if it fits one, whatever the cores."""
+    most = int(df.sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(most, max(1, -(-plan_size(df) // bucket_bytes)))
+
+
+def _version_of(folder: str) -> int:
+    """The version that a data folder was written for."""
+    return int(folder.split("-")[1])
 
 
 @dataclass(frozen=True)
@@ -55,8 +59,10 @@ class Snapshot:
     schema: StructType
     bucket_count: int = 0
     bucket_keys: tuple[str, ...] = ()
-    # What was measured while writing, "rows" among it.
+    # What was measured while writing, "rows" of that write among it.
     metrics: Mapping[str, int] = field(default_factory=dict, compare=False)
+    # Rows in all folders.
+    all_rows: int = 0
 
     def to_json(self) -> str:
         return json.dumps(
@@ -66,6 +72,7 @@ class Snapshot:
                 "bucket_count": self.bucket_count,
                 "bucket_keys": self.bucket_keys,
                 "metrics": self.metrics,
+                "all_rows": self.all_rows,
             }
         )
 
@@ -81,6 +88,7 @@ class Snapshot:
             stored["bucket_count"],
             tuple(stored["bucket_keys"]),
             stored["metrics"],
+            stored["all_rows"],
         )
 
 
@@ -143,7 +151,8 @@ class Warehouse:
         return self.read_snapshot(self.current(layer, table))
 
     def count(self, layer: str, table: str) -> int:
-        return self.read(layer, table).count()
+        """Rows of the published snapshot, as counted when they were written."""
+        return self.current(layer, table).all_rows
 
     def read_snapshot(self, snapshot: Snapshot) -> DataFrame:
         """A written snapshot, published or not."""
@@ -163,13 +172,15 @@ class Warehouse:
         append: bool = False,
         merged_from: Snapshot | None = None,
         measure: Mapping[str, Column] | None = None,
+        measured_only: tuple[str, ...] = (),
     ) -> Snapshot:
         """Write a new, unpublished version; with ``append`` it includes the current one.
 
         ``merged_from`` is the target snapshot ``rows`` were merged with. If it has the same buckets,
         the merge already left each bucket in one task; otherwise rows are brought together first.
         ``measure`` names aggregates to take in passing; they and the row count are the snapshot's
-        ``metrics``, so a check needs no second pass over the data.
+        ``metrics``, so a check needs no second pass over the data. Columns in ``measured_only`` are
+        there for these aggregates and not written.
         """
         version = self._next_version(layer, table)
         folder = f"data-{version:08d}-{uuid.uuid4().hex[:8]}"
@@ -182,6 +193,7 @@ class Warehouse:
         observed = rows.observe(
             observation, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (measure or {}).items()]
         )
+        observed = observed.drop(*measured_only)
         writer = observed.write.format("parquet").mode("errorifexists")
         folders = (folder,)
         if bucket_count:
@@ -197,8 +209,10 @@ class Warehouse:
             if append and self.exists(layer, table):
                 folders = (*self.current(layer, table).folders, folder)
         layout_keys = keys if bucket_count else ()
+        metrics = observation.get
+        all_rows = metrics["rows"] + (self.count(layer, table) if len(folders) > 1 else 0)
         return Snapshot(
-            layer, table, version, folders, rows.schema, bucket_count, layout_keys, observation.get
+            layer, table, version, folders, observed.schema, bucket_count, layout_keys, metrics, all_rows
         )
 
     def publish(self, snapshot: Snapshot) -> None:
@@ -211,8 +225,17 @@ class Warehouse:
             raise RuntimeError(f"{snapshot.layer}.{snapshot.table}: version taken by another writer")
 
     def vacuum(self, layer: str, table: str, keep: int = 2) -> None:
-        """Delete data that none of the last ``keep`` published versions uses."""
+        """Delete data of versions before the last ``keep`` published ones that none of these uses.
+
+        Data of later versions stays, also if nothing names it yet: it may be just being written. Whoever
+        still reads an older version than those kept will miss its files.
+        """
+        if keep < 1:
+            raise ValueError("the current version must be kept")
         commits = self._commit_versions(layer, table)
+        if not commits:
+            return
+        oldest = commits[-keep:][0]
         kept = set()
         for version in commits[-keep:]:
             commit = self._path(self.root, layer, table, _COMMITS, f"{version:08d}")
@@ -220,9 +243,15 @@ class Warehouse:
         for version in commits[:-keep]:
             self._fs.delete(self._path(self.root, layer, table, _COMMITS, f"{version:08d}"), False)
         for folder in self._children(self.root, layer, table):
-            if folder not in kept:
+            if folder not in kept and _version_of(folder) < oldest:
                 self._delete_data(layer, table, folder)
 
+    def drop(self, layer: str, table: str) -> None:
+        """Delete a table with all its versions."""
+        for folder in self._children(self.root, layer, table):
+            self._delete_data(layer, table, folder)
+        self._fs.delete(self._path(self.root, layer, table), True)
+
     def _delete_data(self, layer: str, table: str, folder: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS `{self._catalog_name(layer, table, folder)}`")
         self._fs.delete(self._path(self.root, layer, table, folder), True)

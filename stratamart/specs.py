@@ -24,7 +24,10 @@ class FeedSpec:
     columns: tuple[str, ...]
     delimiter: str | None = None  # None: sniffed from the header line
     encoding: str = "UTF-8"
-    multiline: bool | None = None  # None: probed; False keeps large files splittable
+    # Quoted fields may hold line breaks. Such files cannot be split: each is parsed by a single task.
+    multiline: bool = False
+    # Blank lines are skipped. True: they fail the feed, at the price of a second pass over it.
+    refuse_blank_lines: bool = False
 
     def schema(self) -> StructType:
         return StructType([StructField(c, StringType()) for c in self.columns])

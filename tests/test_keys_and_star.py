@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from conftest import T0
 
+from stratamart.operators.star import _hot_keys
 from stratamart.operators import (
     active_deleted_summary,
     assert_measures,
@@ -84,7 +85,7 @@ def test_hot_rows_are_spread_over_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = lookup_keys(facts, {"dim": dim}, [lookup], "id", hot_rows=1000)
+        joined = lookup_keys(facts, {"dim": dim}, [lookup], "id", hot_rows=100)
         sizes = [len(p) for p in joined.select("id").rdd.glom().collect()]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
@@ -93,11 +94,40 @@ def test_hot_rows_are_spread_over_tasks(spark):
     assert max(sizes) < 2 * 9000 / len(sizes)
 
 
+def test_every_hot_key_is_spread(spark):
+    """More hot keys than any fixed list would hold, and salts as the rows of each key need."""
+    facts = spark.sql("SELECT id, IF(id % 10 = 0, id % 1500, 7777) AS k FROM range(60000)")
+    found = {r.k: r["__salts"] for r in _hot_keys(facts, ["k"], 30).collect()}
+    assert len(found) == 151 and found.pop(7777) == 1800
+    assert set(found.values()) == {2}
+    many = spark.sql("SELECT id, id % 1500 AS k FROM range(60000)")
+    assert _hot_keys(many, ["k"], 30).count() == 1500
+    assert _hot_keys(many, ["k"], 40) is None
+
+
+def test_largest_task_of_a_hot_key_shrinks_with_its_share(spark):
+    """A key with nine rows in ten: the more tasks there are, the fewer of its rows each gets."""
+    facts = spark.sql("SELECT id, IF(id % 10 = 0, id, 1) AS id_a FROM range(20000)")
+    dim = spark.sql("SELECT id AS id_a, id AS sk_a FROM range(20000)")
+    lookup = DimLookup("dim", (("id_a", "id_a"),), "sk_a", "sk_a")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    try:
+        largest = []
+        for share in (20_000, 5_000, 100):
+            joined = lookup_keys(facts, {"dim": dim}, [lookup], "id", hot_rows=share, max_broadcast=0)
+            largest.append(max(len(p) for p in joined.select("id").rdd.glom().collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert largest[0] > 18_000 > 12_000 > largest[1] and largest[2] < 1_500
+
+
 def test_unmatched_and_orphans(spark, rows):
     facts = spark.createDataFrame([(1, 1), (2, 1), (3, 9), (4, None)], "id int, id_a int")
     dim = spark.createDataFrame([(1, 100)], "id_a int, sk_a bigint")
     lookup = DimLookup("dim", (("id_a", "id_a"),), "sk_a", "sk_role")
-    assert rows(unmatched_report(facts, {"dim": dim}, [lookup])) == [("dim", "sk_role", 1, 1)]
+    assert rows(unmatched_report(facts, {"dim": dim}, [lookup], "id")) == [("dim", "sk_role", 1, 1)]
     assert rows(orphaned_keys(facts, "id_a", dim, "id_a")) == [(9, 1)]
 
 
@@ -125,6 +155,11 @@ def test_duplicates_listing(spark, rows):
     assert [tuple(r) for r in found.collect()] == [(1, 3, "a, b"), (3, 2, "z")]
 
 
+def test_duplicates_listing_of_nulls(spark, rows):
+    df = spark.createDataFrame([(1, None), (1, None), (None, "a"), (None, "b"), (2, "x")], "k int, place string")
+    assert rows(find_duplicates(df, ["k"], "place", "places")) == [(1, 2, None), (None, 2, "a, b")]
+
+
 def test_summary_of_an_empty_table(spark):
     df = spark.createDataFrame([], "m decimal(15,2), is_deleted boolean")
     lines = active_deleted_summary(df, SummaryLabels("b live", "a gone"), "m").collect()

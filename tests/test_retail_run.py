@@ -21,8 +21,9 @@ from stratamart.plans import (
     unmatched_facts,
 )
 from stratamart.plans import retail
-from stratamart.plans.jobs import load_calendar, load_fact
-from stratamart.sources import Warehouse
+from stratamart.operators.checks import ConstraintError
+from stratamart.plans.jobs import load_calendar, load_fact, stage_entity
+from stratamart.sources import Warehouse, land
 from stratamart.specs import SERVICE, STAGING, CalendarSpec
 
 
@@ -35,7 +36,7 @@ def loaded(request, spark, tmp_path_factory):
     feeds = write_feeds(base / "feeds")
     wh = Warehouse(spark, str(base / "wh"), buckets=request.param)
     report = run_warehouse(wh, RETAIL, feeds, T0, create_schema=True, create=True)
-    assert report.ok, [s for s in report.steps if not s.ok]
+    assert report.ok, report.failures()
     return wh, report
 
 
@@ -63,8 +64,8 @@ def test_every_table_exists_and_is_reported(loaded):
     )
     assert wh.tables(SERVICE, like="fact_%") == ["fact_compras", "fact_gastos", "fact_ventas"]
     assert wh.layers() == ["landing_zone", "service", "staging", "transformation"]
-    assert report.failed_steps == []
-    steps = {s.name: s.rows for s in report.steps}
+    assert report.failures() == {}
+    steps = {s.step: s.rows for s in report}
     assert steps["land Venta.csv"] == 6
     assert steps["merge stg_clientes"] == 3
     assert steps["merge fact_ventas"] == 4
@@ -142,7 +143,7 @@ def test_second_run_soft_deletes_and_keeps_keys(wh, tmp_path):
     fewer += "8,2018-05-01,2018-05-02,1,1,1,100,10,1,1\n"
     feeds = write_feeds(tmp_path / "b", Venta=fewer, Clientes=CLIENTES.replace("Luis", "Luisa"))
     report = run_warehouse(wh, RETAIL, feeds, T1)
-    assert report.ok, report.failed_steps
+    assert report.ok, report.failures()
 
     staged = {r.id_venta: r for r in wh.read(STAGING, "stg_ventas").collect()}
     assert sorted(k for k, r in staged.items() if r.is_deleted) == [1, 2]
@@ -169,35 +170,35 @@ def test_second_run_soft_deletes_and_keeps_keys(wh, tmp_path):
 
 def test_missing_feed_stops_before_staging(wh, tmp_path):
     report = run_warehouse(wh, RETAIL, write_feeds(tmp_path / "b", Venta=None), T1)
-    assert report.failed_steps == ["land Venta.csv"]
-    assert not any(s.name.startswith("merge") for s in report.steps)
+    assert list(report.failures()) == ["land Venta.csv"]
+    assert not any(s.step.startswith("merge") for s in report)
     assert wh.read(STAGING, "stg_clientes").where("updated_at > created_at").isEmpty()
 
 
 def test_failing_entity_keeps_its_snapshot_and_the_others_go_on(wh, tmp_path):
     bad = VENTA + "7,2018-05-01,2018-05-02,1,1,1,100,10,1,\"2,5\"\n"
     report = run_warehouse(wh, RETAIL, write_feeds(tmp_path / "b", Venta=bad), T1)
-    assert report.failed_steps == ["merge stg_ventas"]
-    assert not any("fact" in s.name for s in report.steps)
+    assert list(report.failures()) == ["merge stg_ventas"]
+    assert not any("fact" in s.step for s in report)
     assert wh.read(STAGING, "stg_ventas").where(f"updated_at > timestamp_ntz'{T0}'").isEmpty()
     assert wh.read(STAGING, "stg_gastos").where(f"updated_at = timestamp_ntz'{T1}'").count() == 2
 
     report = run_staging(wh, RETAIL.entities, T2)
-    assert report.failed_steps == ["merge stg_ventas"]
+    assert list(report.failures()) == ["merge stg_ventas"]
     duplicated = VENTA + VENTA.splitlines()[1] + "\n"
     report = run_warehouse(wh, RETAIL, write_feeds(tmp_path / "c", Venta=duplicated), T2)
-    assert report.failed_steps == ["merge stg_ventas"]
-    assert "DuplicateKeyError" in next(s.message for s in report.steps if not s.ok)
+    assert list(report.failures()) == ["merge stg_ventas"]
+    assert "DuplicateKeyError" in report.failures()["merge stg_ventas"]
     no_date = VENTA.replace("6,2018-04-05", "6,")
     report = run_warehouse(wh, RETAIL, write_feeds(tmp_path / "d", Venta=no_date), T2)
-    assert report.failed_steps == ["merge stg_ventas"]
-    assert "fecha not_null: 1 rows" in next(s.message for s in report.steps if not s.ok)
+    assert list(report.failures()) == ["merge stg_ventas"]
+    assert "fecha not_null: 1 rows" in report.failures()["merge stg_ventas"]
 
 
 def test_service_reports_null_measures(wh, tmp_path):
     no_quantity = "IdCompra,Fecha,IdProducto,Cantidad,Precio,IdProveedor\n1,2018-01-05,10,,4.5,1\n"
     report = run_warehouse(wh, RETAIL, write_feeds(tmp_path / "a", Compra=no_quantity), T1)
-    assert report.failed_steps == ["merge fact_compras"]
+    assert list(report.failures()) == ["merge fact_compras"]
     assert wh.count(SERVICE, "fact_ventas") == 4
 
 
@@ -205,22 +206,55 @@ def test_delete_guard_is_opt_in(wh, tmp_path):
     empty = VENTA.splitlines()[0] + "\n"
     feeds = write_feeds(tmp_path / "b", Venta=empty)
     report = run_warehouse(wh, RETAIL, feeds, T1, max_delete_fraction=0.5)
-    assert report.failed_steps == ["merge stg_ventas"]
+    assert list(report.failures()) == ["merge stg_ventas"]
     assert run_warehouse(wh, RETAIL, feeds, T1).ok
     assert active(wh.read(STAGING, "stg_ventas")).isEmpty()
     assert wh.count(SERVICE, "fact_ventas") == 4
 
 
+def test_delete_guard_compares_with_the_rows_that_were_active(spark, tmp_path):
+    """A run that revives nine rows in ten and drops all that were active must not look like a small deletion."""
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    spec = next(e for e in RETAIL.entities if e.name == "canal_venta")
+
+    def landed(ids):
+        rows = spark.createDataFrame([(str(i), f"c{i}") for i in ids], "codigo string, descripcion string")
+        land(wh, rows, spec.source, T0)
+
+    landed(range(100))
+    stage_entity(wh, spec, T0)
+    landed(range(10))
+    stage_entity(wh, spec, T1)
+    landed(range(10, 100))
+    with pytest.raises(ConstraintError, match="would soft-delete 10 of 10 active rows"):
+        stage_entity(wh, spec, T2, max_delete_fraction=0.5)
+    assert stage_entity(wh, spec, T2) == 100
+    measured = wh.current(STAGING, spec.table).metrics
+    assert (measured["active before"], measured["deleted now"], measured["revived now"]) == (10, 10, 90)
+    # The same run once more, with its own timestamp: nothing is deleted a second time.
+    assert stage_entity(wh, spec, T2, max_delete_fraction=0.0) == 100
+
+
+def test_versions_to_keep(wh, tmp_path):
+    feeds = write_feeds(tmp_path / "a")
+    for when in (T1, T2):
+        assert run_warehouse(wh, RETAIL, feeds, when, keep_versions=2).ok
+    for layer in wh.layers():
+        for table in wh.tables(layer):
+            assert len([f for f in wh._children(wh.root, layer, table)]) <= 2, table
+    assert wh.read(SERVICE, "fact_ventas").count() == wh.count(SERVICE, "fact_ventas") == 4
+
+
 def test_only_init_and_report_frame(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path / "wh"), {"stg_ventas": 4})
     report = run_warehouse(wh, RETAIL, None, T0, create_schema=True, create=True, only_init=True)
-    assert report.ok and not any(s.name.startswith("land") for s in report.steps)
+    assert report.ok and not any(s.step.startswith("land") for s in report)
     assert wh.read(STAGING, "stg_ventas").columns == retail.VENTAS.schema().fieldNames()
     assert wh.count(STAGING, "stg_ventas") == 0 and wh.count(SERVICE, "dim_tiempo") == 4018
     frame = report.to_df(spark)
     assert frame.columns == ["step", "ok", "rows", "seconds", "message"]
-    assert frame.count() == len(report.steps)
-    assert create_tables(wh, RETAIL, T1).ok and report.seconds > 0
+    assert frame.count() == len(report)
+    assert create_tables(wh, RETAIL, T1).ok and all(s.seconds >= 0 for s in report)
     assert run_service(wh, RETAIL.dimensions, RETAIL.facts, T1).ok
 
 
@@ -240,7 +274,7 @@ def test_calendar_grows_and_keeps_its_keys(spark, tmp_path):
 def test_dedupe_is_opt_in(wh, tmp_path):
     twice = CLIENTES + "7;Cordoba;Luis Nuevo;;222;42;Cordoba;-64,18;-31,42;2019-05-06;u;2020-01-01;;1;z\n"
     feeds = write_feeds(tmp_path / "a", Clientes=twice)
-    assert run_warehouse(wh, RETAIL, feeds, T1).failed_steps == ["merge stg_clientes"]
+    assert list(run_warehouse(wh, RETAIL, feeds, T1).failures()) == ["merge stg_clientes"]
     latest = {"clientes": ("fecha_ultima_modificacion",)}
     assert run_warehouse(wh, RETAIL, feeds, T1, dedupe=latest).ok
     names = {r.id_cliente: r.nombre_apellido for r in wh.read(STAGING, "stg_clientes").collect()}
@@ -262,7 +296,7 @@ def test_fact_load_with_dimensions_too_large_to_broadcast(spark, wh):
 
 def test_rebuilding_a_table_with_another_key(wh):
     by_id = replace(retail.EMPLEADOS, keys=("id_empleado",))
-    assert run_staging(wh, [by_id], T1).failed_steps == ["merge stg_empleados"]
+    assert list(run_staging(wh, [by_id], T1).failures()) == ["merge stg_empleados"]
     by_id_and_branch = retail.EMPLEADOS
     wh.create(STAGING, by_id_and_branch.table, by_id_and_branch.schema())
     assert run_staging(wh, [by_id_and_branch], T1).ok

@@ -12,7 +12,6 @@ from stratamart.sources import (
     read_feed,
     resolve_delimiter,
 )
-from stratamart.sources.delimited import has_multiline_fields
 from stratamart.specs import LANDING, STAGING, FeedSpec
 
 SPEC = FeedSpec("f.csv", "raw_f", ("a", "b", "c"))
@@ -57,15 +56,57 @@ def test_encoding(spark, feed):
     spec = FeedSpec("f", "r", SPEC.columns, ",", encoding="ISO-8859-1")
     assert [tuple(r) for r in read_feed(spark, path, spec).collect()] == [("1", "ñ", "é")]
     path = feed("a,b,c\n1,ñ,é\n", "g.csv", encoding="utf-16")
-    spec = FeedSpec("f", "r", SPEC.columns, ",", encoding="UTF-16")
+    spec = FeedSpec("f", "r", SPEC.columns, ",", encoding="UTF-16", multiline=True)
     assert [tuple(r) for r in read_feed(spark, path, spec).collect()] == [("1", "ñ", "é")]
 
 
-def test_line_breaks_in_quotes(spark, feed):
+def test_line_breaks_in_quotes_are_up_to_the_spec(spark, feed):
     path = feed('a,b,c\n1,"x\ny",2\n')
-    assert has_multiline_fields(spark, path)
-    assert [tuple(r) for r in read_feed(spark, path, SPEC).collect()] == [("1", "x\ny", "2")]
-    assert not has_multiline_fields(spark, feed('a,b,c\n1,"x, ""y""",2\n', "g.csv"))
+    spec = FeedSpec("f.csv", "raw_f", SPEC.columns, multiline=True)
+    assert [tuple(r) for r in read_feed(spark, path, spec).collect()] == [("1", "x\ny", "2")]
+    with pytest.raises(Exception, match="multiline=True"):
+        read_feed(spark, path, SPEC).collect()
+    with pytest.raises(ValueError, match="multiline=True"):
+        read_feed(spark, path, FeedSpec("f", "r", SPEC.columns, ",", encoding="UTF-16"))
+
+
+def test_a_line_break_that_leaves_the_number_of_fields_right(spark, feed):
+    path = feed('a,b\n1,"x\ny"\n')
+    with pytest.raises(Exception, match="multiline=True"):
+        read_feed(spark, path, FeedSpec("f", "r", ("a", "b"), ",")).collect()
+
+
+@pytest.mark.parametrize("line", ['1,"abc"def,3', '1,5" pipe,3', '1,a "b" c,3', '1,"a"b"c",3', '1,"open,3', '"1,2,3'])
+@pytest.mark.parametrize("multiline", [False])
+def test_misplaced_quotes_fail(spark, feed, line, multiline):
+    path = feed(f"a,b,c\n1,2,3\n{line}\n")
+    with pytest.raises(Exception, match="quotes"):
+        read_feed(spark, path, FeedSpec("f", "r", SPEC.columns, ",", multiline=multiline)).collect()
+
+
+def test_quotes_in_their_place(spark, feed):
+    path = feed('a,b,c\n"1","x, ""y""",""\n"",,"""" \n'.replace('"""" ', '""""'))
+    found = [tuple(r) for r in read_feed(spark, path, SPEC).collect()]
+    assert found == [("1", 'x, "y"', ""), ("", None, '"')]
+
+
+def test_blank_lines(spark, feed):
+    path = feed("a,b,c\n1,2,3\n\n4,5,6\n")
+    assert read_feed(spark, path, SPEC).count() == 2
+    with pytest.raises(ValueError, match="blank lines"):
+        read_feed(spark, path, FeedSpec("f", "r", SPEC.columns, ",", refuse_blank_lines=True))
+
+
+def test_feeds_with_quotes_stay_splittable(spark, feed):
+    path = feed("a,b,c\n" + '1,"x, ""y""",2\n' * 20_000)
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 40_000)
+    try:
+        rows = read_feed(spark, path, SPEC)
+        assert rows.rdd.getNumPartitions() > 4
+        assert rows.where("b = 'x, \"y\"'").count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
 
 
 @pytest.mark.parametrize("bad", ["1,bad", "1,2,3,4"])
@@ -133,10 +174,17 @@ def test_listing_reset_and_vacuum(spark, tmp_path):
     assert wh.count(STAGING, "stg_a") == 0 and wh.read(STAGING, "stg_a").columns == ["id"]
     for n in (1, 2, 3):
         wh.publish(wh.write(STAGING, "stg_b", spark.range(n), ("id",)))
-    wh.write(STAGING, "stg_b", spark.range(99), ("id",))  # never published
+    written = wh.write(STAGING, "stg_b", spark.range(99), ("id",))  # not published yet
+    wh.vacuum(STAGING, "stg_b", keep=1)
+    folders = [p.name for p in (tmp_path / "wh" / STAGING / "stg_b").iterdir() if p.name[0] == "d"]
+    assert len(folders) == 2 and wh.count(STAGING, "stg_b") == 3
+    wh.publish(written)
+    assert wh.count(STAGING, "stg_b") == 99 == wh.read(STAGING, "stg_b").count()
     wh.vacuum(STAGING, "stg_b", keep=1)
     folders = [p.name for p in (tmp_path / "wh" / STAGING / "stg_b").iterdir() if p.name[0] == "d"]
-    assert len(folders) == 1 and wh.count(STAGING, "stg_b") == 3
+    assert len(folders) == 1 and wh.read(STAGING, "stg_b").count() == 99
+    with pytest.raises(ValueError, match="current version"):
+        wh.vacuum(STAGING, "stg_b", keep=0)
     with pytest.raises(LookupError):
         wh.read(STAGING, "nothing")
     wh.reset()
@@ -146,7 +194,6 @@ def test_listing_reset_and_vacuum(spark, tmp_path):
 def test_bucket_counts_follow_the_size(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path / "wh"))
     df = wh.read_snapshot(wh.write(STAGING, "t", spark.range(100_000)))
-    cores = spark.sparkContext.defaultParallelism
-    assert bucket_count_for(df) == cores
-    assert cores < bucket_count_for(df, 1000) < 100_000
+    assert bucket_count_for(df) == 1
+    assert 1 < bucket_count_for(df, 1000) < 100_000
     assert bucket_count_for(df, 1) == 100_000  # Spark's own limit
