@@ -34,10 +34,13 @@ TARGET_RECALL = 0.96
 MAX_SAMPLE = 20_000
 CALIBRATION_QUERIES = 100
 BRANCHES = 8
-#: Rows of the table for each leaf, as far as the sample can carry the tree.
-LEAF_ROWS = 512
+#: A node is split while it stands for more rows than this and for more than one of LEAVES parts of the table:
+#: large tables get large leaves, so that a query's visits do not grow with the table.
+LEAF_ROWS = 1_024
+LEAVES = 64
 _LEAF_SAMPLE = 24
-BLOCK = 4_096
+BLOCK = 16_384
+_QUERIES_AT_ONCE = 256
 _SLACK = 1e-9
 
 _HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -118,9 +121,11 @@ def _cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def _best(query_ids, queries, ids, rows, k: int) -> Iterator[tuple[int, int, float, int]]:
     """(query id, id, score, row) of the k best of each query; a product finds them, the measure ranks them."""
-    near = unit(queries) @ unit(rows).T
+    row_units, near = unit(rows).T, None
     for q, query in enumerate(queries):
-        scores = np.where(ids == query_ids[q], -np.inf, near[q])
+        if q % _QUERIES_AT_ONCE == 0:
+            near = unit(queries[q : q + _QUERIES_AT_ONCE]) @ row_units
+        scores = np.where(ids == query_ids[q], -np.inf, near[q % _QUERIES_AT_ONCE])
         last = np.partition(scores, -k)[-k] if len(scores) > k else -np.inf
         picked = np.flatnonzero((scores >= last - _SLACK) & (scores > -np.inf))
         exact = _cosines(query, rows[picked])
@@ -244,7 +249,7 @@ def nearest(
     if queries.isEmpty():
         return empty
     sample = index.select("vector", *KEY, "vec_id").orderBy(*KEY, "vec_id").limit(max_sample).select("vector").toArrow()
-    tree = fit_tree(unit(matrix(sample.column("vector"), size)), n_rows, leaf_rows=leaf_rows)
+    tree = fit_tree(unit(matrix(sample.column("vector"), size)), n_rows, leaf_rows=max(leaf_rows, n_rows // LEAVES))
     visits = calibrate(index, queries, tree, size, k, target)
     shared = spark.sparkContext.broadcast(tree)  # bounded by the sample
     ddl = "leaf int, vec_id long, vector array<float>"

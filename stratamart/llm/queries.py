@@ -113,4 +113,22 @@ SQL: dict[str, str] = {
     select p.page_id, p.host, p.path, f.rule, coalesce(f.action, 'allow') as verdict
     from parts p left join fitting f on p.host = f.host and p.path = f.path
     """,
+    "op8_vector_dedup": """
+    with recursive usable as (
+      select vec_id, label, embedding::double[] as vector from embeddings
+      where label is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links as (
+      select a.vec_id as a, b.vec_id as b from usable a join usable b
+      on a.label = b.label and a.vec_id <> b.vec_id and len(a.vector) = len(b.vector)
+      where list_cosine_similarity(a.vector, b.vector) >= 0.98),
+    reach as (
+      select vec_id as a, vec_id as b from embeddings
+      union select r.a, l.b from reach r join links l on r.b = l.a),
+    components as (select a, min(b) as component_id from reach group by a),
+    counts as (select a, count(*) as n from links group by a)
+    select e.vec_id, coalesce(n, 0)::bigint as n_links, component_id, e.vec_id = component_id as kept
+    from embeddings e join components c on e.vec_id = c.a left join counts k on e.vec_id = k.a
+    """,
 }

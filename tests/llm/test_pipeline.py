@@ -7,7 +7,7 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
-from test_simhash import plain_components
+from llm.test_simhash import plain_components
 from tokenizers import Tokenizer
 
 from stratamart.llm import pii, quality, toxicity
