@@ -78,6 +78,55 @@ def amount_summary(spark, sf):
     return active_deleted_summary(merging.merge_soft_delete_single(spark, sf), spec.labels, spec.amount)
 
 
+# Purchases of the first suppliers were not delivered again.
+_KEPT_PURCHASES = "id_proveedor > 3"
+
+
+@query(f"""
+    SELECT 'Compras Activas' AS descripcion, count(*) FILTER (WHERE {_KEPT_PURCHASES}) AS cantidad,
+           cast(sum(CASE WHEN {_KEPT_PURCHASES} THEN precio * cantidad END) AS DECIMAL(38,3)) AS monto_total
+    FROM {STAGED_SQL["compras"]} AS c
+    UNION ALL SELECT 'Compras Eliminadas (Soft Delete)', count(*) FILTER (WHERE NOT {_KEPT_PURCHASES}),
+           cast(0 AS DECIMAL(38,3)) FROM {STAGED_SQL["compras"]} AS c""")
+def purchase_summary(spark, sf):
+    spec = entity("compras")
+    rows = staged(spark, sf, spec.table).withColumn("is_deleted", ~F.expr(_KEPT_PURCHASES))
+    return active_deleted_summary(rows, spec.labels, spec.amount)
+
+
+# Tables with a summary of counts only, and what of them was not delivered again.
+_DROPPED = {
+    "clientes": "provincia = 'BUILDING'",
+    "productos": "precio < 1000",
+    "empleados": "cargo = 'Visitor'",
+    "sucursales": "id_sucursal < 5",
+    "proveedores": "id_proveedor <= 3",
+    "canal_venta": "id_canal = 2",
+    "tipo_gasto": "id_tipo_gasto = 5",
+}
+
+
+def _summary_sql(name: str, dropped: str) -> str:
+    labels, rows = entity(name).labels, f"{STAGED_SQL[name]} AS s"
+    return (
+        f"SELECT '{labels.active}' AS descripcion, count(*) FILTER (WHERE NOT {dropped}) AS cantidad FROM {rows} "
+        f"UNION ALL SELECT '{labels.deleted}', count(*) FILTER (WHERE {dropped}) FROM {rows}"
+    )
+
+
+@query(" UNION ALL ".join(_summary_sql(n, d) for n, d in _DROPPED.items() if entity(n).labels))
+def active_deleted_by_table(spark, sf):
+    """The count-only summaries of all other staging tables, one after the other."""
+    summaries = [
+        active_deleted_summary(
+            staged(spark, sf, entity(name).table).withColumn("is_deleted", F.expr(dropped)), entity(name).labels
+        )
+        for name, dropped in _DROPPED.items()
+        if entity(name).labels
+    ]
+    return reduce(DataFrame.unionByName, summaries)
+
+
 # Expenses of the kind "error" were not delivered again.
 _KEPT_EXPENSES = "id_tipo_gasto <> 5"
 

@@ -3,9 +3,17 @@
 import pytest
 from conftest import T0, T1
 
-from stratamart.operators import assign_surrogate_keys, fact_rows, merge_soft_delete, merge_upsert, top_products
+from stratamart.operators import (
+    assign_surrogate_keys,
+    fact_rows,
+    merge_soft_delete,
+    merge_upsert,
+    top_products,
+    unmatched_report,
+)
 from stratamart.operators.checks import duplicate_keys
 from stratamart.plans import RETAIL, run_warehouse
+from stratamart.plans.jobs import _stored
 from stratamart.plans.retail import FACT_VENTAS, VENTAS
 from stratamart.sources import Warehouse
 from stratamart.specs import SERVICE, STAGING
@@ -54,6 +62,29 @@ def test_fact_load_between_bucketed_tables_shuffles_only_new_keys(warehouse):
     assert plan(merged).count("Bucketed: true") == 2
 
 
+def test_unmatched_report_scans_the_fact_once(warehouse):
+    dims = {lk.dimension: warehouse.read(SERVICE, lk.dimension) for lk in FACT_VENTAS.lookups}
+    staged = warehouse.read(STAGING, "stg_ventas")
+    for max_broadcast in (None, 0):
+        report = unmatched_report(staged, dims, FACT_VENTAS.lookups, "id_venta", max_broadcast)
+        scans = [line for line in plan(report).splitlines() if "FileScan" in line and "id_empleado" in line and "id_canal" in line]
+        assert len(scans) == 1
+    assert shuffles(unmatched_report(staged, dims, FACT_VENTAS.lookups, "id_venta")) == 0
+
+
+def test_large_dimensions_move_the_facts_once_each_and_no_more(spark, warehouse):
+    """With no broadcast at all: a shuffle for each lookup, then the stored rows meet the fact in its buckets."""
+    dims = {lk.dimension: warehouse.read(SERVICE, lk.dimension) for lk in FACT_VENTAS.lookups}
+    source = fact_rows(warehouse.read(STAGING, "stg_ventas"), dims, FACT_VENTAS, max_broadcast=0)
+    assert "SortMergeJoin" in plan(source)
+    target = warehouse.read(SERVICE, "fact_ventas")
+    with _stored(warehouse, source, FACT_VENTAS) as resolved:
+        merged = merge_upsert(target, resolved, ["id_venta"], FACT_VENTAS.columns, T1, "sk_venta")
+        assert "Exchange hashpartitioning(id_venta" not in plan(merged).replace("Exchange hashpartitioning(id_venta", "", 1)
+        assert shuffles(merged) <= 2  # the numbered new keys, and one count per partition of their numbering
+        assert plan(merged).count("Bucketed: true") >= 2  # both sides of the merge
+
+
 def test_bucketed_snapshots_have_one_file_per_bucket(warehouse):
     wh = warehouse
     for layer, table in ((STAGING, "stg_ventas"), (SERVICE, "fact_ventas")):
