@@ -30,6 +30,9 @@ from stratamart.llm.common import slices
 #: Labelled pages that the weights are counted on, the first by a hash of the id.
 MAX_SAMPLE = 2_000
 
+#: Elements nested deeper are taken as if they were side by side, as browsers do; this keeps parsing linear.
+MAX_DEPTH = 512
+
 # Fixed values of HTML: elements without content, with raw text, and those that start a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset(["script", "style", "textarea", "title", "xmp"])
@@ -80,6 +83,7 @@ class Element:
     parent: Element | None
     junk: bool
     link: bool
+    depth: int = 0
 
     def lineage(self) -> list[Element]:
         at, out = self, []
@@ -183,12 +187,12 @@ def parse(source: str) -> Page:
         if name in VOID:
             continue
         junk = current.junk or _boilerplate(name, tag[3], current)
-        opened = Element(name, current, junk, current.link or name == "a")
+        opened = Element(name, current, junk, current.link or name == "a", current.depth + 1)
         if name in RAW:
             end = _raw_end(source, name, at)
             at = end
             continue
-        if not tag[3].endswith("/") or name not in ("path", "circle", "use"):
+        if current.depth < MAX_DEPTH:
             current = opened
     return page
 

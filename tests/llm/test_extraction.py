@@ -76,6 +76,11 @@ def test_odd_rows(spark, weights):
     assert extraction.train(df.limit(0)) == extraction.DEFAULT_WEIGHTS
 
 
+def test_deep_nesting_is_linear():
+    deep = "<div><b>" * 40_000 + f"<p>{LINE}</p>"
+    assert extraction.extract(page(deep), extraction.DEFAULT_WEIGHTS) == LINE
+
+
 @given(st.lists(st.integers(-5, 5).map(float), max_size=30))
 def test_region_has_the_greatest_sum(scores):
     start, end = extraction.best_region(scores)
