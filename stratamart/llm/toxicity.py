@@ -34,7 +34,9 @@ DIM = 8
 EPOCHS = 16
 MAX_PER_CLASS = 1_500
 #: Standard errors by which the shares of texts with an n-gram must differ between the classes.
-CLEAR = 4.0
+CLEAR = 5.0
+#: Every text is read as if so many words that say nothing followed: one odd word is no proof in a short text.
+NEUTRAL_WORDS = 20
 _BATCH = 32
 _RATE = 0.05
 _GAIN = 20.0
@@ -61,7 +63,7 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     for token, count in Counter(words).items():
         if grams := word_buckets(token):
             ids += grams
-            weights += [count / (len(words) * len(grams))] * len(grams)
+            weights += [count / ((len(words) + NEUTRAL_WORDS) * len(grams))] * len(grams)
     if not ids:
         return np.empty(0, np.int32), np.empty(0, np.float32)
     unique, place = np.unique(np.array(ids, np.int32), return_inverse=True)
@@ -93,7 +95,7 @@ class ToxicityModel:
 
         def score(text: str) -> float:
             words = text.lower().split()
-            logit = offset + (sum(map(values.__getitem__, words)) / len(words) if words else 0.0)
+            logit = offset + sum(map(values.__getitem__, words)) / (len(words) + NEUTRAL_WORDS)
             return float(1 / (1 + np.exp(-np.clip(logit, -60, 60))))
 
         return score
