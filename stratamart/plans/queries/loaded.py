@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +12,7 @@ from stratamart.plans.queries.registry import table
 from stratamart.plans.queries.roles import MODEL, RAW, RUN, T0, raw
 from stratamart.sources import Warehouse, bucket_count_for
 from stratamart.sources.shared_folder import fresh_folder
-from stratamart.specs import SERVICE, STAGING
+from stratamart.specs import SERVICE, STAGING, FeedSpec
 
 # Tables large enough to be worth co-partitioning, and the table that tells how large each is.
 _BUCKETED = {
@@ -53,10 +54,14 @@ def write_feed(df: DataFrame, folder: str, delimiter: str = ";", **options: str)
 def write_feeds(spark: SparkSession, sf: str, changed: Mapping[str, DataFrame | None] | None = None) -> str:
     """All feeds as files below a new folder. ``changed`` replaces rows by landing table; None leaves a feed out."""
     folder, rows = fresh_folder(spark, "feeds"), {name: raw(spark, sf, name) for name in RAW} | dict(changed or {})
-    for i, feed in enumerate(MODEL.feeds):
+
+    def written(place: int, feed: FeedSpec) -> None:
         if rows[feed.table] is not None:
-            delimiter = feed.delimiter or _DELIMITERS[i % 2]
+            delimiter = feed.delimiter or _DELIMITERS[place % 2]
             write_feed(rows[feed.table], f"{folder}/{feed.file}", delimiter, encoding=feed.encoding)
+
+    with ThreadPoolExecutor(len(_DELIMITERS) * 4) as pool:
+        list(pool.map(written, range(len(MODEL.feeds)), MODEL.feeds))
     return folder
 
 
