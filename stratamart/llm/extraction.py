@@ -30,9 +30,6 @@ from stratamart.llm.common import slices
 #: Labelled pages that the weights are counted on, the first by a hash of the id.
 MAX_SAMPLE = 2_000
 
-#: Elements nested deeper are taken as if they were side by side, as browsers do; this keeps parsing linear.
-MAX_DEPTH = 512
-
 # Fixed values of HTML: elements without content, with raw text, and those that start a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset(["script", "style", "textarea", "title", "xmp"])
@@ -59,6 +56,8 @@ CLOSED_BY = {
     "option": frozenset(["option", "optgroup"]),
     "head": frozenset(["body"]),
 }
+#: The same by start tag: which open elements it closes.
+_CLOSES = {start: [e for e, by in CLOSED_BY.items() if start in by] for start in frozenset().union(*CLOSED_BY.values())}
 #: Elements beyond which an implied end does not reach.
 SCOPES = frozenset("table ul ol dl td th div section article main body blockquote".split())
 
@@ -75,15 +74,22 @@ _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
-@dataclass
+@dataclass(slots=True, eq=False)
 class Element:
-    """An open or closed element. Words and blocks refer to the innermost element around them."""
+    """An open or closed element. Words and blocks refer to the innermost element around them.
+
+    What depends on the elements around it is noted when it is opened, so nesting of any depth is read in
+    linear time. Elements are numbered as they open: those inside it are the numbers up to ``last``.
+    """
 
     name: str
     parent: Element | None
     junk: bool
     link: bool
-    depth: int = 0
+    number: int = 0
+    article: Element | None = None  # outermost article or main part, this element included
+    aside: bool = False  # in a header, and not in a heading of it
+    last: float = math.inf
 
     def lineage(self) -> list[Element]:
         at, out = self, []
@@ -92,6 +98,9 @@ class Element:
             at = at.parent
         return out
 
+    def holds(self, other: Element) -> bool:
+        return self.number <= other.number <= self.last
+
 
 @dataclass
 class Page:
@@ -100,10 +109,10 @@ class Page:
     tokens: list[tuple[str, Element, str, int]] = field(default_factory=list)
 
 
-def _boilerplate(name: str, attributes: str, parent: Element | None) -> bool:
+def _boilerplate(name: str, attributes: str, parent: Element) -> bool:
     if name in JUNK:
         return True
-    if name == "header" and not _inside(parent, ("article", "main")):
+    if name == "header" and parent.article is None:
         return True
     if name in ("html", "body", "article", "main") or not attributes.strip():
         return False
@@ -118,14 +127,13 @@ def _boilerplate(name: str, attributes: str, parent: Element | None) -> bool:
     )
 
 
-def _inside(element: Element | None, names: tuple[str, ...]) -> bool:
-    return element is not None and any(e.name in names for e in element.lineage())
-
-
 def parse(source: str) -> Page:
     """One pass over the markup, tolerant of what is unclosed or misplaced."""
     page, root = Page(), Element("", None, False, False)
-    current, block, at, size = root, 0, 0, len(source)
+    current, block, at, size, number = root, 0, 0, len(source), 0
+    opened: list[Element] = [root]
+    places: dict[str, list[int]] = {}  # of the open elements of each name, as places in opened
+    scopes = [0]  # places of the open elements of SCOPES
 
     def text(raw: str) -> None:
         words = html.unescape(raw) if "&" in raw else raw
@@ -133,11 +141,18 @@ def parse(source: str) -> Page:
             kind = "junk" if current.junk else "link" if current.link else "word"
             page.tokens.append((kind, current, words, block))
 
-    def close(element: Element) -> None:
+    def close(place: int) -> None:
+        """Close the element at this place and all inside it."""
         nonlocal current, block
-        if element.name in BLOCK:
-            block += 1
-        current = element.parent
+        while len(opened) > place:
+            element = opened.pop()
+            element.last = number
+            places[element.name].pop()
+            if element.name in SCOPES:
+                scopes.pop()
+            if element.name in BLOCK:
+                block += 1
+        current = opened[-1]
 
     while at < size:
         start = source.find("<", at)
@@ -166,34 +181,31 @@ def parse(source: str) -> Page:
         if name == "br":
             text(" ")
         if closing:
-            target = next((e for e in current.lineage() if e.name == name), None)
             page.tokens.append((f"/{name}", current, "", block))
-            while target is not None and current is not target:
-                close(current)
-            if target is not None:
-                close(target)
+            if places.get(name):
+                close(places[name][-1])
             continue
-        for element in current.lineage():  # ends that this start tag implies
-            if element.name in CLOSED_BY and name in CLOSED_BY[element.name]:
-                while current is not element:
-                    close(current)
-                close(element)
-                break
-            if element.name in SCOPES:
-                break
+        implied = max((places[e][-1] for e in _CLOSES.get(name, ()) if places.get(e)), default=0)
+        if implied and implied >= scopes[-1]:  # an end that this start tag implies
+            close(implied)
         if name in BLOCK:
             block += 1
         page.tokens.append((name, current, "", block))
         if name in VOID:
             continue
-        junk = current.junk or _boilerplate(name, tag[3], current)
-        opened = Element(name, current, junk, current.link or name == "a", current.depth + 1)
         if name in RAW:
-            end = _raw_end(source, name, at)
-            at = end
+            at = _raw_end(source, name, at)
             continue
-        if current.depth < MAX_DEPTH:
-            current = opened
+        junk = current.junk or _boilerplate(name, tag[3], current)
+        number += 1
+        element = Element(name, current, junk, current.link or name == "a", number)
+        element.article = current.article or (element if name in ("article", "main") else None)
+        element.aside = name == "header" or current.aside and name not in HEADINGS
+        places.setdefault(name, []).append(len(opened))
+        if name in SCOPES:
+            scopes.append(len(opened))
+        opened.append(element)
+        current = element
     return page
 
 
@@ -221,13 +233,12 @@ def _counted(kind: str, text: str) -> tuple[str, int]:
 
 def label_counts(page: Page) -> Counter:
     """(token, inside its marked article or not) of one page; nothing unless one article is marked."""
-    marked = {id(e): e for _, element, _, _ in page.tokens for e in element.lineage() if e.name in ("article", "main")}
-    outer = [e for e in marked.values() if not _inside(e.parent, ("article", "main"))]
+    outer = list({id(e.article): e.article for _, e, _, _ in page.tokens if e.article is not None}.values())
     counts: Counter = Counter()
     if len(outer) == 1:
         for kind, element, text, _ in page.tokens:
             token, n = _counted(kind, text)
-            counts[token, any(e is outer[0] for e in element.lineage())] += n
+            counts[token, element.article is outer[0]] += n
     return counts
 
 
@@ -273,10 +284,11 @@ def _filled(tokens: list, start: int, end: int) -> Element | None:
     inside = [e for k, e, t, _ in tokens[start:end] if k in ("word", "link") and t.strip()]
     if not inside:
         return None
-    common = inside[0].lineage()
-    for element in {id(e): e for e in inside}.values():
-        held = {id(e) for e in element.lineage()}
-        common = [e for e in common if id(e) in held]
+    # what holds the first and the last to be opened holds all
+    first, final = min(inside, key=lambda e: e.number), max(inside, key=lambda e: e.number)
+    while not first.holds(final):
+        first = first.parent
+    common = first.lineage()
     around = next((e for e in common if e.name in ("article", "main")), None)
     if around is not None:
         return around
@@ -295,13 +307,11 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
     for kind, element, text, block in tokens:
         if kind not in ("word", "link") or not text:
             continue
-        lineage = element.lineage()
         if around is None and block not in touched:
             continue
-        if around is not None and not any(e is around for e in lineage):
+        if around is not None and not around.holds(element):
             continue
-        header = next((i for i, e in enumerate(lineage) if e.name == "header"), None)
-        if header is not None and not any(e.name in HEADINGS for e in lineage[:header]):
+        if element.aside:
             continue  # of an article's own header only the headings are text
         blocks.setdefault(block, []).append(text)
     return "\n\n".join(joined for parts in blocks.values() if (joined := " ".join("".join(parts).split())))

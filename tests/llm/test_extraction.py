@@ -81,6 +81,25 @@ def test_deep_nesting_is_linear():
     assert extraction.extract(page(deep), extraction.DEFAULT_WEIGHTS) == LINE
 
 
+DEEP = {
+    "closed and followed by text": (f"<div><article><p>{LINE}</p>{'<div>' * 600}<p>B {LINE}</p>{'</div>' * 600}<p>C {LINE}</p></article></div>{FOOT}", f"{LINE}\n\nB {LINE}\n\nC {LINE}"),
+    "advert below": (f"<article><p>{LINE}</p>{'<b>' * 600}<div class=ad>Buy now</div><form>Your name</form><p>C {LINE}</p></article>{FOOT}", f"{LINE}\n\nC {LINE}"),
+    "own header below": (f"<article>{'<div>' * 600}<header><h1>Head line</h1><p>By someone</p></header>{'</div>' * 600}<p>{LINE}</p></article>", f"Head line\n\n{LINE}"),
+}
+
+
+@pytest.mark.parametrize("name", DEEP)
+def test_deep_nesting_is_read_whole(name):
+    body, expected = DEEP[name]
+    assert extraction.extract(page(body), extraction.DEFAULT_WEIGHTS) == expected
+
+
+def test_words_at_every_depth_are_linear():
+    deep = "<article>" + "<div>note <b>" * 30_000 + "</b></div>" * 30_000 + f"<p>{LINE}</p></article>"
+    got = extraction.extract(page(deep), extraction.DEFAULT_WEIGHTS | {"div": -0.01, "/div": -0.01, "/b": -0.01})
+    assert got == "note\n\n" * 30_000 + LINE
+
+
 @given(st.lists(st.integers(-5, 5).map(float), max_size=30))
 def test_region_has_the_greatest_sum(scores):
     start, end = extraction.best_region(scores)
