@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm import ann, bpe, extraction, packing, pii, quality, simhash, toxicity, url_filter, vector_dedup
+from stratamart.llm import (
+    ann,
+    bpe,
+    extraction,
+    packing,
+    periodicity,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+    url_filter,
+    vector_dedup,
+    warc,
+    whitening,
+)
 from stratamart.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +81,19 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pii_digest(table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(table(spark, folder, "embeddings")))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = periodicity.with_periodic_tails(table(spark, folder, "documents"))
+    return periodicity.run_digest(periodicity.periodic_runs(documents))
+
+
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages"))
+
+
 OPERATORS = (
     op1_main_text,
     op2_byte_bpe,
@@ -78,6 +105,9 @@ OPERATORS = (
     op8_vector_dedup,
     op9_packing,
     op10_pii,
+    op11_whitening,
+    op12_periodic_runs,
+    op13_warc,
 )
 
 
@@ -131,4 +161,16 @@ SQL: dict[str, str] = {
     select e.vec_id, coalesce(n, 0)::bigint as n_links, component_id, e.vec_id = component_id as kept
     from embeddings e join components c on e.vec_id = c.a left join counts k on e.vec_id = k.a
     """,
+    "op13_warc": """
+    with payloads as (
+      select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+      from pages),
+    shared as (
+      select payload_digest, min(page_id) as least from payloads where payload_bytes >= 100
+      group by payload_digest having count(*) > 1)
+    select page_id, payload_bytes, payload_digest,
+      case when page_id <> least then 'revisit' else 'response' end as record_type,
+      case when page_id <> least then least end as refers_to
+    from payloads left join shared using (payload_digest)
+    """,
 }
