@@ -1,9 +1,12 @@
 """WARC archives as a Spark data source, and an archive of pages in which equal payloads are stored once.
 
-Reading: files are planned as partitions by their sizes. Filters on the record's type and header fields are
-pushed into the reader. Of every record the header is parsed first; a record that the filters reject is
-skipped, and its payload is neither read nor inflated. Of one that they accept, the payload is decoded only if
-the schema asks for it: give ``columns`` to ``read_warc`` and only these are made.
+Reading: files are planned as partitions by their sizes. Predicates on the record's type and header fields are
+handed to the reader (``where`` of ``read_warc``). Of every record the header is parsed first; a record that
+they reject is skipped, and its payload is neither read nor inflated. Of one that they accept, the payload is
+decoded only if the schema asks for it: give ``columns`` to ``read_warc`` and only these are made. Predicates
+are an option of the scan and not Spark's own filter pushdown for Python sources: that keeps the last filters
+with the relation, so that two queries over one DataFrame see each other's. Any filter on the DataFrame is
+right, it only saves nothing.
 
 Writing: a record is one gzip member with its compressed length in the ``sl`` extra field, which the format
 describes for that purpose, so a reader can go on to the next record without inflating. Tasks write files of
@@ -26,7 +29,7 @@ import posixpath
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -37,21 +40,7 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
-    EqualNullSafe,
-    EqualTo,
-    Filter,
-    GreaterThan,
-    GreaterThanOrEqual,
-    In,
     InputPartition,
-    IsNotNull,
-    IsNull,
-    LessThan,
-    LessThanOrEqual,
-    Not,
-    StringContains,
-    StringEndsWith,
-    StringStartsWith,
     WriterCommitMessage,
 )
 from pyspark.sql.types import StructType
@@ -283,39 +272,35 @@ def records(file, size: int, wanted: Callable[[Record], bool] = lambda record: T
             raise ValueError(f"at byte {at}: {error}") from error
 
 
-# -- filters ----------------------------------------------------------------------------------------
+# -- predicates -------------------------------------------------------------------------------------
 
-_COMPARED: dict[type, Callable] = {
-    EqualTo: lambda mine, value: mine == value,
-    GreaterThan: lambda mine, value: mine > value,
-    GreaterThanOrEqual: lambda mine, value: mine >= value,
-    LessThan: lambda mine, value: mine < value,
-    LessThanOrEqual: lambda mine, value: mine <= value,
-    In: lambda mine, value: mine in value,
-    StringStartsWith: lambda mine, value: mine.startswith(value),
-    StringEndsWith: lambda mine, value: mine.endswith(value),
-    StringContains: lambda mine, value: value in mine,
+#: (column, operator, value) on a header field; a field that is missing satisfies only "is null".
+Predicate = tuple[str, str, object]
+
+_OPERATORS: dict[str, Callable] = {
+    "=": lambda mine, value: mine == value,
+    "!=": lambda mine, value: mine != value,
+    "<": lambda mine, value: mine < value,
+    "<=": lambda mine, value: mine <= value,
+    ">": lambda mine, value: mine > value,
+    ">=": lambda mine, value: mine >= value,
+    "in": lambda mine, value: mine in value,
+    "starts with": lambda mine, value: mine.startswith(value),
+    "is not null": lambda mine, value: True,
 }
 
 
-def header_test(condition: Filter) -> Callable[[Record], bool | None] | None:
-    """The test of a filter on header fields, NULL being unknown; None for a filter on anything else."""
-    if isinstance(condition, Not):
-        inner = header_test(condition.child)
-        return inner and (lambda record: None if (got := inner(record)) is None else not got)
-    column = ".".join(getattr(condition, "attribute", ()))
+def header_test(predicate: Predicate) -> Callable[[Record], bool]:
+    """Whether a record's header satisfies a predicate."""
+    column, operator, value = predicate
     if column not in FIELDS:
-        return None
-    if isinstance(condition, (IsNull, IsNotNull)):
-        absent = isinstance(condition, IsNull)
-        return lambda record: (record.value(column) is None) is absent
-    value = tuple(condition.value) if isinstance(condition, In) else getattr(condition, "value", None)
-    if isinstance(condition, EqualNullSafe):
-        return lambda record: record.value(column) == value
-    compare = _COMPARED.get(type(condition))
-    if compare is None or value is None:
-        return None
-    return lambda record: None if (mine := record.value(column)) is None else compare(mine, value)
+        raise ValueError(f"{column} is not read from the header of a record")
+    if operator == "is null":
+        return lambda record: record.value(column) is None
+    if operator not in _OPERATORS:
+        raise ValueError(f"{operator!r} is none of {', '.join([*_OPERATORS, 'is null'])}")
+    compare = _OPERATORS[operator]
+    return lambda record: (mine := record.value(column)) is not None and compare(mine, value)
 
 
 # -- the data source --------------------------------------------------------------------------------
@@ -329,21 +314,15 @@ class WarcFiles(InputPartition):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, path: str, schema: StructType, partition_bytes: int) -> None:
-        self._path, self._columns, self._partition_bytes = path, schema.names, partition_bytes
+    def __init__(self, path: str, schema: StructType, partition_bytes: int, where: Sequence[Predicate] = ()) -> None:
+        self._path, self._columns, self._partition_bytes, self._where = path, schema.names, partition_bytes, where
         known = dict(zip(_ARROW.names, _ARROW.types, strict=True))
         unknown = [c for c in self._columns if c not in known]
         if unknown:
             raise ValueError(f"a WARC record has no {', '.join(unknown)}")
         self._schema = pa.schema([(c, known[c]) for c in self._columns])
-        self._filters: list[Filter] = []
-
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        for condition in filters:
-            if header_test(condition) is None:
-                yield condition
-            else:
-                self._filters.append(condition)
+        for predicate in where:
+            header_test(predicate)
 
     def _files(self) -> list[tuple[str, int]]:
         fs, path = _located(self._path)
@@ -373,7 +352,7 @@ class WarcReader(DataSourceReader):
         return [WarcFiles(tuple(files)) for files in out] or [WarcFiles(())]
 
     def read(self, partition: WarcFiles) -> Iterator[pa.RecordBatch]:
-        tests = [header_test(condition) for condition in self._filters]
+        tests = [header_test(predicate) for predicate in self._where]
         fs, _ = _located(self._path)
         rows: list[list[object]] = []
         held = 0
@@ -496,7 +475,10 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class WarcSource(DataSource):
-    """``spark.read.format("warc")`` and ``df.write.format("warc")``. Options: partitionBytes, fileBytes, level."""
+    """``spark.read.format("warc")`` and ``df.write.format("warc")``.
+
+    Options for reading: partitionBytes, and where, a JSON list of predicates; for writing: fileBytes, level.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -506,25 +488,22 @@ class WarcSource(DataSource):
         return RECORDS
 
     def reader(self, schema: StructType) -> WarcReader:
-        return WarcReader(self.options["path"], schema, int(self.options.get("partitionBytes", PARTITION_BYTES)))
+        where = [tuple(predicate) for predicate in json.loads(self.options.get("where", "[]"))]
+        return WarcReader(self.options["path"], schema, int(self.options.get("partitionBytes", PARTITION_BYTES)), where)
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
         level = int(self.options.get("level", COMPRESSION_LEVEL))
         return WarcWriter(self.options["path"], overwrite, int(self.options.get("fileBytes", FILE_BYTES)), level)
 
 
-def register(spark: SparkSession) -> None:
-    """Make the format known, and let Spark push filters into it."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def read_warc(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, where: Sequence[Predicate] = ()
+) -> DataFrame:
+    """Records of a file or folder that satisfy all predicates; only what ``columns`` names is read of them."""
     spark.dataSource.register(WarcSource)
-
-
-def read_warc(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Records of a file or folder; only what ``columns`` names is read of them."""
-    register(spark)
     types = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(RECORDS)}
-    wanted = list(types) if columns is None else list(columns)
-    return spark.read.format("warc").schema(", ".join(f"{c} {types[c]}" for c in wanted)).load(path)
+    schema = ", ".join(f"{c} {types[c]}" for c in (types if columns is None else columns))
+    return spark.read.format("warc").schema(schema).option("where", json.dumps(list(where))).load(path)
 
 
 # -- an archive of pages ----------------------------------------------------------------------------
@@ -595,7 +574,7 @@ def page_records(
 
 def write_pages(pages: DataFrame, path: str, **options: object) -> None:
     """Write an archive of pages to a folder; ``options`` as for ``page_records``."""
-    register(pages.sparkSession)
+    pages.sparkSession.dataSource.register(WarcSource)
     page_records(pages, **options).write.format("warc").mode("append").save(path)
 
 
@@ -605,8 +584,9 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     Responses are decoded, and their digests are those of what was read; one that differs from its header
     raises. Of revisits nothing but headers is read.
     """
-    stored = read_warc(spark, path, ["record_type", "record_id", "payload_digest", "payload"])
-    stored = stored.where(F.col("record_type") == "response").withColumn("digest", F.sha2("payload", 256))
+    stored = read_warc(
+        spark, path, ["record_type", "record_id", "payload_digest", "payload"], [("record_type", "=", "response")]
+    ).withColumn("digest", F.sha2("payload", 256))
     message = F.concat(F.lit("payload differs from its digest: "), F.col("record_id"))
     whole = F.col("payload_digest").eqNullSafe(F.concat(F.lit("sha256:"), "digest"))
     responses = stored.select(
@@ -616,8 +596,8 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
         "record_type",
         F.lit(None).cast("long").alias("refers_to"),
     )
-    headers = read_warc(spark, path, ["record_type", "record_id", "payload_digest", "refers_to", "payload_bytes"])
-    revisits = headers.where(F.col("record_type") == "revisit").select(
+    headers = ["record_type", "record_id", "payload_digest", "refers_to", "payload_bytes"]
+    revisits = read_warc(spark, path, headers, [("record_type", "=", "revisit")]).select(
         _page_id("record_id").alias("page_id"),
         "payload_bytes",
         F.regexp_replace("payload_digest", "^sha256:", "").alias("payload_digest"),

@@ -97,27 +97,33 @@ def test_empty_table(spark, pages, tmp_path):
     assert warc.read_pages(spark, path).collect() == []
 
 
-def test_filters_reach_the_reader(spark, pages, tmp_path, rows):
+def test_predicates_are_those_of_spark(spark, pages, tmp_path, rows):
     path = str(tmp_path / "archive")
     warc.write_pages(pages(ROWS), path)
-    df = warc.read_warc(spark, path, ["record_type", "record_id", "content_length", "target_uri"])
+    columns = ["record_type", "record_id", "content_length", "target_uri"]
+    everything = warc.read_warc(spark, path, columns)
     asked = [
-        (F.col("record_type") == "revisit") & F.col("record_id").startswith("urn:page:2"),
-        F.col("record_id").isin("urn:page:4", "urn:page:9") & (F.col("content_length") > 100),
-        F.col("target_uri").isNull(),
-        ~F.col("target_uri").startswith("https"),
-        (F.col("record_type") != "response") | (F.col("content_length") < 90),
+        ([("record_type", "=", "revisit"), ("record_id", "starts with", "urn:page:2")], "record_type = 'revisit' and record_id like 'urn:page:2%'"),
+        ([("record_id", "in", ["urn:page:4", "urn:page:9"])], "record_id in ('urn:page:4', 'urn:page:9')"),
+        ([("target_uri", "is null", None)], "target_uri is null"),
+        ([("target_uri", "!=", "u"), ("target_uri", "is not null", None)], "target_uri <> 'u'"),
+        ([("content_length", ">", 100), ("content_length", "<=", 1_000)], "content_length > 100 and content_length <= 1000"),
+        ([("content_length", ">=", 1_000), ("content_length", "<", 10**7)], "content_length >= 1000 and content_length < 10000000"),
     ]
-    everything = df.collect()
-    sizes = []
-    for condition in asked:
-        got = df.where(condition)
-        expected = spark.createDataFrame(everything, df.schema).where(condition)
-        assert rows(got) == rows(expected)
-        sizes.append(got.count())
-        left_to_spark = "Filter " in got._jdf.queryExecution().executedPlan().toString()
-        assert left_to_spark is (condition is asked[-1])
-    assert all(0 < n < len(everything) for n in sizes)
+    for where, condition in asked:
+        got = rows(warc.read_warc(spark, path, columns, where))
+        assert got == rows(everything.where(condition)) and 0 < len(got) < len(ROWS)
+    for wrong in (("payload", "=", "x"), ("record_type", "like", "x")):
+        with pytest.raises(ValueError):
+            warc.header_test(wrong)
+
+
+def test_queries_over_one_frame_do_not_meet(spark, pages, tmp_path):
+    path = str(tmp_path / "archive")
+    warc.write_pages(pages(ROWS), path)
+    df = warc.read_warc(spark, path, ["record_type"])
+    revisits, responses = (df.where(F.col("record_type") == kind) for kind in ("revisit", "response"))
+    assert revisits.count() + responses.count() == df.count() == revisits.union(responses).count() == len(ROWS)
 
 
 class Counting(io.BytesIO):
@@ -210,9 +216,9 @@ def test_only_committed_files_count(spark, pages, tmp_path, rows):
 
 
 def test_large_archives_are_cut_into_files(spark, pages, tmp_path):
-    warc.register(spark)
     rows = pages([(i, "u", f"{i} " + os.urandom(3_000).hex()) for i in range(40)])
     path = tmp_path / "archive"
+    spark.dataSource.register(warc.WarcSource)
     records = warc.page_records(rows.coalesce(1))
     records.coalesce(1).write.format("warc").option("fileBytes", 20_000).mode("append").save(str(path))
     files = [p.stat().st_size for p in path.glob("*.warc.gz")]
