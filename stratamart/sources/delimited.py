@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.session import timestamp_literal
+from stratamart.sources.multiline import read_records
 from stratamart.sources.warehouse import Snapshot, Warehouse
 from stratamart.specs import AUDIT_CREATED, LANDING, FeedSpec
 
@@ -21,6 +22,8 @@ _QUOTED_EMPTY = "\u0000"
 _NO_DELIMITER = "\u0001"
 # One-byte line breaks and quotes, so that lines can be found before decoding.
 _ASCII_COMPATIBLE = {"utf-8", "ascii", "iso8859-1", "iso8859-15", "cp1252"}
+# Those of them that Spark can decode as an expression, by Spark's names.
+_DECODED = {"utf-8": "UTF-8", "ascii": "US-ASCII", "iso8859-1": "ISO-8859-1"}
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -103,22 +106,32 @@ def _by_line(spark: SparkSession, path: str, spec: FeedSpec, delimiter: str) ->
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    return _parsed(lines, spec, delimiter, " (a line break inside quotes needs multiline=True)")
+
+
+def _parsed(lines: DataFrame, spec: FeedSpec, delimiter: str, hint: str = "", **options: object) -> DataFrame:
+    """The fields of every record in ``line``. One that is not well formed fails the feed."""
     line = F.col("line")
     message = F.concat(
-        F.lit(
-            f"{spec.file}: MALFORMED line, {len(spec.columns)} fields and quotes around whole fields are expected "
-            "(a line break inside quotes needs multiline=True): "
-        ),
+        F.lit(f"{spec.file}: MALFORMED line, {len(spec.columns)} fields and quotes around whole fields are expected{hint}: "),
         F.substring(line, 1, 200),
     )
     # A filter, so that it is checked however few columns are asked for.
     checked = lines.where(F.when(_well_formed(line, delimiter, len(spec.columns)), True).otherwise(F.raise_error(message)))
     ddl = ", ".join(f"`{c}` string" for c in spec.columns)
-    return checked.select(F.from_csv(line, ddl, _parse_options(delimiter)).alias("record")).select("record.*")
+    return checked.select(F.from_csv(line, ddl, _parse_options(delimiter) | options).alias("record")).select("record.*")
+
+
+def _by_record(spark: SparkSession, path: str, spec: FeedSpec, delimiter: str) -> DataFrame:
+    """Records may span lines: found in parallel where quotes and line feeds can be told apart as bytes."""
+    charset = _DECODED.get(codecs.lookup(spec.encoding).name)
+    if charset is None:
+        return _whole_files(spark, path, spec, delimiter)
+    return _parsed(read_records(spark, path, charset), spec, delimiter, multiLine="true")
 
 
 def _whole_files(spark: SparkSession, path: str, spec: FeedSpec, delimiter: str) -> DataFrame:
-    """Records may span lines: one task for each file."""
+    """Records may span lines, and only decoding the file from its start finds them: one task for each file."""
     return (
         spark.read.schema(spec.schema())
         .option("header", True)
@@ -142,7 +155,7 @@ def read_feed(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
     if spec.refuse_blank_lines and not spark.read.text(path).where(F.trim("value") == "").isEmpty():
         raise ValueError(f"{spec.file}: blank lines")
     delimiter = resolve_delimiter(spark, path, spec)
-    raw = (_whole_files if spec.multiline else _by_line)(spark, path, spec, delimiter)
+    raw = (_by_record if spec.multiline else _by_line)(spark, path, spec, delimiter)
     return raw.select(
         *[F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)).alias(c) for c in spec.columns]
     )

@@ -24,7 +24,8 @@ class FeedSpec:
     columns: tuple[str, ...]
     delimiter: str | None = None  # None: sniffed from the header line
     encoding: str = "UTF-8"
-    # Quoted fields may hold line breaks. Such files cannot be split: each is parsed by a single task.
+    # Quoted fields may hold line breaks. Files stay split, at the price of reading them up to three times;
+    # only UTF-16 and other encodings that Spark cannot decode by expression take one task for each file.
     multiline: bool = False
     # Blank lines are skipped. True: they fail the feed, at the price of a second pass over it.
     refuse_blank_lines: bool = False
