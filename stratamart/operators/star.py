@@ -16,9 +16,15 @@ from stratamart.specs import DimLookup, FactSpec
 
 # Rows of one key that a task may get; a key with more is spread over as many tasks as that takes.
 HOT_KEY_ROWS = 1_000_000
-# No more keys than this can each have more than 1 / _MOST_HOT_KEYS of the rows. Where a table has more
+# Fewer keys than this can each have more than 1 / _MOST_HOT_KEYS of the rows. Where a table has more
 # rows than HOT_KEY_ROWS times this number, its tasks get larger instead of the list of keys.
-_MOST_HOT_KEYS = 100_000
+_MOST_HOT_KEYS = 16_384
+# The sketch of n rows errs by 3.5 n / m at most, m being the power of two of its size, and lists every item
+# that it is sure has more than that. With m = 8 * _MOST_HOT_KEYS a key above 1 / _MOST_HOT_KEYS has more than
+# twice the error, so it is listed; sketches fill three quarters of m. Of listed items fewer than twice
+# _MOST_HOT_KEYS can have an estimate as high as such a key.
+_TRACKED = 6 * _MOST_HOT_KEYS
+_LISTED = 2 * _MOST_HOT_KEYS
 
 
 def _will_be_broadcast(df: DataFrame, max_bytes: int | None) -> bool:
@@ -41,30 +47,47 @@ def _match(lookup: DimLookup) -> Column:
     return reduce(and_, [F.col(c) == F.col(f"__key_{i}") for i, (c, _) in enumerate(lookup.on)])
 
 
-def _hot_keys(facts: DataFrame, columns: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Values of ``columns`` that a task's share of rows cannot hold, with the tasks each needs (__salts).
+def _key_hash(keys: Sequence[Column]) -> Column:
+    """One number for the values of a key; NULL if one of them is."""
+    present = reduce(and_, [k.isNotNull() for k in keys])
+    return F.when(present, F.xxhash64(*keys))
 
-    Counts are exact and combined before the shuffle. The list is stored once and never collected; by
-    the choice of the share it has fewer than ``_MOST_HOT_KEYS`` rows, and no key is left out.
+
+def _frequent_keys(facts: DataFrame, keys: Mapping[int, Sequence[str]], hot_rows: int) -> DataFrame:
+    """(lookup, hash, salts): keys of which a task's share of rows is not enough, and the tasks each needs.
+
+    ``keys`` has the columns of each lookup, by its number. One pass over the facts makes a sketch of the
+    frequent keys of every lookup; sketches are merged like any partial aggregate. By the size of the
+    sketch none with more than a share is left out, and counts are at most too high, so a key may get a
+    task more than it needs.
     """
-    present = facts.select(*columns).dropna()
-    share = max(hot_rows, -(-present.count() // _MOST_HOT_KEYS))
-    found = (
-        present.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > share)
-        .select(*columns, F.ceil(F.col("__n") / share).cast("int").alias("__salts"))
+    found, entries = [], []
+    for i, columns in keys.items():
+        hashed = _key_hash([F.col(c) for c in columns])
+        top = F.call_function("approx_top_k", hashed, F.lit(_LISTED), F.lit(_TRACKED))
+        found += [F.count(hashed).alias(f"n{i}"), top.alias(f"top{i}")]
+        entries.append(F.struct(F.lit(i).alias("lookup"), F.col(f"n{i}").alias("n"), F.col(f"top{i}").alias("top")))
+    lookups = facts.agg(*found).select(F.inline(F.array(*entries)))
+    share = F.greatest(F.lit(hot_rows), F.ceil(F.col("n") / _MOST_HOT_KEYS))
+    listed = lookups.select("lookup", share.alias("share"), F.inline("top"))
+    return listed.where(F.col("item").isNotNull() & (F.col("count") > F.col("share"))).select(
+        "lookup", F.col("item").alias("hash"), F.ceil(F.col("count") / F.col("share")).cast("int").alias("salts")
     )
+
+
+def _hot_keys(facts: DataFrame, keys: Mapping[int, Sequence[str]], hot_rows: int) -> DataFrame:
+    """The bounded list of ``_frequent_keys``, stored once so that every lookup reads the same."""
+    hot = _frequent_keys(facts, keys, hot_rows)
     folder = fresh_folder(facts.sparkSession, "hot-keys")
-    found.write.parquet(folder)
-    stored = facts.sparkSession.read.schema(found.schema).parquet(folder)
-    return None if stored.isEmpty() else stored
+    hot.write.parquet(folder)
+    return facts.sparkSession.read.schema(hot.schema).parquet(folder)
 
 
 def _salted(
     facts: DataFrame,
     side: DataFrame,
     lookup: DimLookup,
+    known: Sequence[str],
     hot: DataFrame | None,
     row_id: str,
 ) -> DataFrame:
@@ -72,22 +95,23 @@ def _salted(
 
     Their salt is made from the row's own id, so a recomputed task salts alike. A hot key has as many
     salts as it needs tasks, and its dimension row is repeated as often. A NULL key meets no dimension
-    row, so its rows are spread over all tasks. All other rows have salt 0.
+    row, so its rows are spread over all tasks. All other rows have salt 0. Both sides tell a hot key by
+    its hash, so two keys with one hash would only both be spread.
     """
     row_hash = F.xxhash64(row_id)
     missing = reduce(or_, [F.col(c).isNull() for c, _ in lookup.on])
     left, right = facts, side.withColumn("__side_salt", F.lit(0).cast("bigint"))
     salt = F.lit(0).cast("bigint")
     if hot is not None:
-        names = {c: f"__key_{i}" for i, (c, _) in enumerate(lookup.on) if c in hot.columns}
-        marked = hot.select(*[F.col(c).alias("__hot" + name) for c, name in names.items()], "__salts")
-        on_facts = reduce(and_, [F.col(c) == F.col("__hot" + name) for c, name in names.items()])
-        on_side = reduce(and_, [F.col(name) == F.col("__hot" + name) for name in names.values()])
-        # Fewer than _MOST_HOT_KEYS short rows, see _hot_keys.
-        left = facts.join(F.broadcast(marked), on_facts, "left")
+        types = dict(facts.dtypes)
+        names = [(c, f"__key_{i}") for i, (c, _) in enumerate(lookup.on) if c in known]
+        # Equal values of other types would hash differently; one that the fact's type cannot hold is no match.
+        of_side = _key_hash([F.col(name).try_cast(types[c]) for c, name in names])
+        marked = F.broadcast(hot.select(F.col("hash").alias("__hash"), F.col("salts").alias("__salts")))  # see _hot_keys
+        left = facts.join(marked, _key_hash([F.col(c) for c, _ in names]) == F.col("__hash"), "left")
         salt = F.when(F.col("__salts").isNotNull(), F.pmod(row_hash, F.col("__salts"))).otherwise(salt)
         salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__salts"), F.lit(1)) - F.lit(1).cast("bigint"))
-        right = side.join(F.broadcast(marked), on_side, "left").withColumn("__side_salt", F.explode(salts))
+        right = side.join(marked, of_side == F.col("__hash"), "left").withColumn("__side_salt", F.explode(salts))
         right = right.select(*side.columns, "__side_salt")
     left = left.select(*facts.columns, F.when(missing, row_hash).otherwise(salt).alias("__salt"))
     matched = left.join(
@@ -108,22 +132,27 @@ def lookup_keys(
 
     Inner lookups drop rows without a match, left ones keep them. No side is forced to be broadcast:
     Spark does so for dimensions below its own size limit (or ``max_broadcast`` bytes), and then the
-    facts are not shuffled at all. Larger dimensions are joined by a shuffle with hot keys spread;
-    those are counted on the incoming rows, so no earlier lookup is computed again for it.
+    facts are not shuffled at all. Larger dimensions are joined by a shuffle with hot keys spread. Those of
+    all lookups are found in one pass over the incoming rows, so no lookup is computed again for it.
     """
+    sides = [_dimension_side(dims[lookup.dimension], lookup) for lookup in lookups]
+    shuffled = [i for i, side in enumerate(sides) if not _will_be_broadcast(side, max_broadcast)]
+    known = {i: [c for c, _ in lookups[i].on if c in facts.columns] for i in shuffled}
+    known = {i: columns for i, columns in known.items() if columns}
+    hot, spread = None, set()
+    if known:
+        hot = _hot_keys(facts, known, hot_rows)
+        spread = {r["lookup"] for r in hot.select("lookup").distinct().collect()}  # a number for each lookup
     keyed = facts
-    for lookup in lookups:
-        side = _dimension_side(dims[lookup.dimension], lookup)
-        if _will_be_broadcast(side, max_broadcast):
+    for i, (lookup, side) in enumerate(zip(lookups, sides, strict=True)):
+        if i not in shuffled:
             joined = keyed.join(side, _match(lookup), lookup.how)
+        elif i not in spread and lookup.how == "inner":
+            joined = keyed.join(side.hint("merge"), _match(lookup), lookup.how)
         else:
-            known = [c for c, _ in lookup.on if c in facts.columns]
-            hot = _hot_keys(facts, known, hot_rows) if known else None
-            if hot is None and lookup.how == "inner":
-                joined = keyed.join(side.hint("merge"), _match(lookup), lookup.how)
-            else:
-                joined = _salted(keyed, side, lookup, hot, row_id)
-        keyed = joined.drop(*[f"__key_{i}" for i in range(len(lookup.on))])
+            of_lookup = hot.where(F.col("lookup") == i) if i in spread else None
+            joined = _salted(keyed, side, lookup, known.get(i, ()), of_lookup, row_id)
+        keyed = joined.drop(*[f"__key_{j}" for j in range(len(lookup.on))])
     return keyed
 
 

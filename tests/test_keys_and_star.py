@@ -5,8 +5,9 @@ from decimal import Decimal
 
 import pytest
 from conftest import T0
+from pyspark.sql import functions as F
 
-from stratamart.operators.star import _hot_keys
+from stratamart.operators import star
 from stratamart.operators import (
     active_deleted_summary,
     assert_measures,
@@ -21,6 +22,7 @@ from stratamart.operators import (
     orphaned_keys,
     unmatched_report,
 )
+from stratamart.operators.star import _hot_keys
 from stratamart.operators.checks import ConstraintError
 from stratamart.specs import DimLookup, EntitySpec, SummaryLabels, integer, text
 
@@ -97,12 +99,46 @@ def test_hot_rows_are_spread_over_tasks(spark):
 def test_every_hot_key_is_spread(spark):
     """More hot keys than any fixed list would hold, and salts as the rows of each key need."""
     facts = spark.sql("SELECT id, IF(id % 10 = 0, id % 1500, 7777) AS k FROM range(60000)")
-    found = {r.k: r["__salts"] for r in _hot_keys(facts, ["k"], 30).collect()}
-    assert len(found) == 151 and found.pop(7777) == 1800
+    found = {r.hash: r.salts for r in _hot_keys(facts, {0: ["k"]}, 30).collect()}
+    assert len(found) == 151 and found.pop(_hash_of(spark, 7777)) == 1800
     assert set(found.values()) == {2}
     many = spark.sql("SELECT id, id % 1500 AS k FROM range(60000)")
-    assert _hot_keys(many, ["k"], 30).count() == 1500
-    assert _hot_keys(many, ["k"], 40) is None
+    assert _hot_keys(many, {0: ["k"]}, 30).count() == 1500
+    assert _hot_keys(many, {0: ["k"]}, 40).isEmpty()
+
+
+def _hash_of(spark, *values):
+    return spark.range(1).select(F.xxhash64(*[F.lit(v).cast("bigint") for v in values])).first()[0]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_no_hot_key_is_missed(spark, seed, monkeypatch):
+    """Against exact counts, with sketches far smaller than the number of keys."""
+    monkeypatch.setattr(star, "_MOST_HOT_KEYS", 16)
+    monkeypatch.setattr(star, "_TRACKED", 6 * 16)
+    monkeypatch.setattr(star, "_LISTED", 2 * 16)
+    facts = spark.sql(f"""
+        SELECT id, IF(rand({seed}) < 0.6, cast(pow(rand({seed + 10}), 4) * 40 AS bigint), id) AS a,
+               IF(rand({seed + 20}) < 0.5, id % 9, cast(id / 3 AS bigint)) AS b,
+               IF(id % 5 = 0, NULL, 'k' || id % 6) AS c FROM range(40000)""").checkpoint()
+    keys = {0: ["a"], 1: ["b"], 2: ["a", "c"], 4: ["c"]}
+    listed = {}
+    for r in _hot_keys(facts, keys, 100).collect():
+        listed.setdefault(r.lookup, {})[r.hash] = r.salts
+    for i, columns in keys.items():
+        present = facts.select(*columns).dropna()
+        share = max(100, -(-present.count() // 16))
+        counts = present.groupBy(F.xxhash64(*columns).alias("hash")).count().where(F.col("count") > share).collect()
+        got = listed.get(i, {})
+        assert {r["hash"] for r in counts} <= got.keys()
+        assert all(r["count"] <= got[r["hash"]] * share for r in counts) and len(got) < 32
+
+
+def test_keys_of_other_types_are_spread_alike(spark, rows):
+    facts = spark.sql("SELECT id, cast(IF(id % 2 = 0, 1, id) AS int) AS id_a, IF(id % 3 = 0, 'p', 'q') AS place FROM range(400)")
+    dim = spark.sql("SELECT id * IF(id > 300, 10000000000, 1) AS id_a, p AS place, id * 10 AS sk_a FROM range(400), (VALUES ('p'), ('q')) AS v(p)")
+    args = (facts, {"dim": dim}, [LOOKUP], "id", 10)
+    assert rows(lookup_keys(*args, max_broadcast=-1)) == rows(lookup_keys(*args, max_broadcast=10**12))
 
 
 def test_largest_task_of_a_hot_key_shrinks_with_its_share(spark):

@@ -11,6 +11,7 @@ from stratamart.operators import (
     top_products,
     unmatched_report,
 )
+from stratamart.operators import star
 from stratamart.operators.checks import duplicate_keys
 from stratamart.plans import RETAIL, run_warehouse
 from stratamart.plans.jobs import _stored
@@ -85,6 +86,23 @@ def test_large_dimensions_move_the_facts_once_each_and_no_more(spark, warehouse)
         assert plan(merged).count("Bucketed: true") >= 2  # both sides of the merge
 
 
+def test_hot_keys_of_all_lookups_take_one_scan(warehouse, monkeypatch):
+    dims = {lk.dimension: warehouse.read(SERVICE, lk.dimension) for lk in FACT_VENTAS.lookups}
+    staged = warehouse.read(STAGING, "stg_ventas")
+    asked, find = [], star._hot_keys
+
+    def recorded(facts, keys, hot_rows):
+        asked.append((facts, keys))
+        return find(facts, keys, hot_rows)
+
+    monkeypatch.setattr(star, "_hot_keys", recorded)
+    fact_rows(staged, dims, FACT_VENTAS, max_broadcast=0)
+    (facts, keys), = asked  # once, and for all that do not hang on an earlier lookup
+    assert len(keys) == sum(any(c in staged.columns for c, _ in lk.on) for lk in FACT_VENTAS.lookups) > 3
+    found = plan(star._frequent_keys(facts, keys, 10))
+    assert found.count("FileScan") == 1 and shuffles(star._frequent_keys(facts, keys, 10)) == 0
+
+
 def test_bucketed_snapshots_have_one_file_per_bucket(warehouse):
     wh = warehouse
     for layer, table in ((STAGING, "stg_ventas"), (SERVICE, "fact_ventas")):
