@@ -8,7 +8,7 @@ from stratamart.operators.checks import (
     constraint_measures,
     duplicate_keys,
 )
-from stratamart.operators.conform import active, conform, rejected
+from stratamart.operators.conform import active, conform, key_problems, rejected, sort_out
 from stratamart.operators.keys import assign_surrogate_keys
 from stratamart.operators.marts import branch_performance, monthly_sales, top_products
 from stratamart.operators.merge import (
@@ -64,7 +64,9 @@ __all__ = [
     "merge_upsert",
     "monthly_sales",
     "orphaned_keys",
+    "key_problems",
     "rejected",
+    "sort_out",
     "shuffles_facts",
     "table_counts",
     "top_products",

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.functions.cleaning import (
+    blank_to_null,
     clean_text,
     to_date_iso,
     to_decimal,
@@ -18,6 +19,9 @@ from stratamart.functions.cleaning import (
 )
 from stratamart.specs import AUDIT_DELETED, ColumnRule, EntitySpec
 
+#: Columns of rows that are sorted out: the raw row and the reasons of a rejected one, and whether it is.
+RAW_ROW, REASONS, REJECTED = "raw_row", "reasons", "rejected"
+
 
 def typed_column(rule: ColumnRule) -> Column:
     """The typed value of one rule, default applied."""
@@ -38,9 +42,21 @@ def typed_column(rule: ColumnRule) -> Column:
     return value.alias(rule.name)
 
 
+def key_problems(spec: EntitySpec) -> Column:
+    """Why a raw row cannot be loaded: one reason for each numeric key that is missing or no whole number."""
+    reasons = []
+    for rule in spec.key_rules():
+        raw = F.col(rule.source)
+        reason = F.when(blank_to_null(raw).isNull(), F.lit(f"{rule.source} missing")).when(
+            ~valid_key(raw), F.lit(f"{rule.source} not a whole number")
+        )
+        reasons.append(reason)
+    return F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+
+
 def _key_is_usable(spec: EntitySpec) -> Column:
     usable = [valid_key(F.col(rule.source)) for rule in spec.key_rules()]
-    return F.coalesce(reduce(and_, usable), F.lit(False))
+    return F.coalesce(reduce(and_, usable, F.lit(True)), F.lit(False))
 
 
 def conform(raw: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -60,6 +76,22 @@ def conform(raw: DataFrame, spec: EntitySpec) -> DataFrame:
     return raw.where(_key_is_usable(spec)).select(*columns)
 
 
+def sort_out(raw: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Every raw row, once: typed columns if it can be loaded, else the row as it came and why not.
+
+    ``REJECTED`` tells which. A row that is rejected for its key is not converted, so nothing else in it
+    can fail the load.
+    """
+    usable = _key_is_usable(spec)
+    typed = [F.when(usable, typed_column(rule)).alias(rule.name) for rule in spec.columns]
+    return raw.select(
+        *typed,
+        F.when(~usable, F.struct(*raw.columns)).alias(RAW_ROW),
+        F.when(~usable, key_problems(spec)).alias(REASONS),
+        (~usable).alias(REJECTED),
+    )
+
+
 def rejected(raw: DataFrame, spec: EntitySpec) -> DataFrame:
     """The raw rows that ``conform`` leaves out because of their key."""
     return raw.where(~_key_is_usable(spec))

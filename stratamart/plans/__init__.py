@@ -3,6 +3,9 @@ from stratamart.plans.jobs import (
     Report,
     Step,
     create_tables,
+    load_balance,
+    reject_report,
+    rejected_rows,
     run_landing,
     run_service,
     run_staging,
@@ -19,6 +22,9 @@ __all__ = [
     "Report",
     "Step",
     "create_tables",
+    "load_balance",
+    "reject_report",
+    "rejected_rows",
     "run_landing",
     "run_service",
     "run_staging",

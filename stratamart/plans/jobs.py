@@ -12,6 +12,7 @@ import time
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from stratamart.operators.checks import (
     assert_unique,
     constraint_measures,
 )
-from stratamart.operators.conform import active, conform
+from stratamart.operators.conform import RAW_ROW, REASONS, REJECTED, active, sort_out
 from stratamart.operators.keys import assign_surrogate_keys
 from stratamart.operators.merge import (
     WAS_ACTIVE,
@@ -42,10 +43,12 @@ from stratamart.sources.shared_folder import fresh_folder
 from stratamart.sources.warehouse import Snapshot, Warehouse, empty_frame
 from stratamart.specs import (
     AUDIT_CREATED,
+    AUDIT_DELETED,
     AUDIT_UPDATED,
     LANDING,
     SERVICE,
     STAGING,
+    TRANSFORMATION,
     CalendarSpec,
     DimensionSpec,
     EntitySpec,
@@ -57,6 +60,8 @@ from stratamart.specs import (
 _CONCURRENT_TABLES = 8
 # The highest surrogate key of a snapshot, kept with it so that no later load has to look for it.
 _NEWEST = "newest key"
+# Rows of a run that were staged, and those that were rejected.
+_STAGED, _REJECTED = "staged", "rejected rows"
 
 
 class LoadError(RuntimeError):
@@ -197,6 +202,32 @@ def _assert_deletions(measured: Mapping[str, int], max_fraction: float, what: st
         raise ConstraintError(f"{what}: would soft-delete {deleted} of {before} active rows")
 
 
+def sort_out_landed(warehouse: Warehouse, spec: EntitySpec) -> Snapshot:
+    """Write the landed rows once more, the typed ones apart from the rejected ones, and publish that.
+
+    It is one pass without a shuffle, and everything after it reads converted columns.
+    """
+    landed = warehouse.current(LANDING, spec.source)
+    split = warehouse.write(
+        TRANSFORMATION,
+        spec.table,
+        sort_out(warehouse.read_snapshot(landed), spec),
+        measure={_REJECTED: F.count_if(F.col(REJECTED))},
+        partition_by=(REJECTED,),
+    )
+    if split.metrics["rows"] != landed.all_rows:
+        raise ConstraintError(f"{spec.source}: {landed.all_rows} rows landed, {split.metrics['rows']} sorted out")
+    warehouse.publish(split)
+    return split
+
+
+def _assert_complete(spec: EntitySpec, split: Snapshot, staged: Snapshot, deduped: bool) -> None:
+    """What landed is staged or rejected; only where repeated keys are resolved may there be less."""
+    accounted = staged.metrics[_STAGED] + split.metrics[_REJECTED]
+    if accounted > split.metrics["rows"] or not deduped and accounted != split.metrics["rows"]:
+        raise ConstraintError(f"{spec.table}: {accounted} of {split.metrics['rows']} landed rows are staged or rejected")
+
+
 def stage_entity(
     warehouse: Warehouse,
     spec: EntitySpec,
@@ -207,9 +238,11 @@ def stage_entity(
     """Conform, merge into the staging snapshot, check what was written, publish.
 
     Returns the rows in the new snapshot. ``dedupe`` names the columns that decide which of several
-    rows with one key to keep; without it such a source is refused.
+    rows with one key to keep; without it such a source is refused. Rows without a usable key are kept
+    in the transformation layer with their reasons, see ``rejected_rows``.
     """
-    source = conform(warehouse.read(LANDING, spec.source), spec)
+    split = sort_out_landed(warehouse, spec)
+    source = warehouse.read_snapshot(split).where(~F.col(REJECTED)).select(*[r.name for r in spec.columns])
     # A key that a source repeats is repeated by the merge. In buckets that shows without a shuffle.
     bucketed = bool(warehouse.buckets.get(spec.table))
     if dedupe is not None:
@@ -219,25 +252,54 @@ def stage_entity(
     current, target = _target(warehouse, STAGING, spec)
     merged = merge_soft_delete(target, source, spec.keys, spec.attributes, run_ts, mark=True)
     lengths = {r.name: r.max_length for r in spec.columns if r.max_length}
-    constraints = constraint_measures(spec.schema(), lengths)
+    constraints = constraint_measures(spec.schema(), lengths, spec.keys)
+    staged = {_STAGED: F.count_if(~F.col(AUDIT_DELETED))}
     snapshot = warehouse.write(
         STAGING,
         spec.table,
         merged,
         spec.keys,
         merged_from=current,
-        measure=constraints | change_measures(),
+        measure=constraints | change_measures() | staged,
         measured_only=(WAS_ACTIVE,),
     )
     assert_measures(snapshot.metrics, constraints, spec.table)
     if bucketed and dedupe is None:
         assert_unique(warehouse.read_snapshot(snapshot), spec.keys, spec.source)
+    _assert_complete(spec, split, snapshot, dedupe is not None)
     if max_delete_fraction is not None:
         _assert_deletions(snapshot.metrics, max_delete_fraction, spec.table)
     warehouse.publish(snapshot)
     return snapshot.metrics["rows"]
 
 
+def rejected_rows(warehouse: Warehouse, spec: EntitySpec) -> DataFrame:
+    """The raw rows that the last run could not load, with the reasons; no other file is opened."""
+    split = warehouse.read(TRANSFORMATION, spec.table).where(F.col(REJECTED))
+    return split.select(f"{RAW_ROW}.*", REASONS)
+
+
+def reject_report(warehouse: Warehouse, entities: Iterable[EntitySpec]) -> DataFrame:
+    """(tabla, motivo, cantidad): rejected rows of the last run by reason; a row counts for each of its reasons."""
+    counts = [
+        warehouse.read(TRANSFORMATION, spec.table)
+        .where(F.col(REJECTED))
+        .select(F.lit(spec.table).alias("tabla"), F.explode(REASONS).alias("motivo"))
+        for spec in entities
+    ]
+    return reduce(DataFrame.unionByName, counts).groupBy("tabla", "motivo").agg(F.count(F.lit(1)).alias("cantidad"))
+
+
+def load_balance(warehouse: Warehouse, entities: Iterable[EntitySpec]) -> DataFrame:
+    """(tabla, recibidas, cargadas, rechazadas): rows landed, staged and rejected, as counted when they were written."""
+    rows = []
+    for spec in entities:
+        split, staged = warehouse.current(TRANSFORMATION, spec.table), warehouse.current(STAGING, spec.table)
+        landed = warehouse.count(LANDING, spec.source)
+        rows.append((spec.table, landed, staged.metrics[_STAGED], split.metrics[_REJECTED]))
+    return warehouse.spark.createDataFrame(rows, "tabla string, recibidas bigint, cargadas bigint, rechazadas bigint")
+
+
 def run_staging(
     warehouse: Warehouse,
     entities: Iterable[EntitySpec],
@@ -283,7 +345,7 @@ def _upsert_and_publish(
     current, target = _target(warehouse, SERVICE, spec)
     newest = current.metrics.get(_NEWEST) if current and current.folders else 0
     merged = merge_upsert(target, source, keys, columns, run_ts, spec.surrogate, newest)
-    constraints = constraint_measures(spec.schema(), lengths)
+    constraints = constraint_measures(spec.schema(), lengths, keys)
     measures = constraints | {_NEWEST: F.coalesce(F.max(spec.surrogate), F.lit(0))}
     snapshot = warehouse.write(
         SERVICE, spec.table, merged, keys, merged_from=current, measure=measures

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.operators import active, monthly_sales
-from stratamart.plans.jobs import load_fact, run_warehouse, stage_entity
+from stratamart.plans.jobs import load_balance, load_fact, reject_report, run_warehouse, stage_entity
 from stratamart.plans.queries.loaded import (
     load,
     load_twice,
@@ -25,7 +25,7 @@ from stratamart.plans.queries.reports import _MONTHLY_SQL
 from stratamart.plans.queries.roles import CALENDAR_SQL, MODEL, RUN, STAGED_SQL, T0, entity, raw_sql
 from stratamart.sources import land, read_feed
 from stratamart.sources.shared_folder import fresh_folder
-from stratamart.specs import LANDING, SERVICE, STAGING, FeedSpec
+from stratamart.specs import LANDING, SERVICE, STAGING, TRANSFORMATION, FeedSpec
 
 @query(_MONTHLY_SQL)
 def retail_monthly_sales(spark, sf):
@@ -87,6 +87,37 @@ def load_report_with_failures(spark, sf):
     return report.to_df(spark).select("step", "ok", "rows")
 
 
+# The raw key of each entity, and the rows whose key cannot be used.
+_RAW_KEYS = {e.name: e.key_rules()[0].source for e in MODEL.entities}
+_REJECTED_SQL = "{key} IS NULL OR NOT regexp_full_match(trim({key}), '[0-9]+')"
+
+
+@query("\nUNION ALL\n".join(
+    f"""SELECT '{e.table}' AS tabla,
+               CASE WHEN nullif(trim({_RAW_KEYS[e.name]}), '') IS NULL THEN '{_RAW_KEYS[e.name]} missing'
+                    ELSE '{_RAW_KEYS[e.name]} not a whole number' END AS motivo, count(*) AS cantidad
+        FROM {raw_sql(e.source)} AS r WHERE {_REJECTED_SQL.format(key=_RAW_KEYS[e.name])} GROUP BY ALL"""
+    for e in MODEL.entities
+))
+def rejected_by_reason(spark, sf):
+    """What a first load could not stage, by table and reason."""
+    warehouse, _ = loaded(spark, sf)
+    return reject_report(warehouse, MODEL.entities)
+
+
+@query("\nUNION ALL\n".join(
+    f"""SELECT '{e.table}' AS tabla, count(*) AS recibidas,
+               count(*) FILTER (WHERE NOT ({_REJECTED_SQL.format(key=_RAW_KEYS[e.name])})) AS cargadas,
+               count(*) FILTER (WHERE {_REJECTED_SQL.format(key=_RAW_KEYS[e.name])}) AS rechazadas
+        FROM {raw_sql(e.source)} AS r"""
+    for e in MODEL.entities
+))
+def landed_staged_rejected(spark, sf):
+    """Every landed row is either staged or rejected, as counted in the writes of a first load."""
+    warehouse, _ = loaded(spark, sf)
+    return load_balance(warehouse, MODEL.entities)
+
+
 _BY_ID = replace(entity("empleados"), keys=("id_empleado",))
 _DIMENSION_OF = {d.table: next(e.name for e in MODEL.entities if e.table == d.source) for d in MODEL.dimensions}
 _FACT_SQL = {"fact_ventas": SQL["star_lookup"], "fact_compras": SQL["purchases_fact"], "fact_gastos": SQL["expenses_fact"]}
@@ -97,6 +128,7 @@ _FACT_SQL = {"fact_ventas": SQL["star_lookup"], "fact_compras": SQL["purchases_f
     for layer, name, rows in (
         *[(LANDING, f.table, raw_sql(f.table)) for f in MODEL.feeds],
         *[(STAGING, e.table, STAGED_SQL[e.name]) for e in MODEL.entities if e.name != "empleados"],
+        *[(TRANSFORMATION, e.table, raw_sql(e.source)) for e in MODEL.entities],
         (STAGING, "stg_empleados", f"(SELECT DISTINCT id_empleado FROM {STAGED_SQL['empleados']} AS s)"),
         *[(SERVICE, table, STAGED_SQL[name]) for table, name in _DIMENSION_OF.items()],
         (SERVICE, MODEL.calendar.table, CALENDAR_SQL),

@@ -170,6 +170,34 @@ def constraint_violations(spark, sf):
     return check_constraints(clients, required, {"provincia": 8, "domicilio": 200})
 
 
+def _examples_sql(column: str, rule: str, broken: str) -> str:
+    """The least key breaking a rule in each of three classes by hash, in order."""
+    key = "cast(id_cliente AS VARCHAR)"
+    least = [
+        f"min({key}) FILTER (WHERE ({broken}) AND cast('0x' || substr(md5({key}), 1, 7) AS INTEGER) % 3 = {n})" for n in range(3)
+    ]
+    return f"""
+    SELECT '{column}' AS "column", '{rule}' AS rule, count(*) FILTER (WHERE {broken}) AS violations,
+           array_to_string(list_sort(list_filter([{", ".join(least)}], lambda x: x IS NOT NULL)), '; ') AS examples
+    FROM {STAGED_SQL["clientes"]} AS c"""
+
+
+@query(" UNION ALL ".join([
+    _examples_sql("telefono", "not_null", "telefono IS NULL"),
+    _examples_sql("edad", "not_null", "edad IS NULL"),
+    _examples_sql("provincia", "max_length_8", "length(rtrim(provincia)) > 8"),
+    _examples_sql("domicilio", "max_length_200", "length(rtrim(domicilio)) > 200"),
+]))
+def constraint_examples(spark, sf):
+    """The rules that rows break, and some of these rows by key."""
+    clients = staged(spark, sf, "stg_clientes")
+    required = clients.select("telefono", "edad").schema
+    for field in required:
+        field.nullable = False
+    found = check_constraints(clients, required, {"provincia": 8, "domicilio": 200}, ("id_cliente",))
+    return found.withColumn("examples", F.array_join("examples", "; "))
+
+
 @query(f"""
     SELECT c.id_compra, p.sk_producto, s.sk_proveedor, d.sk_tiempo, c.cantidad,
            c.precio AS precio_unitario, cast(c.precio * c.cantidad AS DECIMAL(15,3)) AS monto_total

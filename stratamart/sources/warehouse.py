@@ -173,6 +173,7 @@ class Warehouse:
         merged_from: Snapshot | None = None,
         measure: Mapping[str, Column] | None = None,
         measured_only: tuple[str, ...] = (),
+        partition_by: tuple[str, ...] = (),
     ) -> Snapshot:
         """Write a new, unpublished version; with ``append`` it includes the current one.
 
@@ -180,7 +181,8 @@ class Warehouse:
         the merge already left each bucket in one task; otherwise rows are brought together first.
         ``measure`` names aggregates to take in passing; they and the row count are the snapshot's
         ``metrics``, so a check needs no second pass over the data. Columns in ``measured_only`` are
-        there for these aggregates and not written.
+        there for these aggregates and not written. Rows are put in one folder for each value of
+        ``partition_by``, so that a reader of some values opens no other files.
         """
         version = self._next_version(layer, table)
         folder = f"data-{version:08d}-{uuid.uuid4().hex[:8]}"
@@ -195,6 +197,8 @@ class Warehouse:
         )
         observed = observed.drop(*measured_only)
         writer = observed.write.format("parquet").mode("errorifexists")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         folders = (folder,)
         if bucket_count:
             name = self._catalog_name(layer, table, folder)
