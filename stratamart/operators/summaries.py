@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.specs import AUDIT_DELETED, FactSpec, SummaryLabels
@@ -14,24 +14,37 @@ from stratamart.specs import AUDIT_DELETED, FactSpec, SummaryLabels
 _MONEY = "decimal(38,3)"
 
 
-def active_deleted_summary(
-    df: DataFrame, labels: SummaryLabels, amount: str | None = None, money: str = _MONEY
-) -> DataFrame:
-    """One row for the active and one for the soft-deleted rows, also when there are none.
+def active_deleted_measures(amount: str | None = None, money: str = _MONEY) -> dict[str, Column]:
+    """What a load summary is made of: active and deleted rows and the amount of the active ones.
 
-    With ``amount`` the active row also has its sum and the deleted row a constant 0.
+    All are sums, so those of parts of a table can be added up.
     """
     gone = F.col(AUDIT_DELETED)
-    totals = [F.count_if(~gone).alias("live"), F.count_if(gone).alias("dead")]
+    measures = {"live": F.count_if(~gone), "dead": F.count_if(gone)}
     if amount:
-        totals.append(F.sum(F.when(~gone, F.expr(amount))).cast(money).alias("total"))
+        measures["total"] = F.sum(F.when(~gone, F.expr(amount))).cast(money)
+    return measures
+
+
+def active_deleted_lines(measured: DataFrame, labels: SummaryLabels, money: str = _MONEY) -> DataFrame:
+    """The one row of ``active_deleted_measures`` as two lines."""
     live = [F.lit(labels.active).alias("descripcion"), F.col("live").alias("cantidad")]
     dead = [F.lit(labels.deleted).alias("descripcion"), F.col("dead").alias("cantidad")]
-    if amount:
-        live.append(F.col("total").alias("monto_total"))
+    if "total" in measured.columns:
+        live.append(F.col("total").cast(money).alias("monto_total"))
         dead.append(F.lit(0).cast(money).alias("monto_total"))
-    lines = F.inline(F.array(F.struct(*live), F.struct(*dead)))
-    return df.agg(*totals).select(lines).orderBy(F.desc("descripcion"))
+    return measured.select(F.inline(F.array(F.struct(*live), F.struct(*dead)))).orderBy(F.desc("descripcion"))
+
+
+def active_deleted_summary(
+    df: DataFrame, labels: SummaryLabels, amount: str | None = None, money: str = _MONEY
+) -> DataFrame:
+    """One row for the active and one for the soft-deleted rows, also when there are none.
+
+    With ``amount`` the active row also has its sum and the deleted row a constant 0.
+    """
+    measures = active_deleted_measures(amount, money)
+    return active_deleted_lines(df.agg(*[c.alias(n) for n, c in measures.items()]), labels, money)
 
 
 def dimension_size(df: DataFrame, name: str) -> DataFrame:
@@ -40,6 +53,14 @@ def dimension_size(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+def fact_measures(spec: FactSpec) -> dict[str, Column]:
+    """What the totals of a fact are made of besides its rows: a sum, a least and a greatest key."""
+    measures = {"total": F.sum(spec.total).cast(_MONEY)}
+    if spec.date_range:
+        measures |= {"first": F.min(spec.date_range), "last": F.max(spec.date_range)}
+    return measures
+
+
 def fact_totals(fact: DataFrame, spec: FactSpec, calendar: DataFrame | None = None) -> DataFrame:
     """Rows, total amount and, if the spec has a date role, its first and last calendar key.
 

@@ -8,6 +8,8 @@ submitted to Spark concurrently.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import time
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -15,7 +17,7 @@ from contextlib import contextmanager
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.operators.calendar import date_dimension
@@ -36,11 +38,17 @@ from stratamart.operators.merge import (
     merge_upsert,
 )
 from stratamart.operators.star import fact_rows, shuffles_facts, unmatched_report
-from stratamart.operators.summaries import active_deleted_summary, dimension_size, fact_totals
+from stratamart.operators.summaries import (
+    active_deleted_lines,
+    active_deleted_measures,
+    active_deleted_summary,
+    fact_measures,
+    fact_totals,
+)
 from stratamart.session import require_ansi, shuffles_for, timestamp_literal
-from stratamart.sources.delimited import folder_bytes, land, path_exists, read_feed
+from stratamart.sources.delimited import feed_files, folder_bytes, land, new_files, path_exists, read_feed
 from stratamart.sources.shared_folder import fresh_folder
-from stratamart.sources.warehouse import Snapshot, Warehouse, empty_frame
+from stratamart.sources.warehouse import ROWS, Snapshot, Warehouse, empty_frame
 from stratamart.specs import (
     AUDIT_CREATED,
     AUDIT_DELETED,
@@ -60,8 +68,10 @@ from stratamart.specs import (
 _CONCURRENT_TABLES = 8
 # The highest surrogate key of a snapshot, kept with it so that no later load has to look for it.
 _NEWEST = "newest key"
-# Rows of a run that were staged, and those that were rejected.
-_STAGED, _REJECTED = "staged", "rejected rows"
+_MONEY = "decimal(38,3)"
+# Measures that load summaries are made of; rows of a run that were staged, and those that were rejected.
+_SUMMARY = "summary "
+_STAGED, _REJECTED = _SUMMARY + "live", "rejected rows"
 
 
 class LoadError(RuntimeError):
@@ -100,13 +110,22 @@ class Report(tuple):
         )
 
 
+class Unchanged(int):
+    """The rows of a table that a step left as it was, because nothing it is made from has changed."""
+
+
+#: The message of a step that had nothing to do.
+UNCHANGED = "unchanged"
+
+
 def _timed(name: str, work: Callable[[], int]) -> Step:
     began, rows, problem = time.perf_counter(), 0, ""
     try:
         rows = work()
     except Exception as error:  # the report carries it; the other tables go on
         problem = f"{type(error).__name__}: {error}"
-    return Step(name, not problem, rows, time.perf_counter() - began, problem)
+    message = problem or (UNCHANGED if isinstance(rows, Unchanged) else "")
+    return Step(name, not problem, int(rows), time.perf_counter() - began, message)
 
 
 def _run_steps(steps: Iterable[tuple[str, Callable[[], int]]]) -> Report:
@@ -114,6 +133,32 @@ def _run_steps(steps: Iterable[tuple[str, Callable[[], int]]]) -> Report:
         return Report(pool.map(lambda step: _timed(*step), steps))
 
 
+# -- what a version is made from ------------------------------------------------------------------
+
+
+def _origin(run_ts: dt.datetime, spec: object, inputs: Mapping[str, object]) -> dict[str, object]:
+    """The run, the rules and the state of every input; kept in the commit of what is made from them.
+
+    The commits are the ledger of a run: a step is done when the current version of its table has this
+    origin. An input's state is the checksum of its rows, measured when these were written.
+    """
+    rules = hashlib.sha256(repr(spec).encode()).hexdigest()
+    return {"run": run_ts.isoformat(), "rules": rules, "inputs": {k: str(v) for k, v in sorted(inputs.items())}}
+
+
+def _checksums(warehouse: Warehouse, tables: Iterable[tuple[str, str]]) -> dict[str, str]:
+    return {f"{layer}.{table}": warehouse.current(layer, table).checksum for layer, table in tables}
+
+
+def _done(warehouse: Warehouse, layer: str, table: str, origin: Mapping[str, object]) -> Unchanged | None:
+    """The rows of the table if its current version has this origin."""
+    if warehouse.exists(layer, table):
+        current = warehouse.current(layer, table)
+        if current.made_from == origin:
+            return Unchanged(current.all_rows)
+    return None
+
+
 # -- creation -----------------------------------------------------------------------------------
 
 
@@ -137,11 +182,15 @@ def load_calendar(warehouse: Warehouse, spec: CalendarSpec, run_ts: dt.datetime)
     return snapshot.metrics["rows"]
 
 
-def create_tables(warehouse: Warehouse, model: WarehouseModel, run_ts: dt.datetime) -> Report:
-    """Every table empty, and the calendar filled."""
+def create_tables(
+    warehouse: Warehouse, model: WarehouseModel, run_ts: dt.datetime, missing_only: bool = False
+) -> Report:
+    """Every table empty, and the calendar filled. With ``missing_only`` tables that exist stay as they are."""
 
     def made(layer, table, schema):
         def work():
+            if missing_only and warehouse.exists(layer, table):
+                return Unchanged(warehouse.count(layer, table))
             warehouse.create(layer, table, schema)
             return 0
 
@@ -161,24 +210,45 @@ def create_tables(warehouse: Warehouse, model: WarehouseModel, run_ts: dt.dateti
 # -- landing ------------------------------------------------------------------------------------
 
 
+def land_feed(
+    warehouse: Warehouse, feed: FeedSpec, path: str, run_ts: dt.datetime, truncate: bool = True, resume: bool = False
+) -> int:
+    """Land the files at a path; returns the rows written.
+
+    Without ``truncate`` only files that the table does not hold yet are added, so a repeat adds nothing.
+    With ``resume`` a table that this run made of the same files is left as it is.
+    """
+    files = feed_files(warehouse.spark, path)
+    if not files:
+        raise FileNotFoundError(path)
+    origin = _origin(run_ts, feed, {"files": hashlib.sha256(json.dumps(files).encode()).hexdigest()})
+    if truncate:
+        done = _done(warehouse, LANDING, feed.table, origin) if resume else None
+        if done is not None:
+            return done
+        read = path
+    else:
+        files = new_files(warehouse, feed.table, files)
+        if not files:
+            return Unchanged(warehouse.count(LANDING, feed.table))
+        read = [f for f, _, _ in files]
+    rows = read_feed(warehouse.spark, read, feed)
+    return land(warehouse, rows, feed.table, run_ts, truncate, files, origin).metrics[ROWS]
+
+
 def run_landing(
     warehouse: Warehouse,
     feeds: Iterable[FeedSpec],
     folder: str,
     run_ts: dt.datetime,
     truncate: bool = True,
+    resume: bool = False,
 ) -> Report:
     """Load each feed found in ``folder``. A missing or malformed one fails, the others go on."""
 
     def loading(feed: FeedSpec):
-        def work():
-            path = f"{folder.rstrip('/')}/{feed.file}"
-            if not path_exists(warehouse.spark, path):
-                raise FileNotFoundError(path)
-            rows = read_feed(warehouse.spark, path, feed)
-            return land(warehouse, rows, feed.table, run_ts, truncate).metrics["rows"]
-
-        return f"land {feed.file}", work
+        path = f"{folder.rstrip('/')}/{feed.file}"
+        return f"land {feed.file}", lambda: land_feed(warehouse, feed, path, run_ts, truncate, resume)
 
     return _run_steps([loading(feed) for feed in feeds])
 
@@ -234,13 +304,19 @@ def stage_entity(
     run_ts: dt.datetime,
     max_delete_fraction: float | None = None,
     dedupe: tuple[str, ...] | None = None,
+    resume: bool = False,
 ) -> int:
     """Conform, merge into the staging snapshot, check what was written, publish.
 
-    Returns the rows in the new snapshot. ``dedupe`` names the columns that decide which of several
+    Returns the rows in the new snapshot. With ``resume`` a table that this run has already merged from the
+    same landed rows is left as it is. ``dedupe`` names the columns that decide which of several
     rows with one key to keep; without it such a source is refused. Rows without a usable key are kept
     in the transformation layer with their reasons, see ``rejected_rows``.
     """
+    origin = _origin(run_ts, (spec, dedupe), _checksums(warehouse, [(LANDING, spec.source)]))
+    done = _done(warehouse, STAGING, spec.table, origin) if resume else None
+    if done is not None:
+        return done
     split = sort_out_landed(warehouse, spec)
     source = warehouse.read_snapshot(split).where(~F.col(REJECTED)).select(*[r.name for r in spec.columns])
     # A key that a source repeats is repeated by the merge. In buckets that shows without a shuffle.
@@ -253,15 +329,16 @@ def stage_entity(
     merged = merge_soft_delete(target, source, spec.keys, spec.attributes, run_ts, mark=True)
     lengths = {r.name: r.max_length for r in spec.columns if r.max_length}
     constraints = constraint_measures(spec.schema(), lengths, spec.keys)
-    staged = {_STAGED: F.count_if(~F.col(AUDIT_DELETED))}
+    summary = {_SUMMARY + name: c for name, c in active_deleted_measures(spec.amount).items()}
     snapshot = warehouse.write(
         STAGING,
         spec.table,
         merged,
         spec.keys,
         merged_from=current,
-        measure=constraints | change_measures() | staged,
+        measure=constraints | change_measures() | summary,
         measured_only=(WAS_ACTIVE,),
+        made_from=origin,
     )
     assert_measures(snapshot.metrics, constraints, spec.table)
     if bucketed and dedupe is None:
@@ -306,6 +383,7 @@ def run_staging(
     run_ts: dt.datetime,
     max_delete_fraction: float | None = None,
     dedupe: Mapping[str, tuple[str, ...]] | None = None,
+    resume: bool = False,
 ) -> Report:
     """Merge every entity; a failing one does not stop the others.
 
@@ -317,17 +395,38 @@ def run_staging(
         order = (dedupe or {}).get(spec.name)
         return (
             f"merge {spec.table}",
-            lambda: stage_entity(warehouse, spec, run_ts, max_delete_fraction, order),
+            lambda: stage_entity(warehouse, spec, run_ts, max_delete_fraction, order, resume),
         )
 
     return _run_steps([merging(spec) for spec in entities])
 
 
+def _from_commit(
+    snapshot: Snapshot, spark: SparkSession, measures: Mapping[str, tuple[str, Callable]]
+) -> DataFrame | None:
+    """One row of measures (name: type and how those of several folders combine) taken from the commit alone.
+
+    None if the version was written without them.
+    """
+    if not snapshot.folders or not all(_SUMMARY + n in snapshot.measured[f] for f in snapshot.folders for n in measures):
+        return None
+    row = [snapshot.over_folders(_SUMMARY + name, combine) for name, (_, combine) in measures.items()]
+    return spark.createDataFrame([tuple(row)], ", ".join(f"{name} {kind}" for name, (kind, _) in measures.items()))
+
+
 def staging_summary(warehouse: Warehouse, spec: EntitySpec) -> DataFrame:
-    """Active and deleted rows of one staging table, with its amount where it has one."""
+    """Active and deleted rows of one staging table, with its amount where it has one.
+
+    They are in the commit of a version that a merge wrote, so nothing is scanned.
+    """
     if spec.labels is None:
         raise LookupError(f"{spec.name} has no load summary")
-    return active_deleted_summary(warehouse.read(STAGING, spec.table), spec.labels, spec.amount)
+    snapshot = warehouse.current(STAGING, spec.table)
+    counted = {"live": ("bigint", sum), "dead": ("bigint", sum)}
+    measured = _from_commit(snapshot, warehouse.spark, counted | ({"total": (_MONEY, sum)} if spec.amount else {}))
+    if measured is None:
+        return active_deleted_summary(warehouse.read_snapshot(snapshot), spec.labels, spec.amount)
+    return active_deleted_lines(measured, spec.labels)
 
 
 # -- service ------------------------------------------------------------------------------------
@@ -341,14 +440,17 @@ def _upsert_and_publish(
     columns: list[str],
     lengths: Mapping[str, int],
     run_ts: dt.datetime,
+    origin: Mapping[str, object],
 ) -> int:
     current, target = _target(warehouse, SERVICE, spec)
     newest = current.metrics.get(_NEWEST) if current and current.folders else 0
     merged = merge_upsert(target, source, keys, columns, run_ts, spec.surrogate, newest)
     constraints = constraint_measures(spec.schema(), lengths, keys)
     measures = constraints | {_NEWEST: F.coalesce(F.max(spec.surrogate), F.lit(0))}
+    if isinstance(spec, FactSpec) and spec.total:
+        measures |= {_SUMMARY + name: c for name, c in fact_measures(spec).items()}
     snapshot = warehouse.write(
-        SERVICE, spec.table, merged, keys, merged_from=current, measure=measures
+        SERVICE, spec.table, merged, keys, merged_from=current, measure=measures, made_from=origin
     )
     assert_measures(snapshot.metrics, constraints, spec.table)
     assert_unique(warehouse.read_snapshot(snapshot), keys, spec.table)
@@ -356,13 +458,19 @@ def _upsert_and_publish(
     return snapshot.metrics["rows"]
 
 
-def load_dimension(warehouse: Warehouse, spec: DimensionSpec, run_ts: dt.datetime) -> int:
+def load_dimension(
+    warehouse: Warehouse, spec: DimensionSpec, run_ts: dt.datetime, resume: bool = False
+) -> int:
     """Upsert the active staging rows. Returns the rows in the new snapshot."""
+    origin = _origin(run_ts, spec, _checksums(warehouse, [(STAGING, spec.source)]))
+    done = _done(warehouse, SERVICE, spec.table, origin) if resume else None
+    if done is not None:
+        return done
     source = active(warehouse.read(STAGING, spec.source)).select(
         *spec.keys, *[F.col(c).alias(name) for name, c in spec.attributes.items()]
     )
     return _upsert_and_publish(
-        warehouse, spec, source, spec.keys, list(spec.attributes), spec.lengths, run_ts
+        warehouse, spec, source, spec.keys, list(spec.attributes), spec.lengths, run_ts, origin
     )
 
 
@@ -382,20 +490,31 @@ def _stored(warehouse: Warehouse, rows: DataFrame, spec: FactSpec) -> Iterator[D
         scratch.drop(SERVICE, spec.table)
 
 
-def load_fact(warehouse: Warehouse, spec: FactSpec, run_ts: dt.datetime, max_broadcast: int | None = None) -> int:
+def load_fact(
+    warehouse: Warehouse,
+    spec: FactSpec,
+    run_ts: dt.datetime,
+    max_broadcast: int | None = None,
+    resume: bool = False,
+) -> int:
     """Resolve the active staging rows against the dimensions and upsert them.
 
     Where a dimension is too large to be broadcast (more than ``max_broadcast`` bytes; by default Spark's
     own limit) the facts move for it. They are then stored once, by their key, as the merge reads its
     source twice.
     """
+    inputs = [(STAGING, spec.source), *[(SERVICE, name) for name in sorted({lk.dimension for lk in spec.lookups})]]
+    origin = _origin(run_ts, spec, _checksums(warehouse, inputs))
+    done = _done(warehouse, SERVICE, spec.table, origin) if resume else None
+    if done is not None:
+        return done
     staged = active(warehouse.read(STAGING, spec.source))
     dims = _dimensions_of(warehouse, spec)
     source = fact_rows(staged, dims, spec, max_broadcast)
     if not shuffles_facts(dims, spec.lookups, max_broadcast):
-        return _upsert_and_publish(warehouse, spec, source, (spec.key,), spec.columns, {}, run_ts)
+        return _upsert_and_publish(warehouse, spec, source, (spec.key,), spec.columns, {}, run_ts, origin)
     with _stored(warehouse, source, spec) as resolved:
-        return _upsert_and_publish(warehouse, spec, resolved, (spec.key,), spec.columns, {}, run_ts)
+        return _upsert_and_publish(warehouse, spec, resolved, (spec.key,), spec.columns, {}, run_ts, origin)
 
 
 def run_service(
@@ -403,23 +522,34 @@ def run_service(
     dimensions: Iterable[DimensionSpec],
     facts: Iterable[FactSpec],
     run_ts: dt.datetime,
+    resume: bool = False,
 ) -> Report:
     """All dimensions, then all facts; a failing table does not stop the others."""
     require_ansi(warehouse.spark)
 
     def loading(spec, load):
-        return f"merge {spec.table}", lambda: load(warehouse, spec, run_ts)
+        return f"merge {spec.table}", lambda: load(warehouse, spec, run_ts, resume=resume)
 
     report = _run_steps([loading(d, load_dimension) for d in dimensions])
     return report + _run_steps([loading(f, load_fact) for f in facts])
 
 
 def service_summary(warehouse: Warehouse, spec: DimensionSpec | FactSpec, calendar=None) -> DataFrame:
-    """Size of a dimension, or rows and total of a fact."""
-    table = warehouse.read(SERVICE, spec.table)
+    """Size of a dimension, or rows and total of a fact. Only the real days that ``calendar`` adds need a scan."""
+    snapshot, spark = warehouse.current(SERVICE, spec.table), warehouse.spark
     if isinstance(spec, DimensionSpec):
-        return dimension_size(table, spec.table)
-    return fact_totals(table, spec, calendar)
+        return spark.createDataFrame([(spec.table, snapshot.all_rows)], "dimension string, total_registros bigint")
+    measured = None
+    if calendar is None:
+        keys = {"first": ("bigint", min), "last": ("bigint", max)} if spec.date_range else {}
+        measured = _from_commit(snapshot, spark, {"total": (_MONEY, sum)} | keys)
+    if measured is None:
+        return fact_totals(warehouse.read_snapshot(snapshot), spec, calendar)
+    columns = [F.lit(spec.table).alias("tabla"), F.lit(snapshot.all_rows).cast("bigint").alias("total_registros")]
+    columns.append(F.col("total").alias(spec.total_label))
+    if spec.date_range:
+        columns += [F.col("first").alias("fecha_min"), F.col("last").alias("fecha_max")]
+    return measured.select(*columns)
 
 
 def unmatched_facts(warehouse: Warehouse, spec: FactSpec) -> DataFrame:
@@ -443,19 +573,25 @@ def run_warehouse(
     dedupe: Mapping[str, tuple[str, ...]] | None = None,
     landed: Mapping[str, DataFrame] | None = None,
     keep_versions: int | None = None,
+    resume: bool = False,
 ) -> Report:
     """Optionally reset and create, then land, stage and serve. Stops after the first failed layer.
 
+    ``resume`` repeats a run that failed, given the same ``run_ts``: steps that it has done are left out if
+    what they are made from is unchanged, so only failed ones and those after them are done again.
+
     ``landed`` gives raw rows by landing table instead of feed files. With ``keep_versions`` a run that
     worked deletes all but that many versions of every table; whoever reads older ones loses them. Without
     it all versions are kept.
     """
+    if resume and create_schema:
+        raise ValueError("a run that resets the layers has nothing to resume")
     size = 0
     if folder is not None and path_exists(warehouse.spark, folder):
         size = folder_bytes(warehouse.spark, folder)
     with shuffles_for(warehouse.spark, size):
         report = _run_layers(
-            warehouse, model, folder, run_ts, create_schema, create, only_init, max_delete_fraction, dedupe, landed
+            warehouse, model, folder, run_ts, create_schema, create, only_init, max_delete_fraction, dedupe, landed, resume
         )
     if report.ok and keep_versions is not None:
         report += _run_steps(
@@ -479,6 +615,7 @@ def _run_layers(
     max_delete_fraction: float | None,
     dedupe: Mapping[str, tuple[str, ...]] | None,
     landed: Mapping[str, DataFrame] | None,
+    resume: bool,
 ) -> Report:
     report = Report()
     if create_schema:
@@ -489,14 +626,14 @@ def _run_layers(
 
         report += _run_steps([("reset layers", dropped)])
     if create and report.ok:
-        report += create_tables(warehouse, model, run_ts)
+        report += create_tables(warehouse, model, run_ts, missing_only=resume)
     if only_init or not report.ok:
         return report
 
     if landed is None:
         if folder is None:
             raise LoadError("neither a feed folder nor landed rows given")
-        report += run_landing(warehouse, model.feeds, folder, run_ts)
+        report += run_landing(warehouse, model.feeds, folder, run_ts, resume=resume)
     else:
 
         def landing(table: str, rows: DataFrame):
@@ -508,7 +645,7 @@ def _run_layers(
         report += _run_steps([landing(t, df) for t, df in landed.items()])
     if not report.ok:
         return report
-    report += run_staging(warehouse, model.entities, run_ts, max_delete_fraction, dedupe)
+    report += run_staging(warehouse, model.entities, run_ts, max_delete_fraction, dedupe, resume)
     if not report.ok:
         return report
-    return report + run_service(warehouse, model.dimensions, model.facts, run_ts)
+    return report + run_service(warehouse, model.dimensions, model.facts, run_ts, resume)

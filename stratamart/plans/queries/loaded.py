@@ -36,10 +36,11 @@ def new_warehouse(spark: SparkSession, sf: str) -> Warehouse:
     return Warehouse(spark, fresh_folder(spark, "warehouse"), buckets)
 
 
-def write_feed(df: DataFrame, folder: str, delimiter: str = ";", **options: str) -> None:
+def write_feed(df: DataFrame, folder: str, delimiter: str = ";", mode: str = "errorifexists", **options: str) -> None:
     """Rows as delimited files with a header: text quoted where needed, quoted empties kept apart from NULL."""
     (
-        df.write.option("header", True)
+        df.write.mode(mode)
+        .option("header", True)
         .option("sep", delimiter)
         .option("quote", '"')
         .option("escape", '"')
@@ -51,14 +52,20 @@ def write_feed(df: DataFrame, folder: str, delimiter: str = ";", **options: str)
     )
 
 
+def write_feed_of(spark: SparkSession, sf: str, place: int, feed: FeedSpec, folder: str, rows: DataFrame | None = None) -> None:
+    """One of the model's feeds below a folder, replacing what is there."""
+    delimiter = feed.delimiter or _DELIMITERS[place % 2]
+    rows = raw(spark, sf, feed.table) if rows is None else rows
+    write_feed(rows, f"{folder}/{feed.file}", delimiter, mode="overwrite", encoding=feed.encoding)
+
+
 def write_feeds(spark: SparkSession, sf: str, changed: Mapping[str, DataFrame | None] | None = None) -> str:
     """All feeds as files below a new folder. ``changed`` replaces rows by landing table; None leaves a feed out."""
     folder, rows = fresh_folder(spark, "feeds"), {name: raw(spark, sf, name) for name in RAW} | dict(changed or {})
 
     def written(place: int, feed: FeedSpec) -> None:
         if rows[feed.table] is not None:
-            delimiter = feed.delimiter or _DELIMITERS[place % 2]
-            write_feed(rows[feed.table], f"{folder}/{feed.file}", delimiter, encoding=feed.encoding)
+            write_feed_of(spark, sf, place, feed, folder, rows[feed.table])
 
     with ThreadPoolExecutor(len(_DELIMITERS) * 4) as pool:
         list(pool.map(written, range(len(MODEL.feeds)), MODEL.feeds))

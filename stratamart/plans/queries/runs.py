@@ -9,7 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.operators import active, monthly_sales
-from stratamart.plans.jobs import load_balance, load_fact, reject_report, run_warehouse, stage_entity
+from stratamart.plans.jobs import (
+    UNCHANGED,
+    land_feed,
+    load_balance,
+    load_fact,
+    reject_report,
+    run_warehouse,
+    service_summary,
+    stage_entity,
+    staging_summary,
+)
 from stratamart.plans.queries.loaded import (
     load,
     load_twice,
@@ -17,12 +27,13 @@ from stratamart.plans.queries.loaded import (
     loaded_twice,
     new_warehouse,
     write_feed,
+    write_feed_of,
     write_feeds,
 )
 from stratamart.plans.queries.merging import _RUN, _T0, _merge_sql
 from stratamart.plans.queries.registry import SQL, query, table
 from stratamart.plans.queries.reports import _MONTHLY_SQL
-from stratamart.plans.queries.roles import CALENDAR_SQL, MODEL, RUN, STAGED_SQL, T0, entity, raw_sql
+from stratamart.plans.queries.roles import CALENDAR_SQL, MODEL, RUN, STAGED_SQL, T0, entity, raw, raw_sql
 from stratamart.sources import land, read_feed
 from stratamart.sources.shared_folder import fresh_folder
 from stratamart.specs import LANDING, SERVICE, STAGING, TRANSFORMATION, FeedSpec
@@ -118,6 +129,67 @@ def landed_staged_rejected(spark, sf):
     return load_balance(warehouse, MODEL.entities)
 
 
+_SPOILED = next(e for e in MODEL.entities if e.name == "gastos")
+
+
+@query("\nUNION ALL\n".join(
+    [
+        f"SELECT 'land {f.file}' AS step, true AS ok, count(*) AS rows, {str(f.table == _SPOILED.source).lower()} AS done_again "
+        f"FROM {raw_sql(f.table)} AS r" for f in MODEL.feeds
+    ] + [
+        f"SELECT 'merge {t}', true, count(*), {str(t == _SPOILED.table).lower()} FROM {STAGED_SQL[e]} AS s"
+        for t, e in _STAGED_TABLES.items()
+    ]
+))
+def resumed_run(spark, sf):
+    """A run fails over one bad amount; with the feed mended it is resumed, and only what failed is done again."""
+    warehouse = new_warehouse(spark, sf)
+    bad = raw(spark, sf, _SPOILED.source).withColumn("monto", F.lit("ten"))
+    folder = write_feeds(spark, sf, {_SPOILED.source: bad})
+    failed = run_warehouse(warehouse, MODEL, folder, T0, create_schema=True, create=True).failures()
+    if list(failed) != [f"merge {_SPOILED.table}"]:
+        raise ValueError(f"one step was to fail: {failed}")
+    place, feed = next((i, f) for i, f in enumerate(MODEL.feeds) if f.table == _SPOILED.source)
+    write_feed_of(spark, sf, place, feed, folder)
+    report = run_warehouse(warehouse, MODEL, folder, T0, create=True, resume=True).to_df(spark)
+    steps = report.where(F.col("step").startswith("land ") | F.col("step").startswith("merge stg_"))
+    return steps.select("step", "ok", "rows", (F.col("message") != UNCHANGED).alias("done_again"))
+
+
+def _summary_sql(name: str, key: str, dropped: str, labels, amount: str | None) -> str:
+    money = ", cast(sum({0}) AS DECIMAL(38,3)) AS monto_total".format(amount) if amount else ""
+    none = ", cast(0 AS DECIMAL(38,3))" if amount else ""
+    return f"""
+    SELECT '{name}' AS tabla, '{labels.active}' AS descripcion, count(*) AS cantidad{money}
+    FROM {STAGED_SQL[name]} AS s WHERE NOT ({dropped})
+    UNION ALL SELECT '{name}', '{labels.deleted}', count(*){none} FROM {STAGED_SQL[name]} AS s WHERE {dropped}"""
+
+
+_SUMMARISED = [e for e in MODEL.entities if e.amount]
+
+
+@query(" UNION ALL ".join(
+    _summary_sql(e.name, e.keys[0], "id_canal = 2" if e.name == "ventas" else "false", e.labels, e.amount)
+    for e in _SUMMARISED
+))
+def summaries_from_commits(spark, sf):
+    """Load summaries after a second load that deletes sales, taken from the commits without a scan."""
+    warehouse, _ = loaded_twice(spark, sf)
+    lines = [staging_summary(warehouse, e).select(F.lit(e.name).alias("tabla"), "*") for e in _SUMMARISED]
+    return reduce(DataFrame.unionByName, lines)
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT tabla, total_registros, cast({f.total_label} AS DECIMAL(38,3)) AS total
+        FROM ({SQL[name]}) AS t""" for f, name in zip(MODEL.facts, ("sales_totals", "purchase_totals", "expense_totals"), strict=True)
+))
+def totals_from_commits(spark, sf):
+    """Fact totals taken from the commits without a scan."""
+    warehouse, _ = loaded(spark, sf)
+    totals = [service_summary(warehouse, f).select("tabla", "total_registros", F.col(f.total_label).alias("total")) for f in MODEL.facts]
+    return reduce(DataFrame.unionByName, totals)
+
+
 _BY_ID = replace(entity("empleados"), keys=("id_empleado",))
 _DIMENSION_OF = {d.table: next(e.name for e in MODEL.entities if e.table == d.source) for d in MODEL.dimensions}
 _FACT_SQL = {"fact_ventas": SQL["star_lookup"], "fact_compras": SQL["purchases_fact"], "fact_gastos": SQL["expenses_fact"]}
@@ -210,6 +282,22 @@ def landing_append(spark, sf):
     return warehouse.read(LANDING, "raw_lines")
 
 
+@query(f"""
+    SELECT *, {_T0} AS created_at FROM ({_LINE_TEXT.format(lineitem="lineitem")}) AS a WHERE linea <> '1'
+    UNION ALL SELECT *, {_RUN} AS created_at FROM ({_LINE_TEXT.format(lineitem="lineitem")}) AS b WHERE linea = '1'""")
+def landing_append_once(spark, sf):
+    """A folder of feed files is landed, repeated, landed with more files in it, and repeated: every file counts once."""
+    warehouse, folder = new_warehouse(spark, sf), fresh_folder(spark, "feed")
+    lines = spark.sql(_LINE_TEXT, lineitem=table(spark, sf, "lineitem"))
+    write_feed(lines.where("linea <> '1'"), folder)
+    for run in (T0, RUN):
+        land_feed(warehouse, _LINE_FEED, folder, run, truncate=False)
+    write_feed(lines.where("linea = '1'"), folder, mode="append")
+    for _ in range(2):
+        land_feed(warehouse, _LINE_FEED, folder, RUN, truncate=False)
+    return warehouse.read(LANDING, _LINE_FEED.table)
+
+
 @query(f"SELECT *, {_RUN} AS created_at FROM ({_LINE_TEXT.format(lineitem='lineitem')}) AS a")
 def landing_truncate(spark, sf):
     """Landing with truncation replaces the previous rows."""

@@ -6,6 +6,8 @@ import codecs
 import csv
 import datetime as dt
 import re
+from collections.abc import Iterable, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,22 +45,29 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hadoop_path).getLength())
 
 
-def _first_file(spark: SparkSession, path: str) -> str:
+def feed_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time of change) of the files that a feed at a path consists of, in order of their paths."""
     hadoop_path, fs = _hadoop_path(spark, path)
     files = []
     for status in fs.globStatus(hadoop_path) or []:
         entries = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
         files += [
-            e.getPath().toString()
+            (e.getPath().toString(), int(e.getLen()), int(e.getModificationTime()))
             for e in entries
             if not e.isDirectory() and not e.getPath().getName().startswith(("_", "."))
         ]
-    if not files:
+    return sorted(files)
+
+
+def _first_file(spark: SparkSession, path: str | Sequence[str]) -> str:
+    files = [path] if isinstance(path, str) else path
+    found = [f for p in files for f, _, _ in feed_files(spark, p)]
+    if not found:
         raise FileNotFoundError(path)
-    return min(files)
+    return min(found)
 
 
-def resolve_delimiter(spark: SparkSession, path: str, spec: FeedSpec) -> str:
+def resolve_delimiter(spark: SparkSession, path: str | Sequence[str], spec: FeedSpec) -> str:
     """The delimiter fixed for the feed, else the one sniffed from its first line."""
     if spec.delimiter is not None:
         return spec.delimiter
@@ -88,7 +97,7 @@ def _parse_options(delimiter: str) -> dict[str, str]:
     }
 
 
-def _by_line(spark: SparkSession, path: str, spec: FeedSpec, delimiter: str) -> DataFrame:
+def _by_line(spark: SparkSession, path: str | list[str], spec: FeedSpec, delimiter: str) -> DataFrame:
     """Every line is a record: files stay splittable and are read once.
 
     Lines are scanned whole, without their files' header lines, checked and then parsed by Spark. A line
@@ -122,7 +131,7 @@ def _parsed(lines: DataFrame, spec: FeedSpec, delimiter: str, hint: str = "", **
     return checked.select(F.from_csv(line, ddl, _parse_options(delimiter) | options).alias("record")).select("record.*")
 
 
-def _by_record(spark: SparkSession, path: str, spec: FeedSpec, delimiter: str) -> DataFrame:
+def _by_record(spark: SparkSession, path: str | list[str], spec: FeedSpec, delimiter: str) -> DataFrame:
     """Records may span lines: found in parallel where quotes and line feeds can be told apart as bytes."""
     charset = _DECODED.get(codecs.lookup(spec.encoding).name)
     if charset is None:
@@ -130,7 +139,7 @@ def _by_record(spark: SparkSession, path: str, spec: FeedSpec, delimiter: str) -
     return _parsed(read_records(spark, path, charset), spec, delimiter, multiLine="true")
 
 
-def _whole_files(spark: SparkSession, path: str, spec: FeedSpec, delimiter: str) -> DataFrame:
+def _whole_files(spark: SparkSession, path: str | list[str], spec: FeedSpec, delimiter: str) -> DataFrame:
     """Records may span lines, and only decoding the file from its start finds them: one task for each file."""
     return (
         spark.read.schema(spec.schema())
@@ -144,7 +153,11 @@ def _whole_files(spark: SparkSession, path: str, spec: FeedSpec, delimiter: str)
     )
 
 
-def read_feed(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
+def _paths(path: str | Sequence[str]) -> str | list[str]:
+    return path if isinstance(path, str) else list(path)
+
+
+def read_feed(spark: SparkSession, path: str | Sequence[str], spec: FeedSpec) -> DataFrame:
     """All-text scan by position: header dropped, unquoted empty = NULL, quoted empty = ''.
 
     A row with another number of fields than the feed declares raises, as do misplaced quotes. How records
@@ -152,10 +165,10 @@ def read_feed(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
     """
     if not spec.columns:
         raise ValueError(f"{spec.file}: no columns declared")
-    if spec.refuse_blank_lines and not spark.read.text(path).where(F.trim("value") == "").isEmpty():
+    if spec.refuse_blank_lines and not spark.read.text(_paths(path)).where(F.trim("value") == "").isEmpty():
         raise ValueError(f"{spec.file}: blank lines")
     delimiter = resolve_delimiter(spark, path, spec)
-    raw = (_by_record if spec.multiline else _by_line)(spark, path, spec, delimiter)
+    raw = (_by_record if spec.multiline else _by_line)(spark, _paths(path), spec, delimiter)
     return raw.select(
         *[F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)).alias(c) for c in spec.columns]
     )
@@ -167,9 +180,26 @@ def land(
     table: str,
     run_ts: dt.datetime,
     truncate: bool = True,
+    files: Iterable[tuple[str, int, int]] = (),
+    made_from: Mapping[str, Any] | None = None,
 ) -> Snapshot:
-    """Write raw rows with their load time, replacing the landing table or adding to it."""
+    """Write raw rows with their load time, replacing the landing table or adding to it.
+
+    ``files`` tells the commit which feed files the rows are from, see ``new_files``.
+    """
     stamped = rows.withColumn(AUDIT_CREATED, timestamp_literal(run_ts))
-    snapshot = warehouse.write(LANDING, table, stamped, append=not truncate)
+    snapshot = warehouse.write(LANDING, table, stamped, append=not truncate, files=files, made_from=made_from)
     warehouse.publish(snapshot)
     return snapshot
+
+
+def new_files(warehouse: Warehouse, table: str, files: Sequence[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Those of a feed's files that the landing table does not hold yet.
+
+    A file that changed after it was landed is an error: its old rows cannot be told from those of others.
+    """
+    landed = warehouse.current(LANDING, table).landed_files() if warehouse.exists(LANDING, table) else {}
+    changed = [path for path, size, time in files if landed.get(path, (size, time)) != (size, time)]
+    if changed:
+        raise ValueError(f"{table}: changed after it was landed: {', '.join(changed[:3])}")
+    return [f for f in files if f[0] not in landed]

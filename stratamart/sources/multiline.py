@@ -25,7 +25,7 @@ _WHOLE, _GOES_ON, _OPENS = 0, 1, 2
 _PARTS = "file string, start long, header boolean, kind int, record binary"
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw lines, by line feeds alone, with the split that each was read from; in order within a split."""
     return spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -112,7 +112,7 @@ def _joined_parts(parts: DataFrame) -> DataFrame:
     return whole.where(~F.col("header")).select(text.cast("binary").alias("record"))
 
 
-def read_records(spark: SparkSession, path: str, encoding: str, max_record: int = MAX_RECORD_BYTES) -> DataFrame:
+def read_records(spark: SparkSession, path: str | list[str], encoding: str, max_record: int = MAX_RECORD_BYTES) -> DataFrame:
     """(line): the records of all files below a path without their headers and without blank ones.
 
     Lines end in a line feed, with or without a carriage return before it; inside quotes both are kept as

@@ -15,8 +15,10 @@ import hashlib
 import json
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from decimal import Decimal
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ from pyspark.sql.types import StructType
 from stratamart.specs import LAYERS
 
 _COMMITS = "_commits"
+#: Measured in every write: its rows, and a sum over their hashes.
+ROWS, CHECKSUM = "rows", "checksum"
 
 
 def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -59,10 +63,35 @@ class Snapshot:
     schema: StructType
     bucket_count: int = 0
     bucket_keys: tuple[str, ...] = ()
-    # What was measured while writing, "rows" of that write among it.
-    metrics: Mapping[str, int] = field(default_factory=dict, compare=False)
-    # Rows in all folders.
-    all_rows: int = 0
+    # What was measured while each folder was written, "rows" and "checksum" among it.
+    measured: Mapping[str, Mapping[str, Any]] = field(default_factory=dict, compare=False)
+    # Feed files (path, bytes, time of change) that each folder was read from, if it was.
+    files: Mapping[str, tuple[tuple[str, int, int], ...]] = field(default_factory=dict, compare=False)
+    # What the version was made from: the run and the state of every input, see ``plans.jobs``.
+    made_from: Mapping[str, Any] = field(default_factory=dict, compare=False)
+
+    @property
+    def metrics(self) -> Mapping[str, Any]:
+        """What was measured in the last write."""
+        return self.measured[self.folders[-1]] if self.folders else {}
+
+    def over_folders(self, name: str, combine: Callable[[Iterable[Any]], Any]) -> Any:
+        """A measure of the whole table from those of its folders; NULLs are left out."""
+        values = [self.measured[f][name] for f in self.folders if self.measured[f][name] is not None]
+        return combine(values) if values else None
+
+    @property
+    def all_rows(self) -> int:
+        return self.over_folders(ROWS, sum) or 0
+
+    @property
+    def checksum(self) -> str:
+        """Of the rows in all folders, in any order: equal tables have equal ones."""
+        return f"{self.all_rows}:{self.over_folders(CHECKSUM, sum) or 0}"
+
+    def landed_files(self) -> dict[str, tuple[int, int]]:
+        """Bytes and time of change of every feed file in the table."""
+        return {path: (size, changed) for f in self.folders for path, size, changed in self.files.get(f, ())}
 
     def to_json(self) -> str:
         return json.dumps(
@@ -71,8 +100,9 @@ class Snapshot:
                 "schema": self.schema.jsonValue(),
                 "bucket_count": self.bucket_count,
                 "bucket_keys": self.bucket_keys,
-                "metrics": self.metrics,
-                "all_rows": self.all_rows,
+                "measured": {f: {n: _to_text(v) for n, v in m.items()} for f, m in self.measured.items()},
+                "files": self.files,
+                "made_from": self.made_from,
             }
         )
 
@@ -87,11 +117,20 @@ class Snapshot:
             StructType.fromJson(stored["schema"]),
             stored["bucket_count"],
             tuple(stored["bucket_keys"]),
-            stored["metrics"],
-            stored["all_rows"],
+            {f: {n: _from_text(v) for n, v in m.items()} for f, m in stored["measured"].items()},
+            {f: tuple(map(tuple, listed)) for f, listed in stored["files"].items()},
+            stored["made_from"],
         )
 
 
+def _to_text(value: Any) -> Any:
+    return {"decimal": str(value)} if isinstance(value, Decimal) else value
+
+
+def _from_text(value: Any) -> Any:
+    return Decimal(value["decimal"]) if isinstance(value, dict) else value
+
+
 class Warehouse:
     """The tables below one root folder on any Hadoop-compatible file system.
 
@@ -174,15 +213,19 @@ class Warehouse:
         measure: Mapping[str, Column] | None = None,
         measured_only: tuple[str, ...] = (),
         partition_by: tuple[str, ...] = (),
+        files: Iterable[tuple[str, int, int]] = (),
+        made_from: Mapping[str, Any] | None = None,
     ) -> Snapshot:
         """Write a new, unpublished version; with ``append`` it includes the current one.
 
         ``merged_from`` is the target snapshot ``rows`` were merged with. If it has the same buckets,
         the merge already left each bucket in one task; otherwise rows are brought together first.
-        ``measure`` names aggregates to take in passing; they and the row count are the snapshot's
-        ``metrics``, so a check needs no second pass over the data. Columns in ``measured_only`` are
+        ``measure`` names aggregates to take in passing; they, the row count and a checksum are the snapshot's
+        ``metrics``, so a check needs no second pass over the data. They stay with the folder, so that
+        those of a table of several folders can be combined. Columns in ``measured_only`` are
         there for these aggregates and not written. Rows are put in one folder for each value of
-        ``partition_by``, so that a reader of some values opens no other files.
+        ``partition_by``, so that a reader of some values opens no other files. ``files`` and ``made_from``
+        are kept with the snapshot.
         """
         version = self._next_version(layer, table)
         folder = f"data-{version:08d}-{uuid.uuid4().hex[:8]}"
@@ -192,14 +235,14 @@ class Warehouse:
         if bucket_count and layout != (bucket_count, keys):
             rows = rows.repartition(bucket_count, *keys)
         observation = Observation()
-        observed = rows.observe(
-            observation, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (measure or {}).items()]
-        )
+        written = [F.col(f"`{c}`") for c in rows.columns if c not in measured_only]
+        taken = {ROWS: F.count(F.lit(1)), CHECKSUM: F.sum(F.xxhash64(*written).cast("decimal(38,0)"))} | dict(measure or {})
+        observed = rows.observe(observation, *[c.alias(n) for n, c in taken.items()])
         observed = observed.drop(*measured_only)
         writer = observed.write.format("parquet").mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        folders = (folder,)
+        before = self.current(layer, table) if append and self.exists(layer, table) else None
         if bucket_count:
             name = self._catalog_name(layer, table, folder)
             (
@@ -210,13 +253,17 @@ class Warehouse:
             )
         else:
             writer.save(location)
-            if append and self.exists(layer, table):
-                folders = (*self.current(layer, table).folders, folder)
-        layout_keys = keys if bucket_count else ()
-        metrics = observation.get
-        all_rows = metrics["rows"] + (self.count(layer, table) if len(folders) > 1 else 0)
         return Snapshot(
-            layer, table, version, folders, observed.schema, bucket_count, layout_keys, metrics, all_rows
+            layer,
+            table,
+            version,
+            (*(before.folders if before else ()), folder),
+            observed.schema,
+            bucket_count,
+            keys if bucket_count else (),
+            {**(before.measured if before else {}), folder: dict(observation.get)},
+            {**(before.files if before else {}), folder: tuple(files)},
+            dict(made_from or {}),
         )
 
     def publish(self, snapshot: Snapshot) -> None:

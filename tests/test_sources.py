@@ -149,7 +149,7 @@ def test_a_version_shows_only_once_published(spark, tmp_path, buckets):
     wh.publish(wh.write(STAGING, "t", one, ("id",)))
     before = wh.read(STAGING, "t")
     snapshot = wh.write(STAGING, "t", two, ("id",), measure={"even": F.count_if(F.col("id") % 2 == 0)})
-    assert snapshot.metrics == {"rows": 20, "even": 10}
+    assert {name: snapshot.metrics[name] for name in ("rows", "even")} == {"rows": 20, "even": 10}
     assert wh.count(STAGING, "t") == 10
     wh.publish(snapshot)
     assert wh.count(STAGING, "t") == 20
