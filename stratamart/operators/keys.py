@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratamart.sources.shared_folder import ensure_checkpoint_dir
+from stratamart.sources.shared_folder import fresh_folder
 
-# monotonically_increasing_id() holds the partition in its upper and the row in its lower 33 bits.
-_ROW_BITS = 33
-_ROW_MASK = (1 << _ROW_BITS) - 1
+# Spark numbers the files of a write by the partitions they are from.
+_FILE_NUMBER = r"part-(\d+)"
 
 
 def assign_surrogate_keys(
@@ -19,28 +18,21 @@ def assign_surrogate_keys(
 ) -> DataFrame:
     """Number rows start_after + 1, start_after + 2, ... in the order of their (unique) keys.
 
-    The rows are range-partitioned by the whole key, which balances partitions however the key
-    values are spread, and sorted within partitions. A row's position inside its partition plus the
-    sizes of the partitions before it is its number. The placed rows are checkpointed once: sizes
-    and positions then come from the same stored data, and a lost executor cannot renumber anything.
+    The rows are range-partitioned by the whole key, which balances partitions however the key values are
+    spread, sorted within partitions, and written once. A row's position in its file plus the sizes of the
+    files before it is its number. Positions are those of the stored files, so a lost executor cannot
+    renumber anything, and sizes come from the files' footers.
     """
-    ensure_checkpoint_dir(new_rows.sparkSession)
-    placed = (
-        new_rows.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("__place", F.monotonically_increasing_id())
-        .checkpoint()
-    )
-    partition = F.shiftright("__place", _ROW_BITS)
-    sizes = placed.groupBy(partition.alias("__partition")).agg(F.count(F.lit(1)).alias("__size"))
-    # One row per partition: a bounded table, fit for a running sum in one task and for broadcast.
-    before = Window.orderBy("__partition").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "__partition", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset")
-    )
-    number = F.col("__offset") + F.col("__place").bitwiseAND(F.lit(_ROW_MASK)) + F.lit(start_after + 1)
-    return (
-        placed.withColumn("__partition", partition)
-        .join(F.broadcast(offsets), on="__partition")
-        .select(*new_rows.columns, number.cast("bigint").alias(name))
+    spark, folder = new_rows.sparkSession, fresh_folder(new_rows.sparkSession, "numbered")
+    new_rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(folder)
+    stored = spark.read.schema(new_rows.schema).parquet(folder)
+    file = F.regexp_extract(F.col("_metadata.file_name"), _FILE_NUMBER, 1).cast("int")
+    sizes = stored.select(file.alias("__file")).groupBy("__file").agg(F.count(F.lit(1)).alias("__size"))
+    # One row per file: a bounded table, fit for a running sum in one task and for broadcast.
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__file", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
+    placed = stored.select("*", file.alias("__file"), F.col("_metadata.row_index").alias("__place"))
+    number = F.col("__offset") + F.col("__place") + F.lit(start_after + 1)
+    return placed.join(F.broadcast(offsets), on="__file").select(
+        *new_rows.columns, number.cast("bigint").alias(name)
     )

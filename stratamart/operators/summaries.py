@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.sources.shared_folder import fresh_folder
 from stratamart.specs import AUDIT_DELETED, FactSpec, SummaryLabels
 
 _MONEY = "decimal(38,3)"
@@ -108,24 +109,26 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def find_duplicates(df: DataFrame, keys: Sequence[str], listed: str, list_name: str) -> DataFrame:
     """Keys on more than one row, their row count and their distinct ``listed`` values in order.
 
-    Rows are first counted per key and value, which combines before the shuffle; only those counts meet
-    per key. Keys that occur once are left out before anything is listed. NULL values are not listed;
-    where all are NULL the list is NULL. A NULL key is a key.
+    Rows are counted per key, which combines before the shuffle; the keys that occur more than once are
+    stored, and only their rows are looked at again. Their values are sorted by key and value over all
+    tasks, so the values of one giant key are sorted in several of them; each makes one run of text, and
+    only these runs meet. NULL values are not listed; where all are NULL the list is NULL. A NULL key is a key.
     """
+    spark = df.sparkSession
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cantidad")).where(F.col("cantidad") > 1)
-    per_value = df.select(*keys, listed).distinct()
+    folder = fresh_folder(spark, "repeated-keys")
+    sizes.write.parquet(folder)
+    sizes = spark.read.schema(sizes.schema).parquet(folder)  # its size is known now: few keys are broadcast
+    renamed = [F.col(k).alias(f"__{i}") for i, k in enumerate(keys)]
     same = reduce(and_, [F.col(f"__{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)])
-    several = sizes.select("cantidad", *[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)])
-    values = F.array_sort(F.collect_list(listed))
-    return (
-        per_value.join(several, same)
-        .groupBy(*keys)
-        .agg(
-            F.first("cantidad").alias("cantidad"),
-            F.when(F.count(listed) > 0, F.array_join(values, ", ")).alias(list_name),
-        )
-        .orderBy(F.desc("cantidad"), *keys)
+    repeated = df.select(*keys, listed).where(F.col(listed).isNotNull()).join(sizes.select(*renamed), same, "left_semi")
+    sorted_over_tasks = repeated.distinct().repartitionByRange(*keys, listed).withColumn("__run", F.spark_partition_id())
+    runs = sorted_over_tasks.groupBy(*keys, "__run").agg(
+        F.array_join(F.array_sort(F.collect_list(listed)), ", ").alias("__text")
     )
+    texts = F.array_sort(F.collect_list(F.struct("__run", "__text")))
+    lists = runs.groupBy(*renamed).agg(F.array_join(F.transform(texts, lambda r: r["__text"]), ", ").alias(list_name))
+    return sizes.join(lists, same, "left").select(*keys, "cantidad", list_name).orderBy(F.desc("cantidad"), *keys)
 
 
 def latest_deleted(df: DataFrame, keys: Sequence[str], columns: Sequence[str], n: int = 10) -> DataFrame:

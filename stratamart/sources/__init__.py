@@ -1,5 +1,5 @@
 from stratamart.sources.delimited import land, path_exists, read_feed, resolve_delimiter
-from stratamart.sources.shared_folder import ensure_checkpoint_dir, shared_folder
+from stratamart.sources.shared_folder import shared_folder
 from stratamart.sources.warehouse import Snapshot, Warehouse, bucket_count_for, empty_frame
 
 __all__ = [
@@ -7,7 +7,6 @@ __all__ = [
     "Warehouse",
     "bucket_count_for",
     "empty_frame",
-    "ensure_checkpoint_dir",
     "land",
     "path_exists",
     "read_feed",

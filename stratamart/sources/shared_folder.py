@@ -24,12 +24,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable, keeping whatever the cluster has set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -210,3 +210,27 @@ def test_latest_deleted(spark):
     )
     found = latest_deleted(df, ["id"], [])
     assert [r.id for r in found.collect()] == list(range(28, 8, -2))
+
+
+def test_values_of_a_giant_key_are_sorted_in_several_tasks(spark):
+    df = spark.sql("SELECT IF(id % 3 = 0, 7, id) AS k, IF(id % 3 = 0, 'v' || id, 'w') AS v FROM range(300000)")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would merge tasks this small
+    try:
+        (row,) = find_duplicates(df, ["k"], "v", "vs").collect()
+        sizes = find_duplicates(df, ["k"], "v", "vs")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    expected = sorted(f"v{i}" for i in range(0, 300000, 3)) + ["w"]
+    assert (row.k, row.cantidad, row.vs) == (7, 100001, ", ".join(expected))
+    assert "rangepartitioning(k" in sizes and "BroadcastHashJoin" in sizes
+
+
+def test_numbers_follow_keys_over_many_files(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        numbered = assign_surrogate_keys(spark.range(0, 5000, 7).selectExpr("id % 100 AS a", "id AS b"), ["a", "b"], 40)
+        rows = sorted((r.a, r.b, r.sk) for r in numbered.collect())
+        again = sorted((r.a, r.b, r.sk) for r in numbered.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert [sk for _, _, sk in rows] == list(range(41, 41 + 715)) and rows == again

