@@ -7,7 +7,8 @@ one those after it. Where an overlap has no common boundary (one run without a b
 joined and read again, so the result is always that of the whole text. Then the pieces are encoded, again
 in parallel. A text of one chunk needs no stitching and never leaves its task.
 
-Defined results: NULL is the empty text, which has no ids. Repeated rows give repeated results.
+Defined results: NULL is the empty text, which has no ids. Repeated rows give repeated results. Extra columns
+are not read, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

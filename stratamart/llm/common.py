@@ -40,6 +40,12 @@ def texts_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     )
 
 
+def one_text_per_id(texts: DataFrame) -> DataFrame:
+    """Of the texts of one id the one that is first by its hash, whatever the order of the rows."""
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return texts.groupBy("doc_id").agg(least).select("doc_id", "least.text")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):

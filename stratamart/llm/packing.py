@@ -33,7 +33,8 @@ END_ID = 1
 #: Pieces that a partition gets on average.
 PARTITION_PIECES = 50_000
 MAX_ROUNDS = 6
-_CACHED_WORDS = 400_000
+#: Words kept with their ids in a task, and the length of the longest that are.
+_CACHED_WORDS, _CACHED_LENGTH = 400_000, 64
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Letters of Latin-1, then ASCII marks but the apostrophe: two words for the tokenizer, without exceptions.
@@ -74,7 +75,8 @@ class WordIds(dict):
                 self._parts = {"": b""}
             written = part.encode().decode("latin-1").translate(self._letters)
             known = np.array([t.id for t in self._model.tokenize(written)], "<u4").tobytes()
-            self._parts[part] = known
+            if len(part) <= _CACHED_LENGTH:
+                self._parts[part] = known
         return known
 
     def __missing__(self, word: str) -> bytes:
@@ -85,7 +87,8 @@ class WordIds(dict):
             ids = self._part(plain[1].lower()) + self._part(plain[2])
         else:
             ids = np.array(self._whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = ids
+        if len(word) <= _CACHED_LENGTH:
+            self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:

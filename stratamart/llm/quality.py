@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import row_mapper, slices, texts_of
+from stratamart.llm.common import one_text_per_id, row_mapper, slices, texts_of
 
 GOOD, BAD, ABSTAIN = 1, 0, -1
 FEATURES = 1 << 14
@@ -164,7 +164,6 @@ _KINDS = bytes(
     65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 57 if 48 <= b <= 57 else b for b in range(256)
 )
 _RUNS = tuple((re.compile(kind + rb"{2,}"), kind) for kind in (b"a", b"A", b"9"))
-_LONGEST_SHAPE = 12
 
 
 def shapes(raw: bytes) -> Counter:
@@ -172,7 +171,7 @@ def shapes(raw: bytes) -> Counter:
     raw = raw.translate(_KINDS)
     for run, kind in _RUNS:
         raw = run.sub(kind, raw)
-    return Counter(word[:_LONGEST_SHAPE] for word in raw.split())
+    return Counter(raw.split())
 
 
 def features(text: str) -> dict[int, float]:
@@ -270,7 +269,7 @@ def train(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> QualityModel:
     table = np.array([r["votes"] for r in patterns], int).reshape(len(patterns), len(LABELLERS))
     labels = fit_label_model(table, np.array([r["n"] for r in patterns], float))
     sample = texts.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_sample)
-    chosen = texts.join(F.broadcast(sample), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    chosen = one_text_per_id(texts.join(F.broadcast(sample), "doc_id", "left_semi"))
     rows = chosen.mapInArrow(_hashed, "doc_id long, ids array<int>, weights array<float>, votes array<int>").toArrow()
     if not rows.num_rows:
         return QualityModel(labels, np.zeros(FEATURES, np.float32), 0.0)

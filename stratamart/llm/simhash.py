@@ -323,14 +323,3 @@ def near_duplicates(
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     members = rooted.join(ids, "root").select("fp", "component_id")
     return rows.join(members, "fp").select("doc_id", as_hex("fp").alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows, all columns, of one document per component: the one with the least id.
-
-    Of rows with the same id one stays. Rows without an id cannot be told apart by it: all of them stay.
-    """
-    found = near_duplicates(docs, radius)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -10,7 +10,9 @@ is linear, each n-gram has one number for scoring, and texts are scored where th
 
 Defined results: NULL and empty texts get the score of no evidence. Of several labels of one document the
 highest counts; NULL labels and labels without a document are ignored. With no usable label, or labels of
-one class only, every score is the smoothed base rate. Repeated rows give repeated results.
+one class only, every score is the smoothed base rate. Repeated rows give repeated results; of several texts
+of one id the first by hash is learnt from. Extra columns are not read, whatever their names. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import row_mapper, slices, texts_of
+from stratamart.llm.common import materialise, one_text_per_id, row_mapper, slices, texts_of
 
 BUCKETS = 1 << 17
 GRAMS = (3, 4, 5, 6)
@@ -40,7 +42,8 @@ NEUTRAL_WORDS = 20
 _BATCH = 32
 _RATE = 0.05
 _GAIN = 20.0
-_CACHED_WORDS = 400_000
+#: Words kept with their values in a task, and the length of the longest that are.
+_CACHED_WORDS, _CACHED_LENGTH = 400_000, 64
 _EDGES = ".,!?;:|#$%&*\"'()[]{}<>-_=+~`/\\"
 
 
@@ -88,7 +91,8 @@ class ToxicityModel:
                     self.clear()
                 grams = word_buckets(token)
                 value = sum(map(table.__getitem__, grams)) / len(grams) if grams else 0.0
-                self[token] = value
+                if len(token) <= _CACHED_LENGTH:
+                    self[token] = value
                 return value
 
         values = Values()
@@ -101,28 +105,29 @@ class ToxicityModel:
         return score
 
 
-def _telling(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
-    """Buckets that occur in clearly more toxic texts than others.
+def _telling(texts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Buckets that occur in clearly more toxic texts than others; from texts by class and bucket, and by class.
 
     A text has thousands of n-grams and few that matter; the rest would only be learnt by heart. What is
     rarer in toxic texts says what else they are about, such as their language, and is no excuse.
     """
-    texts = np.zeros((2, BUCKETS))
-    for (ids, _), label in zip(bags, labels, strict=True):
-        texts[label, ids] += 1
-    sizes = np.bincount(labels, minlength=2)[:, None]
+    sizes = sizes[:, None]
     shares, pooled = texts / sizes, texts.sum(0) / sizes.sum()
     spread = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / sizes).sum())
     return np.flatnonzero(shares[1] - shares[0] > CLEAR * spread)
 
 
-def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, base_rate: float, seed: int = 7) -> ToxicityModel:
-    """Train embeddings and softmax together (Adam, balanced classes), then set the offset to the base rate."""
+def fit(
+    bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, kept: np.ndarray, base_rate: float, seed: int = 7
+) -> ToxicityModel:
+    """Train embeddings and softmax together (Adam, balanced classes), then set the offset to the base rate.
+
+    ``kept`` are the buckets that have an embedding; the bags hold no others.
+    """
     prior = float(np.log(base_rate / (1 - base_rate)))
     labels = np.asarray(labels)
     if not len(labels) or labels.min() == labels.max():
         return ToxicityModel(np.zeros(BUCKETS, np.float32), prior)
-    kept = _telling(bags, labels)
     place = np.full(BUCKETS, -1, np.int64)
     place[kept] = np.arange(len(kept))
     rows = []
@@ -176,6 +181,23 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _only(kept: np.ndarray):
+    """Bags without the buckets that say nothing, so that few bytes of a text reach the driver."""
+    kinds = [pa.list_(pa.int32()), pa.list_(pa.float32())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            made = []
+            for ids, weights in zip(batch.column("ids"), batch.column("weights"), strict=True):
+                ids, weights = ids.values.to_numpy(), weights.values.to_numpy()
+                told = np.isin(ids, kept)
+                made.append((ids[told], weights[told]))
+            columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "ids", "weights"])
+
+    return run
+
+
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.list_(pa.int32()), pa.list_(pa.float32())]
     for batch in slices(batches):
@@ -201,14 +223,25 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS
     ]
     sample = picked[0].unionByName(picked[1])  # at most 2 * max_per_class rows of two numbers
     chosen = texts_of(docs).join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")
-    chosen = chosen.dropDuplicates(["doc_id"])
-    rows = chosen.mapInArrow(_bags, "doc_id long, ids array<int>, weights array<float>").toArrow()
+    ddl = "doc_id long, ids array<int>, weights array<float>"
+    bagged = materialise(one_text_per_id(chosen).mapInArrow(_bags, ddl), "bags")
+    known = bagged.join(F.broadcast(sample), "doc_id")
+    sizes = np.zeros(2)
+    for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect():
+        sizes[r["toxic"]] = r["n"]
+    if not sizes.all():
+        return ToxicityModel(np.zeros(BUCKETS, np.float32), float(np.log(base_rate / (1 - base_rate))))
+    counted = known.select("toxic", F.explode("ids").alias("bucket")).groupBy("toxic", "bucket").agg(F.count("*").alias("n"))
+    counted, texts = counted.toArrow(), np.zeros((2, BUCKETS))  # as many rows as there are buckets, twice
+    texts[counted.column("toxic").to_numpy(), counted.column("bucket").to_numpy()] = counted.column("n").to_numpy()
+    kept = _telling(texts, sizes)
+    rows = bagged.mapInArrow(_only(kept), ddl).toArrow()
     toxic = {r["doc_id"]: r["toxic"] for r in sample.collect()}
     order = np.argsort(rows.column("doc_id").to_numpy())  # the fit must not depend on the order of arrival
     ids, weights = rows.column("ids").combine_chunks(), rows.column("weights").combine_chunks()
     bags = [(ids[int(i)].values.to_numpy(), weights[int(i)].values.to_numpy()) for i in order]
     known = [toxic[d] for d in rows.column("doc_id").to_numpy()[order].tolist()]
-    return fit(bags, np.array(known, np.int64), base_rate)
+    return fit(bags, np.array(known, np.int64), kept, base_rate)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

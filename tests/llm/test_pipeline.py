@@ -7,7 +7,7 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
-from llm.test_simhash import plain_components
+from llm.test_near_copies import plain_groups
 from tokenizers import Tokenizer
 
 from stratamart.llm import pii, quality, toxicity
@@ -58,7 +58,8 @@ def test_quality(spark, stages):
 
 def test_near_duplicates(stages):
     before, after = (_texts(df) for df in stages["near_duplicates"])
-    kept = {c for _, _, c in plain_components(list(before.items()))}
+    pairs = sorted(before.items())
+    kept = {min(pairs[i][0] for i in group) for group in plain_groups(pairs)}
     assert after == {d: t for d, t in before.items() if d in kept}
 
 

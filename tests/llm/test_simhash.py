@@ -122,12 +122,3 @@ def test_components_of_long_chains(spark, rows):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (200, 200)]
     got = dict(rows(connected_components(spark.createDataFrame(chain, "a long, b long"))))
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 103: 100}
-
-
-def test_keep_one(make_docs, odd_texts):
-    kept = simhash.keep_one(make_docs(odd_texts))
-    ids = sorted((r.doc_id for r in kept.collect()), key=repr)
-    expected = {c for _, _, c in plain_components(odd_texts) if c is not None}
-    assert [i for i in ids if i is not None] == sorted(expected)
-    assert ids.count(None) == 1
-    assert kept.columns == make_docs(odd_texts).columns
