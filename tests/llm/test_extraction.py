@@ -81,6 +81,60 @@ def test_deep_nesting_is_linear():
     assert extraction.extract(page(deep), extraction.DEFAULT_WEIGHTS) == LINE
 
 
+ARTICLE = f"<article><h1>Title</h1><p>{LINE}</p><p>{LINE}</p></article>"
+TEXT = f"Title\n\n{LINE}\n\n{LINE}"
+COMMENTS = "<section class='comments'>" + "<p>Well said, thank you all very much indeed.</p>" * 3 + "</section>"
+WRAPPED = {
+    "layout with a sidebar": (f'{MENU}<div class="layout has-sidebar">{ARTICLE}<div class="sidebar"><p>{LINE}</p></div></div>{FOOT}', TEXT),
+    "content with comments": (f'{MENU}<div class="content with-comments">{ARTICLE}{COMMENTS}</div>{FOOT}', TEXT),
+    "a form around the page": (f'<form id="aspnetForm">{MENU}<div id="page">{ARTICLE}</div>{FOOT}</form>', TEXT),
+    "share prices": (f'{MENU}<article><h1>Title</h1><p class="share-price">{LINE}</p><p>{LINE}</p></article>{FOOT}', TEXT),
+    "a header of the article": (f'{MENU}<article><div class="article-header"><h1>Title</h1></div><p>{LINE}</p><p>{LINE}</p></article>{FOOT}', TEXT),
+    "a short main box": (
+        f'{MENU}<div role="main"><p>Read on.</p></div><article class="post side-by-side"><h1>Title</h1><p>{LINE}</p><p>{LINE}</p></article>{FOOT}', TEXT),
+    "cards in a sidebar": (f"{MENU}{ARTICLE}<aside><article><h3>Also</h3><p>Read this.</p></article></aside>{FOOT}", TEXT),
+    "a menu without a name": (f"<ul>{'<li><a href=/x>Some item</a></li>' * 15}</ul><div><p>{LINE}</p><p>{LINE}</p></div>", f"{LINE}\n\n{LINE}"),
+    "lists and links in the text": (
+        f'{MENU}<article><p>{LINE}</p><ul><li>One thing</li><li>See <a href="/x">another</a></li></ul><p>{LINE}</p></article>{FOOT}',
+        f"{LINE}\n\nOne thing\n\nSee another\n\n{LINE}"),
+    "a short end behind adverts": (f'<article><p>{LINE}</p><div class="promo">{"<p>Buy this now.</p>" * 30}</div><p>The end.</p></article>', f"{LINE}\n\nThe end."),
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+@pytest.mark.parametrize("learnt", [True, False])
+def test_names_of_wrappers_are_no_verdict(name, learnt, weights):
+    body, expected = WRAPPED[name]
+    assert extraction.extract(page(body), weights if learnt else extraction.DEFAULT_WEIGHTS) == expected
+
+
+def _texts(spark, weights):
+    return [extraction.extract(r.html, weights) for r in table(spark, FOLDER, "pages").orderBy("page_id").collect()]
+
+
+def test_the_scan_decides(spark, weights, monkeypatch):
+    """Without it most given pages have another text; without the list of names hardly any does."""
+    usual = _texts(spark, weights)
+    with monkeypatch.context() as patch:
+        patch.setattr(extraction, "best_region", lambda scores: (0, len(scores)))
+        assert sum(a != b for a, b in zip(usual, _texts(spark, weights), strict=True)) > 0.9 * len(usual)
+    with monkeypatch.context() as patch:
+        patch.setattr(extraction, "NAMES", frozenset())
+        learnt = extraction.train(table(spark, FOLDER, "pages"))
+        assert sum(a != b for a, b in zip(usual, _texts(spark, learnt), strict=True)) < 0.05 * len(usual)
+
+
+def test_names_are_learnt(spark):
+    """A class that nothing is known of, on labelled pages outside the article."""
+    text = "<p>Words of all kinds are here.</p>" * 5
+    labelled = [(i, page(f'<div class="zorgblat"><p>{LINE}</p></div><article>{text}</article>')) for i in range(40)]
+    learnt = extraction.train(spark.createDataFrame(labelled, "page_id long, html string"))
+    assert learnt["name:zorgblat"] < -2
+    other = page(f'<div class="post">{text}</div><div class="zorgblat"><p>{LINE}</p></div>')
+    assert LINE not in extraction.extract(other, learnt)
+    assert LINE in extraction.extract(other, extraction.DEFAULT_WEIGHTS)
+
+
 DEEP = {
     "closed and followed by text": (f"<div><article><p>{LINE}</p>{'<div>' * 600}<p>B {LINE}</p>{'</div>' * 600}<p>C {LINE}</p></article></div>{FOOT}", f"{LINE}\n\nB {LINE}\n\nC {LINE}"),
     "advert below": (f"<article><p>{LINE}</p>{'<b>' * 600}<div class=ad>Buy now</div><form>Your name</form><p>C {LINE}</p></article>{FOOT}", f"{LINE}\n\nC {LINE}"),
