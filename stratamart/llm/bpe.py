@@ -1,11 +1,12 @@
 """Byte-level BPE by overlapping chunks.
 
-A text longer than a chunk is cut into chunks that overlap. Chunks are pre-tokenised in parallel. In each
-overlap the first boundary that both neighbours have is where they resynchronise: the pattern looks at
-nothing before a match, so from there on both agree. The left chunk owns the pieces before it, the right
-one those after it. Where an overlap has no common boundary (one run without a break), the two chunks are
-joined and read again, so the result is always that of the whole text. Then the pieces are encoded, again
-in parallel. A text of one chunk needs no stitching and never leaves its task.
+Every text is cut into chunks that overlap, and chunks are pre-tokenised by themselves. In each overlap the
+first boundary that both neighbours have is where they resynchronise: the pattern looks at nothing before a
+match, so from there on both agree. The left chunk owns the pieces before it, the right one those after it.
+Where an overlap has no common boundary (one run without a break), the two chunks are joined and read again,
+so the result is always that of the whole text. Then the pieces are encoded one by one, and the ids decoded by
+joining their bytes. Chunks of one text are read in one task while they are few; those of a long text are spread
+over tasks for reading and for encoding, and meet only to be stitched and put in order.
 
 Defined results: NULL is the empty text, which has no ids. Repeated rows give repeated results. Extra columns
 are not read, whatever their names. An empty table gives no rows.
@@ -29,8 +30,12 @@ from pyspark.sql import functions as F
 from stratamart.llm.common import slices, texts_of
 
 RANKS = "byte_bpe_50k.tiktoken"
-CHUNK_CHARS = 65_536
-OVERLAP_CHARS = 1_024
+CHUNK_CHARS = 4_096
+OVERLAP_CHARS = 256
+#: Chunks of texts with more characters are spread over tasks.
+SPREAD_CHARS = 65_536
+#: Pieces kept with their ids in a task, and the length of the longest that are.
+_CACHED_PIECES, _CACHED_LENGTH = 200_000, 64
 
 _KEY = ["doc_id", "text_key"]
 _DIGEST = pa.schema(
@@ -57,6 +62,22 @@ def _pattern() -> regex.Pattern:
     return regex.compile(public_tokenizers.PATTERN)
 
 
+class PieceIds(dict):
+    """The ids of a pre-token as bytes (unsigned 32-bit, little-endian)."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        self._encode = _encoding(path).encode_ordinary
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = np.array(self._encode(piece), "<u4").tobytes()
+        if len(piece) <= _CACHED_LENGTH:
+            if len(self) >= _CACHED_PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 def decode(ids: list[int], path: str) -> bytes:
     return b"".join(map(_bytes_of(path).__getitem__, ids))
 
@@ -96,15 +117,30 @@ def stitch(chunks: list[tuple[int, str, list[int]]]) -> list[tuple[str, list[int
     return owned
 
 
-def _digest_columns(ids: list[int], path: str) -> tuple[int, str, str]:
-    return len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(decode(ids, path)).hexdigest()
+def _cut_up(text: str, ends: list[int]) -> list[str]:
+    return [text[start:end] for start, end in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
+
+
+def pieces(text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> list[str]:
+    """The pre-tokens of a text, by way of its chunks."""
+    chunks = split_text(text, chunk, overlap)
+    if len(chunks) == 1:
+        return _pattern().findall(text)
+    owned = stitch([(start, part, piece_ends(part)) for start, part in chunks])
+    return [piece for part, ends in owned for piece in _cut_up(part, ends)]
+
+
+def _digest_columns(ids: bytes, path: str) -> tuple[int, str, str]:
+    decoded = decode(np.frombuffer(ids, "<u4").tolist(), path)
+    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
-def _short(path: str):
+def _in_one_task(path: str, chunk: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(path).encode_ordinary
+        ids_of = PieceIds(path)
         for batch in slices(batches):
-            rows = [_digest_columns(encode(t), path) for t in batch.column("text").to_pylist()]
+            coded = [b"".join([ids_of[p] for p in pieces(t, chunk, overlap)]) for t in batch.column("text").to_pylist()]
+            rows = [_digest_columns(ids, path) for ids in coded]
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(_DIGEST)[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], schema=_DIGEST)
 
@@ -151,18 +187,10 @@ def _encode_pieces(path: str):
     schema = pa.schema([*list(_CHUNK)[:4], ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(path).encode_ordinary
+        ids_of = PieceIds(path)
         for batch in slices(batches, 16):
-            codes = []
-            for row in batch.select(["chunk", "ends"]).to_pylist():
-                text, known, ids, at = row["chunk"], {}, [], 0
-                for end in row["ends"]:
-                    piece = text[at:end]
-                    if piece not in known:
-                        known[piece] = encode(piece)
-                    ids += known[piece]
-                    at = end
-                codes.append(np.array(ids, "<u4").tobytes())
+            rows = batch.select(["chunk", "ends"]).to_pylist()
+            codes = [b"".join([ids_of[p] for p in _cut_up(row["chunk"], row["ends"])]) for row in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(codes, pa.binary())], schema=schema)
 
     return run
@@ -171,8 +199,7 @@ def _encode_pieces(path: str):
 def _digest_group(path: str):
     def run(codes: pa.Table) -> pa.Table:
         rows = sorted(codes.to_pylist(), key=lambda r: r["chunk_no"])
-        ids = np.frombuffer(b"".join(r["ids"] for r in rows), "<u4").tolist()
-        values = (rows[0]["doc_id"], *_digest_columns(ids, path))
+        values = (rows[0]["doc_id"], *_digest_columns(b"".join(r["ids"] for r in rows), path))
         copies = rows[0]["copies"]
         return pa.table([pa.array([v] * copies, f.type) for v, f in zip(values, _DIGEST, strict=True)], schema=_DIGEST)
 
@@ -184,6 +211,7 @@ def encode_digest(
     ranks_path: str,
     chunk_chars: int = CHUNK_CHARS,
     overlap_chars: int = OVERLAP_CHARS,
+    spread_chars: int = SPREAD_CHARS,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -191,8 +219,8 @@ def encode_digest(
     if not 0 < overlap_chars < chunk_chars:
         raise ValueError("the overlap must be shorter than a chunk")
     texts = texts_of(docs, id_column, text_column)
-    is_long = F.char_length("text") > chunk_chars
-    short = texts.where(~is_long).mapInArrow(_short(ranks_path), _DIGEST_DDL)
+    is_long = F.char_length("text") > spread_chars
+    short = texts.where(~is_long).mapInArrow(_in_one_task(ranks_path, chunk_chars, overlap_chars), _DIGEST_DDL)
     once = texts.where(is_long).groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
     once = once.withColumn("text_key", F.sha2(F.col("text").cast("binary"), 256))
     chunks = once.mapInArrow(_cut(chunk_chars, overlap_chars), _CHUNK_DDL).repartition(*_KEY, "chunk_no")

@@ -40,13 +40,26 @@ def test_stitched_boundaries_are_those_of_the_whole_text(parts, chunk, overlap):
     assert ends == bpe.piece_ends(text)
 
 
-@pytest.mark.parametrize("sizes", [(64, 8), (4096, 256), (bpe.CHUNK_CHARS, bpe.OVERLAP_CHARS)])
+@pytest.mark.parametrize("sizes", [(64, 8, 1_000), (64, 8, 10**9), (4096, 256, 0), (bpe.CHUNK_CHARS, bpe.OVERLAP_CHARS)])
 def test_documents(make_docs, odd_texts, sizes):
     pairs = [*odd_texts, (30, "x" * 9_000), (31, " " * 3_000 + "y" + "\n" * 2_000), (31, " " * 3_000 + "y" + "\n" * 2_000), (None, "né " * 5_000)]
     got = bpe.encode_digest(make_docs(pairs), PATH, *sizes)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == expected(pairs)
 
 
+def test_usual_documents_are_stitched(spark):
+    """A good part of the given documents has several chunks; all give what the library does."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    stitched = 0
+    for r in rows:
+        chunks = bpe.split_text(r.text, bpe.CHUNK_CHARS, bpe.OVERLAP_CHARS)
+        stitched += len(chunks) > 1
+        assert bpe.pieces(r.text) == bpe._pattern().findall(r.text)
+    assert stitched > len(rows) / 10
+    got = bpe.encode_digest(spark.createDataFrame(rows), PATH).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == expected([(r.doc_id, r.text) for r in rows])
+
+
 def test_decoding_is_the_text():
     text = "".join(PIECES) * 3
     assert bpe.decode(bpe._encoding(PATH).encode_ordinary(text), PATH) == text.encode()
