@@ -4,7 +4,10 @@ Only vectors with one label are compared. A vector belongs to the cell of its ne
 visits every later cell whose members could be near enough: for unit vectors x of cell b and y of cell j
 with |x - y| <= r it holds that x.(c_b - c_j) <= r |c_b - c_j|, so no link across a border is missed and
 none is met twice. Equal vectors are one, with a count, before anything is compared. Cells are compared
-block by block in tasks of their own; a task returns counts and a spanning forest, never all pairs.
+block by block in tasks of their own; a task returns counts and a spanning forest, never all pairs. Cells that
+hold too many vectors are divided again by the same rule, as often as it takes (see ``cells``): there a
+visitor goes on to every part whose members could be near enough, and a member to its own and later ones.
+Only vectors so near each other that parts would not tell them apart stay together, in blocks.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and those
 without a label, have no links and their own id as component. Vectors of different lengths are not
@@ -14,24 +17,31 @@ component too and is never kept. Extra columns are not read. An empty table give
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.llm.cells import divide, division
 from stratamart.llm.common import materialise
 from stratamart.llm.components import Forest, connected_components
 from stratamart.llm.vectors import KEY, matrix, spherical_kmeans, unit, usable, vector_key
 
 THRESHOLD = 0.98
 MAX_SAMPLE = 20_000
-MAX_CELLS = 1_024
+#: Cells of the first division, which is fitted on one sample; larger cells are divided further.
+FIRST_CELLS = 1_024
 #: Vectors of one label for each cell, and of one block.
 CELL_ROWS = 4_096
 BLOCK = 2_048
 
 _HOME, _VISIT = 0, 1
-_CELLED = "label int, size int, node long, copies long, cell int, role int, vector array<float>"
+#: A cell with this many times ``cell_rows`` members is divided, if they go to few parts each.
+_CROWDED, _FEW_PARTS = 4, 4
+_GROUP = ["label", "size", "cell"]
+_CELLED = "label int, size int, node long, copies long, cell string, role int, vector array<float>"
 _FOUND = "a long, b long, links long"
 _FOUND_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
@@ -58,12 +68,61 @@ def _assign(shared, reach: float):
                     out = part.take(pa.array(row))
                     role = np.where(cell == home[row], _HOME, _VISIT).astype(np.int32)
                     columns = [out.column(c) for c in ("label", "size", "node", "copies")]
-                    columns += [pa.array(cell.astype(np.int32)), pa.array(role), out.column("vector")]
+                    columns += [pa.array(cell).cast(pa.string()), pa.array(role), out.column("vector")]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
+def _parts(reach: float, near: np.ndarray, centres: np.ndarray, member: np.ndarray) -> np.ndarray:
+    """Whether each row goes to each part: members to their own and to later ones, visitors to all, within reach."""
+    home = near.argmax(1)
+    best = near[np.arange(len(near)), home]
+    spans = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
+    goes = best[:, None] - near <= reach * spans[home] + 1e-9
+    goes &= (np.arange(near.shape[1])[None, :] > home[:, None]) | ~member[:, None]
+    goes[np.arange(len(near)), home] = True
+    return goes
+
+
+def _divides(reach: float):
+    """Whether parts tell vectors apart: members go to few of them on average."""
+
+    def check(units: np.ndarray, centres: np.ndarray) -> bool:
+        goes = _parts(reach, units @ centres.T, centres, np.ones(len(units), bool))
+        return goes.sum() <= min(_FEW_PARTS, len(centres) / 2) * len(units)
+
+    return check
+
+
+def _assign_parts(reach: float):
+    def run(rows: pa.Table, centres: np.ndarray) -> pa.Table:
+        near = unit(matrix(rows.column("vector"), centres.shape[1])) @ centres.T
+        member = rows.column("role").to_numpy() == _HOME
+        row, part = np.nonzero(_parts(reach, near, centres, member))
+        out = rows.take(pa.array(row))
+        home = member[row] & (part == near.argmax(1)[row])
+        cells = [f"{cell}/{p}" for cell, p in zip(out.column("cell").to_pylist(), part.tolist(), strict=True)]
+        columns = [out.column(c) for c in ("label", "size", "node", "copies")]
+        columns += [pa.array(cells, pa.string()), pa.array(np.where(home, _HOME, _VISIT).astype(np.int32)), out.column("vector")]
+        return pa.table(columns, ["label", "size", "node", "copies", "cell", "role", "vector"])
+
+    return run
+
+
+def _divided(celled: DataFrame, cell_rows: int, reach: float) -> DataFrame:
+    """The rows in cells that are not crowded, or cannot be divided."""
+    done = []
+    while True:
+        homes = celled.where(F.col("role") == _HOME)
+        centres = division(homes, _GROUP, "node", _CROWDED * cell_rows, cell_rows, _divides(reach))
+        if centres is None:
+            return reduce(DataFrame.unionByName, [*done, celled])
+        stay, parts = divide(celled, centres, _GROUP, "node", _assign_parts(reach), _CELLED)
+        done.append(materialise(stay, "cells"))
+        celled = materialise(parts, "cells")
+
+
 def _compare(threshold: float):
     """Links between the two sides of one pair of blocks; a block met with itself counts each pair once."""
 
@@ -100,7 +159,7 @@ def _compare(threshold: float):
 
 def _block_pairs(celled: DataFrame, block: int) -> DataFrame:
     """Rows repeated for every pair of blocks they take part in. side: 0 left, 1 right, 2 both."""
-    group = ["label", "size", "cell"]
+    group = _GROUP
     counts = celled.groupBy(*group).agg(
         F.count_if(F.col("role") == _HOME).alias("homes"), F.count_if(F.col("role") == _VISIT).alias("visits")
     )
@@ -158,13 +217,13 @@ def near_duplicate_vectors(
     for size, n in largest.items():
         picked = nodes.where(F.col("size") == size).select("vector", *KEY).orderBy(*KEY).limit(max_sample)
         sample = unit(matrix(picked.select("vector").toArrow().column("vector"), size))
-        found = spherical_kmeans(sample, min(-(-n // cell_rows), MAX_CELLS, max(1, len(sample) // 8)))
+        found = spherical_kmeans(sample, min(-(-n // cell_rows), FIRST_CELLS, max(1, len(sample) // 8)))
         centres[size] = found
         spans[size] = np.sqrt(np.maximum(2 - 2 * found @ found.T, 0))
     shared = spark.sparkContext.broadcast((centres, spans))
     reach = float(np.sqrt(2 - 2 * threshold))
     celled = nodes.select("label", "size", "node", "copies", "vector").mapInArrow(_assign(shared, reach), _CELLED)
-    pairs = _block_pairs(materialise(celled, "cells"), block)
+    pairs = _block_pairs(_divided(materialise(celled, "cells"), cell_rows, reach), block)
     found = pairs.groupBy("label", "size", "cell", "kind", "i", "j").applyInArrow(_compare(threshold), _FOUND)
     found = materialise(found, "vector-links")
     roots = connected_components(found.where("b is not null").select("a", "b"))

@@ -23,13 +23,6 @@ def vector_key(vector: str) -> list[Column]:
 KEY = ["key1", "key2"]
 
 
-def commonest_size(df: DataFrame, vector: str) -> int:
-    """The number of components most vectors have; 0 without vectors. Ties go to the smaller number."""
-    sizes = df.groupBy(F.size(vector).alias("size")).agg(F.count("*").alias("n"))
-    first = sizes.orderBy(F.desc("n"), "size").first()
-    return first["size"] if first else 0
-
-
 def matrix(column: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
     """A list column as rows of doubles."""
     if isinstance(column, pa.ChunkedArray):

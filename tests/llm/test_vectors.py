@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratamart.llm import ann, vector_dedup
+from stratamart.llm import ann, cells, vector_dedup
+from stratamart.llm.vectors import vector_key
 
 NAN, INF = float("nan"), float("inf")
 SCHEMA = "vec_id long, embedding array<float>, label int, node string, cell string, score string, key1 int, size int"
@@ -81,19 +82,36 @@ def test_isotropic_vectors_across_cell_borders(spark, rows):
     assert rows(got) == _brute_links(data)
 
 
+def test_crowded_cells_are_divided(spark, rows, monkeypatch):
+    """Cells far too large for the first division, one label with most rows, and a crowd too dense to divide."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(500, 6))
+    data = [(i, v.astype(np.float32).tolist(), int(i % 7 == 0)) for i, v in enumerate(base)]
+    data += [(2000 + i, (v + rng.normal(size=6) * 0.1).astype(np.float32).tolist(), int(i % 7 == 0)) for i, v in enumerate(base)]
+    data += [(9000 + i, (np.ones(6) + rng.normal(size=6) * 0.004).astype(np.float32).tolist(), 1) for i in range(120)]
+    divided = []
+    find = vector_dedup.division
+    monkeypatch.setattr(vector_dedup, "FIRST_CELLS", 2)
+    monkeypatch.setattr(cells, "PARTS", 4)
+    monkeypatch.setattr(vector_dedup, "division", lambda *a: divided.append(find(*a)) or divided[-1])
+    got = vector_dedup.near_duplicate_vectors(_frame(spark, data), cell_rows=12, block=50)
+    assert rows(got) == _brute_links(data)
+    assert len(divided) >= 3 and divided[-1] is None  # two levels at least, until nothing is left to divide
+
+
 def test_near_duplicates_of_nothing(spark):
     assert vector_dedup.near_duplicate_vectors(_frame(spark, [])).count() == 0
     assert vector_dedup.near_duplicate_vectors(_frame(spark, ODD[:3])).count() == 3
 
 
 def _brute_nearest(rows, divisor, k=5):
-    seen = {(i, tuple(v)) for i, v, _ in rows if i is not None and _fine(v) and len(v) == 8}
+    seen = {(i, tuple(v)) for i, v, _ in rows if i is not None and _fine(v)}
     queries = {i: v for i, v in sorted(seen) if i % divisor == 0}
     out = {}
     for q, v in queries.items():
         found = {}
         for i, w in seen:
-            if i != q:
+            if i != q and len(v) == len(w):
                 found[(i, w)] = _cos(v, w)
         out[q] = sorted(((-round(s, 12), i) for (i, _), s in found.items()))[:k]
     return out
@@ -113,6 +131,57 @@ def test_every_leaf_visited_is_exact(spark):
         assert [s for s, _ in near] == sorted(s for s, _ in near)
 
 
+def test_lengths_have_an_index_each(spark):
+    """Three vectors in ten have another length; they ask and are found."""
+    rng = np.random.default_rng(3)
+    data = [(i, rng.normal(size=8 if i // 25 % 10 < 7 else 5).astype(np.float32).tolist(), 0) for i in range(0, 1500, 5)]
+    got = ann.nearest(_frame(spark, data), F.col("vec_id") % 25 == 0, target=1.1, leaf_rows=20).collect()
+    mine = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        mine.setdefault(r.query_id, []).append(r.vec_id)
+    expected = _brute_nearest(data, 25)
+    assert mine == {q: [i for _, i in near] for q, near in expected.items()}
+    assert {len(dict((i, v) for i, v, _ in data)[q]) for q in expected} == {5, 8}
+
+
+def _index(spark, data, leaf_rows, max_sample):
+    df = _frame(spark, data).select("vec_id", F.col("embedding").alias("vector"), *vector_key("embedding"))
+    return df, ann.build(df, 8, leaf_rows, max_sample)
+
+
+def test_leaves_grow_in_number(spark, monkeypatch):
+    """Rows that a query is compared with, on tables of one kind: they grow far slower than the table."""
+    monkeypatch.setattr(cells, "PARTS", 16)
+    candidates = []
+    for n in (2_000, 16_000):
+        rng = np.random.default_rng(n)
+        centres = rng.normal(size=(n // 40, 8))
+        vectors = centres[rng.integers(len(centres), size=n)] + rng.normal(size=(n, 8)) * 0.1
+        data = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(vectors)]
+        df, index = _index(spark, data, 30, 500)
+        held = index.held.groupBy("leaf").agg(F.count("*").alias("n"))
+        assert held.agg(F.sum("n"), F.max("n") <= 4 * 30 + 100).first() == (n, True) and index.levels
+        asking = df.where("vec_id % 50 = 0")
+        index.visits = ann.calibrate(index, asking)
+        visited = index.visited(asking).join(held, "leaf").groupBy("vec_id").agg(F.sum("n").alias("n"))
+        candidates.append(visited.agg(F.avg("n")).first()[0])
+    assert candidates[1] < 3 * candidates[0] and candidates[1] < 16_000 / 10
+
+
+@pytest.mark.parametrize("target", [1.1, 0.96])
+def test_divided_leaves_are_searched(spark, monkeypatch, target):
+    """Two levels below a small upper tree, against brute force; a crowd of copies among those who ask."""
+    monkeypatch.setattr(cells, "PARTS", 6)
+    rng = np.random.default_rng(12)
+    data = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(rng.normal(size=(2500, 8)))]
+    data += [(5000 + 20 * i, data[40][1], 0) for i in range(150)]
+    got = ann.nearest(_frame(spark, data), F.col("vec_id") % 20 == 0, target=target, leaf_rows=12, max_sample=100).collect()
+    hits = {(r.query_id, r.vec_id) for r in got}
+    expected = {q: near for q, near in _brute_nearest(data, 20).items() if q < 5000}
+    wanted = [(q, i) for q, near in expected.items() for _, i in near]
+    assert np.mean([w in hits for w in wanted]) >= (1 if target > 1 else 0.9)
+
+
 def test_equal_vectors_by_id(spark):
     data = [(i, [1.0, 2.0, 3.0], 0) for i in range(40, 0, -1)] + [(50, [3.0, 2.0, 1.5], 0), (100, [1.0, 2.0, 3.0], 0)]
     got = ann.nearest(_frame(spark, data), F.col("vec_id") % 50 == 0, leaf_rows=8, block=4).collect()
