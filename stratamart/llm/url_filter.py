@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from stratamart.llm.common import materialise
 
 SHARD_KEYS = 50_000
+#: Rows that ask one shard in one task; a shard with more is spread over several, fewer than MOST_HEAVY shards.
+HEAVY_ROWS, MOST_HEAVY = 1_000_000, 10_000
 #: 8 hashes and 11.6 bits a key: one of about 256 other keys passes.
 HASHES = 8
 BITS_PER_KEY = 11.6
@@ -106,11 +108,15 @@ def _passes(level: int, words: int) -> Column:
 
 @dataclass
 class Cascade:
-    """``filters`` has a row per shard and an array per level; ``words`` the length of each array."""
+    """``filters`` has a row per shard and an array per level; ``words`` the length of each array.
+
+    ``heavy`` has the shards that more rows ask than a task should get, and over how many they are spread.
+    """
 
     filters: DataFrame
     words: list[int]
     shards: int
+    heavy: DataFrame
 
     def listed(self) -> Column:
         """Listed, for rows that are joined with their shard's filters: passes 1 and not (passes 2 and not ...)."""
@@ -122,15 +128,36 @@ class Cascade:
     def mark(self, rows: DataFrame, key: Column, name: str = "listed") -> DataFrame:
         """``rows`` with a boolean column. Exact for every key of the universe the cascade was built on."""
         columns = rows.columns
-        hashed = rows.select("*", *key_hashes(key)).withColumn("shard", _shard(self.shards))
-        return hashed.join(self.filters, "shard").select(*columns, self.listed().alias(name))
+        hashed = rows.select("*", F.xxhash64(*columns).alias("salt"), *key_hashes(key)).withColumn("shard", _shard(self.shards))
+        heavy = F.broadcast(self.heavy)  # fewer than MOST_HEAVY rows
+        tasks = F.coalesce("tasks", F.lit(1))
+        salted = hashed.join(heavy, "shard", "left").withColumn("salt", F.pmod("salt", tasks).cast("int"))
+        filters = self.filters.join(heavy, "shard", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), tasks - 1)))
+        return salted.join(filters.drop("tasks"), ["shard", "salt"]).select(*columns, self.listed().alias(name))
+
+
+def _heavy_shards(keys: DataFrame, heavy_rows: int) -> DataFrame:
+    """(shard, tasks): shards with more rows than a task's share, as the keys count them."""
+    asked = keys.groupBy("shard").agg(F.sum("rows").alias("n"))
+    total = asked.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    share = max(heavy_rows, -(-int(total) // MOST_HEAVY))
+    return materialise(
+        asked.where(F.col("n") > share).select("shard", F.ceil(F.col("n") / share).cast("int").alias("tasks")), "url-heavy"
+    )
 
 
-def build_cascade(universe: DataFrame, shard_keys: int = SHARD_KEYS) -> Cascade:
-    """From all keys of the corpus, hashed (key1, key2) and distinct, with the boolean column listed."""
+def build_cascade(universe: DataFrame, shard_keys: int = SHARD_KEYS, heavy_rows: int = HEAVY_ROWS) -> Cascade:
+    """From all keys of the corpus, hashed (key1, key2) and distinct, with the boolean column listed.
+
+    A column ``rows`` tells how many rows ask for each key; without it each counts as one.
+    """
     n = universe.count()
+    if "rows" not in universe.columns:
+        universe = universe.withColumn("rows", F.lit(1))
     shards = max(1, -(-n // shard_keys))
-    keys = materialise(universe.select(*_KEY, "listed").withColumn("shard", _shard(shards)), "url-keys")
+    keys = materialise(universe.select(*_KEY, "listed", "rows").withColumn("shard", _shard(shards)), "url-keys")
+    heavy = _heavy_shards(keys, heavy_rows)
+    keys = keys.drop("rows")
     inside, outside = keys.where("listed").drop("listed"), keys.where("not listed").drop("listed")
     levels, words, level = [], [], 0
     while n_inside := inside.count():
@@ -140,12 +167,17 @@ def build_cascade(universe: DataFrame, shard_keys: int = SHARD_KEYS) -> Cascade:
         wrong = outside.join(levels[-1], "shard").where(_passes(level, words[-1])).select("shard", *_KEY)
         inside, outside = materialise(wrong, f"url-wrong-{level}"), inside
     if not levels:
-        return Cascade(keys.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard")), [], shards)
-    return Cascade(reduce(lambda a, b: a.join(b, "shard"), levels), words, shards)
+        return Cascade(keys.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard")), [], shards, heavy)
+    return Cascade(reduce(lambda a, b: a.join(b, "shard"), levels), words, shards, heavy)
 
 
 def judge_urls(
-    pages: DataFrame, rules: list[Rule], id_column: str = "page_id", url_column: str = "url", shard_keys: int = SHARD_KEYS
+    pages: DataFrame,
+    rules: list[Rule],
+    id_column: str = "page_id",
+    url_column: str = "url",
+    shard_keys: int = SHARD_KEYS,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """page_id, host, path, the longest rule that fits, and the verdict.
 
@@ -158,8 +190,10 @@ def judge_urls(
     # A host holds no slash and a path starts with one, so the two together are a key.
     key, host, path = F.concat("host", "path"), F.col("host"), F.col("path")
     blocked = F.coalesce(winning_rule(rules, host, path, lambda r: r.action) == "block", F.lit(False))
-    universe = rows.select(*key_hashes(key), blocked.alias("listed")).groupBy(*_KEY).agg(F.bool_or("listed").alias("listed"))
-    cascade = build_cascade(universe, shard_keys)
+    universe = rows.select(*key_hashes(key), blocked.alias("listed")).groupBy(*_KEY).agg(
+        F.bool_or("listed").alias("listed"), F.count("*").alias("rows")
+    )
+    cascade = build_cascade(universe, shard_keys, heavy_rows)
     marked = cascade.mark(rows.withColumn("rule", winning_rule(rules, host, path, lambda r: r.text)), key)
     verdict = F.when(F.col("listed"), "block").otherwise("allow")
     return marked.select("page_id", "host", "path", "rule", verdict.alias("verdict"))

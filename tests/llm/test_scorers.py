@@ -76,6 +76,85 @@ def test_label_model_finds_accuracies():
     assert np.abs(model.chances[:, quality.GOOD, 1] - false).max() < 0.03
 
 
+def test_votes_are_weighed_as_by_plain_expectation_maximisation():
+    """Document by document and number by number, without patterns, arrays or logarithms."""
+    rng = np.random.default_rng(5)
+    docs = [[int(v) for v in rng.choice([quality.ABSTAIN, quality.BAD, quality.GOOD], 4, p=[0.3, 0.2, 0.5])] for _ in range(300)]
+    prior, bad_calls = 0.8, [[0.5, 0.02] for _ in range(4)]  # the chance of the vote bad, for bad and good texts
+
+    def good_chance(row):
+        good, bad = prior, 1 - prior
+        for vote, (of_bad, of_good) in zip(row, bad_calls, strict=True):
+            if vote != quality.ABSTAIN:
+                good *= of_good if vote == quality.BAD else 1 - of_good
+                bad *= of_bad if vote == quality.BAD else 1 - of_bad
+        return good / (good + bad)
+
+    for _ in range(200):
+        chances = [good_chance(row) for row in docs]
+        updated = []
+        for j in range(4):
+            shares = []
+            for weights, start in ((([1 - c for c in chances]), 0.5), (chances, 0.02)):
+                cast = sum(w for w, row in zip(weights, docs, strict=True) if row[j] != quality.ABSTAIN)
+                called = sum(w for w, row in zip(weights, docs, strict=True) if row[j] == quality.BAD)
+                shares.append((called + 4 * start) / (cast + 4))
+            updated.append([shares[0], min(shares[1], shares[0])])
+        prior_before, prior = prior, min(max(sum(chances) / len(docs), 0.02), 0.98)
+        moved = max(abs(prior - prior_before), *[abs(a - b) for x, y in zip(updated, bad_calls, strict=True) for a, b in zip(x, y, strict=True)])
+        bad_calls = updated
+        if moved < 1e-7:
+            break
+    patterns, counts = np.unique(np.array(docs), axis=0, return_counts=True)
+    model = quality.fit_label_model(patterns, counts.astype(float))
+    assert model.prior == pytest.approx(prior, abs=1e-6)
+    assert model.posterior(np.array(docs)) == pytest.approx(np.array([good_chance(row) for row in docs]), abs=1e-5)
+
+
+def _plain_grams(word):
+    raw = b"<" + word.encode() + b">"
+    grams = [raw[i : i + n] for n in (3, 4, 5, 6) for i in range(len(raw)) if i + n <= len(raw)]
+    return [zlib.crc32(g) % toxicity.BUCKETS for g in [*grams, raw]]
+
+
+def test_scores_are_those_of_plain_sums(spark):
+    """Both scorers, recomputed word by word from their weights."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    model = toxicity.train(docs, table(spark, "/root/testdata/sf0.001", "labels"))
+    for r in toxicity.score(docs, model).collect():
+        words, total = texts[r.doc_id].lower().split(), 0.0
+        for word in words:
+            bare = word.strip(toxicity._EDGES)
+            if bare:
+                grams = _plain_grams(bare)
+                total += sum(float(model.weights[g]) for g in grams) / len(grams)
+        logit = model.offset + total / (len(words) + toxicity.NEUTRAL_WORDS)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-9)
+    learnt = quality.train(docs)
+    for r in quality.score(docs, learnt).collect():
+        hashed = quality.features(texts[r.doc_id])
+        logit = learnt.offset + sum(float(learnt.weights[b]) * w for b, w in hashed.items())
+        assert r.score == pytest.approx(1 / (1 + np.exp(-logit)) if hashed else 0.0, abs=1e-9)
+
+
+def test_long_odd_texts_send_few_bytes_to_the_fit(spark):
+    """Long random texts among the labelled ones: only telling n-grams of them reach the driver."""
+    rng = np.random.default_rng(2)
+    wild = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 8)) for _ in range(5_000)) for _ in range(8)]
+    rows = [(i, f"a calm text of words {i}" if i % 2 else f"you horrible idiot {i}", i % 2) for i in range(60)]
+    rows += [(100 + i, text, 1) for i, text in enumerate(wild)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    given = spark.createDataFrame([(i, 1 - clean) for i, _, clean in rows], "doc_id long, toxic int")
+    kept = []
+    fit = toxicity.fit
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "fit", lambda bags, *rest: kept.extend(len(ids) for ids, _ in bags) or fit(bags, *rest))
+        score = toxicity.train(docs, given).scorer()
+    assert max(kept) < 100 and len(kept) > 40
+    assert score("what an idiot, horrible") > 0.5 > score("a calm text of other words")
+
+
 def test_odd_rows(spark, make_docs, odd_texts):
     docs = make_docs(odd_texts)
     ids = sorted((d for d, _ in odd_texts), key=repr)

@@ -54,6 +54,19 @@ def test_cascade_is_exact(spark, listed_share):
         assert len(cascade.words) > 1  # some key outside the list had to be told apart
 
 
+def test_a_hot_url_is_spread(spark, rows):
+    """One url has two thirds of the rows; its shard is asked in several tasks."""
+    urls = ["https://example.org/es/hot"] * 600 + [f"https://h{i}.com/{'de' if i % 2 else 'fr'}/{i}" for i in range(300)]
+    got = url_filter.judge_urls(_frame(spark, urls), URL_RULES, shard_keys=50, heavy_rows=100)
+    assert rows(got) == sorted(((i, *plain(u)) for i, u in enumerate(urls)), key=repr)
+    keys = _frame(spark, urls).select(F.col("url").alias("key"), F.lit(True).alias("listed"))
+    universe = keys.select(*url_filter.key_hashes(F.col("key")), "listed").groupBy("key1", "key2").agg(
+        F.bool_or("listed").alias("listed"), F.count("*").alias("rows")
+    )
+    cascade = url_filter.build_cascade(universe, shard_keys=50, heavy_rows=100)
+    assert max(r.tasks for r in cascade.heavy.collect()) >= 6
+
+
 def test_native_plan(spark):
     plan = url_filter.judge_urls(_frame(spark, ODD), URL_RULES)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
