@@ -79,13 +79,17 @@ class LoadError(RuntimeError):
 
 
 class Step(NamedTuple):
-    """One line of a report: what was done, whether it worked, rows written, how long it took, what went wrong."""
+    """One line of a report: what was done, whether it worked, rows written, how long it took, what went wrong.
+
+    ``began`` is when, on the clock that ``seconds`` is measured with.
+    """
 
     step: str
     ok: bool
     rows: int
     seconds: float
     message: str
+    began: float = 0.0
 
 
 class Report(tuple):
@@ -106,7 +110,7 @@ class Report(tuple):
 
     def to_df(self, spark) -> DataFrame:
         return spark.createDataFrame(
-            list(self), "step string, ok boolean, rows bigint, seconds double, message string"
+            [s[:5] for s in self], "step string, ok boolean, rows bigint, seconds double, message string"
         )
 
 
@@ -125,7 +129,7 @@ def _timed(name: str, work: Callable[[], int]) -> Step:
     except Exception as error:  # the report carries it; the other tables go on
         problem = f"{type(error).__name__}: {error}"
     message = problem or (UNCHANGED if isinstance(rows, Unchanged) else "")
-    return Step(name, not problem, int(rows), time.perf_counter() - began, message)
+    return Step(name, not problem, int(rows), time.perf_counter() - began, message, began)
 
 
 def _run_steps(steps: Iterable[tuple[str, Callable[[], int]]]) -> Report:
