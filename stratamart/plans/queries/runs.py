@@ -225,6 +225,29 @@ def layer_row_counts(spark, sf):
     return reduce(DataFrame.unionByName, counts)
 
 
+_PATTERNS = {
+    "fact_%": [(name, f"({sql})") for name, sql in _FACT_SQL.items()],
+    "dim_c%": [(name, STAGED_SQL[entity_name]) for name, entity_name in _DIMENSION_OF.items() if name.startswith("dim_c")],
+    "%_tiempo": [(MODEL.calendar.table, CALENDAR_SQL)],
+}
+
+
+@query("\nUNION ALL\n".join(
+    f"SELECT '{pattern}' AS patron, '{name}' AS tabla, count(*) AS registros FROM {rows} AS r"
+    for pattern, listed in _PATTERNS.items() for name, rows in listed
+))
+def tables_like(spark, sf):
+    """Tables of the service layer whose names are like a pattern, with their rows."""
+    warehouse, _ = loaded(spark, sf)
+    counts = [
+        warehouse.read(SERVICE, name).agg(F.count(F.lit(1)).alias("registros")).select(
+            F.lit(pattern).alias("patron"), F.lit(name).alias("tabla"), "registros"
+        )
+        for pattern in _PATTERNS for name in warehouse.tables(SERVICE, like=pattern)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query(SQL["star_lookup"])
 def fact_load_without_broadcast(spark, sf):
     """The sales fact loaded once more with every dimension taken to be too large to be broadcast."""
