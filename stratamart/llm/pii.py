@@ -5,7 +5,8 @@ outwards from each anchor and validate what they find, so the work is linear in
 of digits only (ip, card, phone) have no cue; their patterns start at a digit or a plus sign.
 
 Defined results: NULL and empty texts have no spans. Repeated rows give repeated results. Positions are
-code points, ends exclusive. Input columns other than the id and the text are not read.
+code points, ends exclusive. Input columns other than the id and the text are not read, whatever their names.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
