@@ -80,7 +80,9 @@ _BATCH_ROWS, _BATCH_BYTES = 256, 4 << 20
 
 
 def _located(path: str) -> tuple[arrow_fs.FileSystem, str]:
-    """The file system of a path or URI, and the path within it."""
+    """The file system of a path or URI, and the path within it. Spark does not escape local paths."""
+    if path.startswith("file:") or "://" not in path:
+        return arrow_fs.LocalFileSystem(), path if path.startswith("/") else "/" + path.removeprefix("file:").lstrip("/")
     return arrow_fs.FileSystem.from_uri(path)
 
 

@@ -91,6 +91,14 @@ def test_texts_and_fields_come_back(spark, pages, tmp_path):
     assert again["payload_bytes"] == len(ROWS[0][2]) and found["urn:page:2"]["target_uri"] is None
 
 
+def test_paths_of_any_form(spark, pages, tmp_path, rows):
+    folder = tmp_path / "with space ñ%20"
+    for path in (str(folder / "a"), f"file:{folder}/b", f"file://{folder}/c"):
+        warc.write_pages(pages(ROWS[:4]), path)
+        assert rows(warc.read_pages(spark, path)) == plain(ROWS[:4])
+    assert sorted(p.name for p in folder.iterdir()) == ["a", "b", "c"]
+
+
 def test_empty_table(spark, pages, tmp_path):
     path = str(tmp_path / "archive")
     warc.write_pages(pages([]), path)
