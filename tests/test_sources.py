@@ -197,3 +197,12 @@ def test_bucket_counts_follow_the_size(spark, tmp_path):
     assert bucket_count_for(df) == 1
     assert 1 < bucket_count_for(df, 1000) < 100_000
     assert bucket_count_for(df, 1) == 100_000  # Spark's own limit
+
+
+def test_buckets_are_counted_by_rows_and_not_by_files(spark, tmp_path):
+    """Files that compress a thousandfold hold as many rows to sort as any others."""
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    rows = spark.range(3_000_000).selectExpr("1L AS a", "2L AS b", "3L AS c")
+    df = wh.read_snapshot(wh.write(STAGING, "t", rows))
+    assert bucket_count_for(df) == 3  # 96 MB of rows
+    assert bucket_count_for(df, 8 << 20) == 12
