@@ -1,5 +1,7 @@
 """What Spark does with the plans: no needless shuffles, nothing through one task."""
 
+from dataclasses import replace
+
 import pytest
 from conftest import T0, T1
 
@@ -13,7 +15,7 @@ from stratamart.operators import (
 )
 from stratamart.operators import star
 from stratamart.operators.checks import duplicate_keys
-from stratamart.plans import RETAIL, run_warehouse
+from stratamart.plans import RETAIL, jobs, run_warehouse
 from stratamart.plans.jobs import _stored
 from stratamart.plans.retail import FACT_VENTAS, VENTAS
 from stratamart.sources import Warehouse
@@ -110,6 +112,21 @@ def test_bucketed_snapshots_have_one_file_per_bucket(warehouse):
         assert len(files) <= 4, (table, files)
 
 
+def test_buckets_of_a_dimension_do_not_set_the_tasks_of_its_lookup(spark, tmp_path):
+    """A dimension in one bucket: the rows looked up in it are not brought into one task."""
+    wh = Warehouse(spark, str(tmp_path / "wh"), {"dim_cliente": 1})
+    dims = spark.range(1000).selectExpr("id AS id_cliente", "id AS sk_cliente", "'x' AS provincia")
+    wh.publish(wh.write(SERVICE, "dim_cliente", dims, ("id_cliente",)))
+    sales = spark.range(9000).selectExpr("id AS id_venta", "id % 1000 AS id_cliente")
+    one = replace(FACT_VENTAS, lookups=FACT_VENTAS.lookups[:1])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else few rows are one task in any case
+    try:
+        keyed = star.lookup_keys(sales, jobs._dimensions_of(wh, one), one.lookups, "id_venta", max_broadcast=0)
+        assert keyed.rdd.getNumPartitions() > 1 and keyed.count() == 9000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_filters_and_columns_reach_the_scan(warehouse):
     df = warehouse.read(STAGING, "stg_ventas").where("NOT is_deleted").select("id_venta")
     text = plan(df)
