@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratamart.plans.jobs import LoadError, Report, run_warehouse
 from stratamart.plans.queries.registry import table
-from stratamart.plans.queries.roles import MODEL, RAW, RUN, T0, raw
+from stratamart.plans.queries.roles import MODEL, RUN, T0, raw
 from stratamart.sources import Warehouse, bucket_count_for
 from stratamart.sources.shared_folder import fresh_folder
-from stratamart.specs import SERVICE, STAGING, FeedSpec
+from stratamart.specs import SERVICE, STAGING, FeedSpec, WarehouseModel
 
 # Tables large enough to be worth co-partitioning, and the table that tells how large each is.
 _BUCKETED = {
@@ -59,16 +59,18 @@ def write_feed_of(spark: SparkSession, sf: str, place: int, feed: FeedSpec, fold
     write_feed(rows, f"{folder}/{feed.file}", delimiter, mode="overwrite", encoding=feed.encoding)
 
 
-def write_feeds(spark: SparkSession, sf: str, changed: Mapping[str, DataFrame | None] | None = None) -> str:
-    """All feeds as files below a new folder. ``changed`` replaces rows by landing table; None leaves a feed out."""
-    folder, rows = fresh_folder(spark, "feeds"), {name: raw(spark, sf, name) for name in RAW} | dict(changed or {})
+def write_feeds(
+    spark: SparkSession, sf: str, changed: Mapping[str, DataFrame | None] | None = None, model: WarehouseModel = MODEL
+) -> str:
+    """A model's feeds as files below a new folder. ``changed`` replaces rows by landing table; None leaves a feed out."""
+    folder, rows = fresh_folder(spark, "feeds"), {f.table: raw(spark, sf, f.table) for f in model.feeds} | dict(changed or {})
 
     def written(place: int, feed: FeedSpec) -> None:
         if rows[feed.table] is not None:
             write_feed_of(spark, sf, place, feed, folder, rows[feed.table])
 
     with ThreadPoolExecutor(len(_DELIMITERS) * 4) as pool:
-        list(pool.map(written, range(len(MODEL.feeds)), MODEL.feeds))
+        list(pool.map(written, range(len(model.feeds)), model.feeds))
     return folder
 
 
@@ -78,11 +80,11 @@ def _require(report: Report) -> Report:
     return report
 
 
-def load(spark: SparkSession, sf: str) -> tuple[Warehouse, Report]:
+def load(spark: SparkSession, sf: str, model: WarehouseModel = MODEL) -> tuple[Warehouse, Report]:
     """A complete first load from feed files into a new warehouse."""
     warehouse = new_warehouse(spark, sf)
-    folder = write_feeds(spark, sf)
-    return warehouse, _require(run_warehouse(warehouse, MODEL, folder, T0, create_schema=True, create=True))
+    folder = write_feeds(spark, sf, model=model)
+    return warehouse, _require(run_warehouse(warehouse, model, folder, T0, create_schema=True, create=True))
 
 
 def load_twice(spark: SparkSession, sf: str) -> tuple[Warehouse, Report]:
@@ -115,3 +117,12 @@ def staged(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def served(spark: SparkSession, sf: str, *tables: str) -> dict[str, DataFrame]:
     warehouse = loaded(spark, sf)[0]
     return {name: warehouse.read(SERVICE, name) for name in tables}
+
+
+def loaded_part(spark: SparkSession, sf: str, source: str, *dimensions: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """A staging table and the dimensions its rows are looked up in, from a load of what these are made from.
+
+    Each caller loads its own, so its time does not hang on what ran before it, nor on feeds it does not read.
+    """
+    warehouse, _ = load(spark, sf, MODEL.part({source, *dimensions}))
+    return warehouse.read(STAGING, source), {name: warehouse.read(SERVICE, name, bucketed=False) for name in dimensions}

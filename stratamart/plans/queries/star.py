@@ -14,7 +14,7 @@ from stratamart.operators import (
     unmatched_report,
 )
 from stratamart.operators.calendar import date_dimension_for
-from stratamart.plans.queries.loaded import served, staged
+from stratamart.plans.queries.loaded import loaded_part
 from stratamart.plans.queries.registry import query, table
 from stratamart.plans.queries.roles import CALENDAR_SQL, MODEL, STAGED_SQL, keyed_sql
 
@@ -53,8 +53,8 @@ _FACT_SQL = f"""
 
 @query(_FACT_SQL)
 def star_lookup(spark, sf):
-    dims = served(spark, sf, *_SALES_DIMENSIONS)
-    return fact_rows(staged(spark, sf, "stg_ventas"), dims, _SALES_FACT)
+    sales, dims = loaded_part(spark, sf, "stg_ventas", *_SALES_DIMENSIONS)
+    return fact_rows(sales, dims, _SALES_FACT)
 
 
 @query(f"""
@@ -67,9 +67,10 @@ def star_lookup_hot_keys(spark, sf):
     A task's share is three sales here, so that almost every customer has more and is spread.
     """
     lookup = replace(_SALES_FACT.lookups[0], carry=("provincia",))
+    sales, dims = loaded_part(spark, sf, "stg_ventas", "dim_cliente")
     keyed = lookup_keys(
-        staged(spark, sf, "stg_ventas").select("id_venta", "id_cliente"),
-        served(spark, sf, "dim_cliente"),
+        sales.select("id_venta", "id_cliente"),
+        dims,
         [lookup],
         "id_venta",
         hot_rows=3,
@@ -86,8 +87,8 @@ _DAY_ROLES = tuple(lk for lk in _SALES_FACT.lookups if lk.dimension == "dim_tiem
     FROM {STAGED_SQL["ventas"]} AS v JOIN {CALENDAR_SQL} AS d1 ON v.fecha = d1.fecha
     JOIN {CALENDAR_SQL} AS d2 ON v.fecha_entrega = d2.fecha""")
 def role_playing_dates(spark, sf):
-    sales = staged(spark, sf, "stg_ventas").select("id_venta", "fecha", "fecha_entrega")
-    keyed = lookup_keys(sales, served(spark, sf, "dim_tiempo"), _DAY_ROLES, "id_venta")
+    sales, dims = loaded_part(spark, sf, "stg_ventas", "dim_tiempo")
+    keyed = lookup_keys(sales.select("id_venta", "fecha", "fecha_entrega"), dims, _DAY_ROLES, "id_venta")
     return keyed.select("id_venta", "sk_tiempo_venta", "sk_tiempo_entrega")
 
 
@@ -103,9 +104,8 @@ _BRANCH_ROLES = tuple(
     LEFT JOIN {keyed_sql("empleados", "id_empleado, sucursal", "sk_empleado")} AS e
            ON v.id_empleado = e.id_empleado AND b.sucursal = e.sucursal""")
 def left_composite_lookup(spark, sf):
-    dims = served(spark, sf, "dim_sucursal", "dim_empleado")
-    sales = staged(spark, sf, "stg_ventas").select("id_venta", "id_sucursal", "id_empleado")
-    keyed = lookup_keys(sales, dims, _BRANCH_ROLES, "id_venta")
+    sales, dims = loaded_part(spark, sf, "stg_ventas", "dim_sucursal", "dim_empleado")
+    keyed = lookup_keys(sales.select("id_venta", "id_sucursal", "id_empleado"), dims, _BRANCH_ROLES, "id_venta")
     return keyed.select("id_venta", "sk_sucursal", "sk_empleado")
 
 
@@ -139,9 +139,9 @@ _SHORT_END = "1999-12-31"  # a calendar that ends before the last orders
     UNION ALL SELECT 'dim_canal', 'sk_canal', count(*) FILTER (WHERE id_canal IS NULL),
            count(*) FILTER (WHERE id_canal NOT IN (SELECT id_canal FROM ch)) FROM v""")
 def unmatched_lookups(spark, sf):
-    dims = served(spark, sf, *_SALES_DIMENSIONS)
+    sales, dims = loaded_part(spark, sf, "stg_ventas", *_SALES_DIMENSIONS)
     dims["dim_tiempo"] = dims["dim_tiempo"].where(F.col("fecha") <= _SHORT_END)
-    return unmatched_report(staged(spark, sf, "stg_ventas"), dims, _SALES_FACT.lookups, _SALES_FACT.key)
+    return unmatched_report(sales, dims, _SALES_FACT.lookups, _SALES_FACT.key)
 
 
 @query("""
@@ -163,7 +163,7 @@ def orphaned_foreign_keys(spark, sf):
            FROM {STAGED_SQL["clientes"]} AS c
     UNION ALL SELECT 'domicilio', 'max_length_200', 0""")
 def constraint_violations(spark, sf):
-    clients = staged(spark, sf, "stg_clientes")
+    clients, _ = loaded_part(spark, sf, "stg_clientes")
     required = clients.select("id_cliente", "telefono", "edad").schema
     for field in required:
         field.nullable = False
@@ -190,7 +190,7 @@ def _examples_sql(column: str, rule: str, broken: str) -> str:
 ]))
 def constraint_examples(spark, sf):
     """The rules that rows break, and some of these rows by key."""
-    clients = staged(spark, sf, "stg_clientes")
+    clients, _ = loaded_part(spark, sf, "stg_clientes")
     required = clients.select("telefono", "edad").schema
     for field in required:
         field.nullable = False
@@ -207,8 +207,8 @@ def constraint_examples(spark, sf):
          ON c.id_proveedor = s.id_proveedor
     JOIN {CALENDAR_SQL} AS d ON c.fecha = d.fecha""")
 def purchases_fact(spark, sf):
-    dims = served(spark, sf, "dim_producto", "dim_proveedor", "dim_tiempo")
-    return fact_rows(staged(spark, sf, "stg_compras"), dims, _PURCHASES_FACT)
+    purchases, dims = loaded_part(spark, sf, "stg_compras", "dim_producto", "dim_proveedor", "dim_tiempo")
+    return fact_rows(purchases, dims, _PURCHASES_FACT)
 
 
 @query(f"""
@@ -219,5 +219,5 @@ def purchases_fact(spark, sf):
     JOIN {keyed_sql("tipo_gasto", "id_tipo_gasto", "sk_tipo_gasto")} AS t
          ON g.id_tipo_gasto = t.id_tipo_gasto""")
 def expenses_fact(spark, sf):
-    dims = served(spark, sf, "dim_sucursal", "dim_tipo_gasto", "dim_tiempo")
-    return fact_rows(staged(spark, sf, "stg_gastos"), dims, _EXPENSES_FACT)
+    expenses, dims = loaded_part(spark, sf, "stg_gastos", "dim_sucursal", "dim_tipo_gasto", "dim_tiempo")
+    return fact_rows(expenses, dims, _EXPENSES_FACT)

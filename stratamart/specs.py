@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -197,6 +197,17 @@ class WarehouseModel:
     dimensions: tuple[DimensionSpec, ...]
     facts: tuple[FactSpec, ...]
 
+    def part(self, tables: Collection[str]) -> WarehouseModel:
+        """Only what some tables are made from, themselves included."""
+        facts = tuple(f for f in self.facts if f.table in tables)
+        service = {*tables, *[lookup.dimension for fact in facts for lookup in fact.lookups]}
+        dimensions = tuple(d for d in self.dimensions if d.table in service)
+        staging = {*tables, *[spec.source for spec in (*dimensions, *facts)]}
+        entities = tuple(e for e in self.entities if e.table in staging)
+        landing = {*tables, *[e.source for e in entities]}
+        calendar = self.calendar if self.calendar is not None and self.calendar.table in service else None
+        return WarehouseModel(tuple(f for f in self.feeds if f.table in landing), entities, calendar, dimensions, facts)
+
 
 def audit_fields(soft_delete: bool) -> list[StructField]:
     kept = [

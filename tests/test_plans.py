@@ -151,3 +151,13 @@ def test_marts_sum_facts_before_joining(warehouse):
 def test_staging_schema_is_the_declared_one(warehouse):
     found = warehouse.read(STAGING, "stg_ventas").schema.simpleString()
     assert found == VENTAS.schema().simpleString()
+
+
+def test_a_part_of_the_model_is_what_its_tables_are_made_from():
+    part = RETAIL.part({"stg_ventas", "dim_cliente"})
+    assert {e.name for e in part.entities} == {"clientes", "ventas"}
+    assert {f.table for f in part.feeds} == {"raw_ventas", "raw_clientes"}
+    assert [d.table for d in part.dimensions] == ["dim_cliente"] and part.facts == () and part.calendar is None
+    whole = RETAIL.part({"fact_ventas"})
+    assert {d.table for d in whole.dimensions} == {lk.dimension for lk in FACT_VENTAS.lookups} - {RETAIL.calendar.table}
+    assert whole.calendar == RETAIL.calendar and "raw_compras" not in {f.table for f in whole.feeds}
