@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +56,34 @@ def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
         spark.conf.unset(_INITIAL)
 
 
+#: Files a task may hold open at once in a write with partition columns; with none its rows are sorted by these first.
+_OPEN_FILES = 8
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_unsorted, _unsorted_lock = Counter(), Lock()
+
+
+@contextmanager
+def unsorted_partitions(spark: SparkSession) -> Iterator[None]:
+    """Inside, a write with few values in its partition columns does not sort the rows of each task by them.
+
+    Such a sort holds a whole input split as rows. Several threads may be inside at once, the last one resets
+    the session. A number set for the session is kept; a task that meets more values sorts the rest.
+    """
+    with _unsorted_lock:
+        ours = _unsorted[id(spark)] > 0 or int(spark.conf.get(_WRITERS, "0")) == 0
+        if ours:
+            _unsorted[id(spark)] += 1
+            spark.conf.set(_WRITERS, _OPEN_FILES)
+    try:
+        yield
+    finally:
+        with _unsorted_lock:
+            if ours:
+                _unsorted[id(spark)] -= 1
+                if not _unsorted[id(spark)]:
+                    spark.conf.unset(_WRITERS)
+
+
 def require_ansi(spark: SparkSession) -> None:
     """Without ANSI casts a malformed number would become NULL, then a default: refuse to load."""
     if spark.conf.get("spark.sql.ansi.enabled", "true").lower() != "true":

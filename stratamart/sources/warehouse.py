@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stratamart.session import unsorted_partitions
 from stratamart.specs import LAYERS
 
 _COMMITS = "_commits"
@@ -264,7 +265,8 @@ class Warehouse:
                 .saveAsTable(name)
             )
         else:
-            writer.save(location)
+            with unsorted_partitions(self.spark):
+                writer.save(location)
         return Snapshot(
             layer,
             table,

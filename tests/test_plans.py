@@ -4,6 +4,7 @@ from dataclasses import replace
 
 import pytest
 from conftest import T0, T1
+from pyspark.sql.readwriter import DataFrameWriter
 
 from stratamart.operators import (
     assign_surrogate_keys,
@@ -18,6 +19,7 @@ from stratamart.operators.checks import duplicate_keys
 from stratamart.plans import RETAIL, jobs, run_warehouse
 from stratamart.plans.jobs import _stored
 from stratamart.plans.retail import FACT_VENTAS, VENTAS
+from stratamart.session import unsorted_partitions
 from stratamart.sources import Warehouse
 from stratamart.specs import SERVICE, STAGING
 from retail_feeds import write_feeds
@@ -112,6 +114,47 @@ def test_bucketed_snapshots_have_one_file_per_bucket(warehouse):
         assert len(files) <= 4, (table, files)
 
 
+def test_rows_written_by_a_flag_are_not_sorted_by_it(spark, tmp_path, monkeypatch):
+    """Rows are sorted out into two folders; a sort for that would hold an input split as rows in each task."""
+    spark.sql(f"CREATE TABLE by_flag (id BIGINT, flag BOOLEAN) USING parquet PARTITIONED BY (flag) LOCATION '{tmp_path}/f'")
+    insert, plans, save = "EXPLAIN INSERT INTO by_flag SELECT id, id % 2 = 0 FROM range(10)", [], DataFrameWriter.save
+
+    def explained(*args, **kwargs):
+        plans.append(spark.sql(insert).first()[0])
+        return save(*args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "save", explained)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    rows = spark.range(10).selectExpr("id", "id % 2 = 0 AS flag")
+    written = wh.read_snapshot(wh.write(STAGING, "t", rows, partition_by=("flag",)))
+    assert len(plans) == 1 and "Sort [" not in plans[0]
+    assert "Sort [" in spark.sql(insert).first()[0]  # the session is as it was
+    assert sorted(r.id for r in written.where("flag").collect()) == [0, 2, 4, 6, 8] and written.count() == 10
+
+
+def test_many_values_of_a_partition_column_are_still_written(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    rows = spark.range(0, 1000, 1, 1).selectExpr("id", "id % 50 AS part")
+    written = wh.read_snapshot(wh.write(STAGING, "t", rows, partition_by=("part",)))
+    assert written.count() == 1000 and written.where("part = id % 50").count() == 1000
+
+
+def test_unsorted_writes_of_several_threads_leave_the_session_as_it_was(spark):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    with unsorted_partitions(spark):
+        with unsorted_partitions(spark):
+            assert int(spark.conf.get(name)) > 1
+        assert int(spark.conf.get(name)) > 1
+    assert int(spark.conf.get(name, "0")) == 0
+    spark.conf.set(name, 3)
+    try:
+        with unsorted_partitions(spark):
+            assert spark.conf.get(name) == "3"
+        assert spark.conf.get(name) == "3"
+    finally:
+        spark.conf.unset(name)
+
+
 def test_buckets_of_a_dimension_do_not_set_the_tasks_of_its_lookup(spark, tmp_path):
     """A dimension in one bucket: the rows looked up in it are not brought into one task."""
     wh = Warehouse(spark, str(tmp_path / "wh"), {"dim_cliente": 1})
