@@ -7,6 +7,7 @@ import pytest
 from conftest import T0, T1
 from retail_feeds import write_feeds
 
+from stratamart.operators import fact_rows
 from stratamart.operators.keys import assign_surrogate_keys
 from stratamart.plans import RETAIL, run_warehouse
 from stratamart.plans.jobs import load_fact
@@ -14,7 +15,7 @@ from stratamart.plans.retail import FACT_VENTAS
 from stratamart.session import passing_shuffles
 from stratamart.sources import Warehouse
 from stratamart.sources.shared_folder import fresh_folder, passing_folders, shared_folder
-from stratamart.specs import SERVICE
+from stratamart.specs import SERVICE, STAGING
 
 BUCKETS = {"stg_ventas": 4, "fact_ventas": 4}
 
@@ -38,6 +39,11 @@ def shared(spark):
     return set(os.listdir(folder)) if os.path.exists(folder) else set()
 
 
+def looked_up(warehouse, **options):
+    dims = {lk.dimension: warehouse.read(SERVICE, lk.dimension, bucketed=False) for lk in FACT_VENTAS.lookups}
+    return fact_rows(warehouse.read(STAGING, "stg_ventas"), dims, FACT_VENTAS, max_broadcast=0, **options)
+
+
 @pytest.fixture(scope="module")
 def warehouse(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("disk")
@@ -59,6 +65,22 @@ def test_a_fact_load_by_shuffles_leaves_its_table_only(spark, warehouse):
     assert not left(spark, shuffles) and shared(spark) == folders
 
 
+def test_lookups_in_turn_hold_the_shuffles_of_one(spark, warehouse, rows):
+    at_once = looked_up(warehouse)
+    expected, shuffles = rows(at_once), shuffled(spark)
+    plan = at_once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= len(FACT_VENTAS.lookups)
+    with passing_shuffles(spark), passing_folders(spark):
+        here = os.path.dirname(fresh_folder(spark, "x")).removeprefix("file:")
+        in_turn = looked_up(warehouse, in_turn=True)
+        assert not left(spark, shuffles)  # those of the lookups so far are gone
+        assert sum(name.startswith("looked-up") for name in os.listdir(here)) == 1
+        last = in_turn._jdf.queryExecution().executedPlan().toString()
+        assert last.count("SortMergeJoin") == 1
+        assert rows(in_turn) == expected and in_turn.dtypes == at_once.dtypes
+    assert not os.path.exists(here)
+
+
 def test_folders_in_passing_go_also_after_a_failure_and_others_stay(spark):
     kept = fresh_folder(spark, "kept")
     spark.range(3).write.parquet(kept)
